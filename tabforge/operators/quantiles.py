@@ -45,6 +45,7 @@ def group_stats(
     quantiles: dict[str, float] | None = None,
     stats: tuple[str, ...] = ("mean",),
     keep: Callable[[DataFrame], DataFrame] | None = None,
+    scalars: dict[str, Callable[[DataFrame], Column]] | None = None,
     accuracy: int = DEFAULT_ACCURACY,
     approximate: bool = False,
 ) -> DataFrame:
@@ -53,7 +54,8 @@ def group_stats(
     ``keep`` narrows the table of groups between the passes (top-n, non-null
     keys), so that quantiles are only worked out for the groups that are kept.
     ``approximate=True`` returns the sketch's answer after one pass.
-    The result is a scan of a stored table with one row per group.
+    ``scalars`` adds columns worked out over the stored table of all groups
+    (count and ``stats``), such as the overall mean.
     """
     if not keys:
         raise ValueError("group_stats needs a key; use column_stats for whole columns")
@@ -63,24 +65,25 @@ def group_stats(
     x = F.col("_x")
 
     aggs = [F.count(x).alias("count"), *[_STATS[s](x).alias(s) for s in stats]]
+    margin = 2.0 / accuracy
     if probs and approximate:
         aggs.append(F.percentile_approx(x, F.array(*map(F.lit, probs)), F.lit(accuracy)).alias("_q"))
-        rows = data.groupBy(*keys).agg(*aggs)
-        rows = keep(rows) if keep else rows
-        exact = [F.col("_q")[i].alias(name) for i, name in enumerate(quantiles)]
-        return materialize(rows.select(*keys, *_plain(stats), *exact), "group-stats")
-    if probs:
-        margin = 2.0 / accuracy
+    elif probs:
         around = [b for p in probs for b in (max(0.0, p - margin), min(1.0, p + margin))]
         aggs += [
             F.percentile_approx(x, F.array(*map(F.lit, around)), F.lit(accuracy)).alias("_around"),
             F.min(x).alias("_lo"),
             F.max(x).alias("_hi"),
         ]
-    base = materialize(data.groupBy(*keys).agg(*aggs), "group-sketch")
-    base = keep(base) if keep else base
+    stored = materialize(data.groupBy(*keys).agg(*aggs), "group-sketch")
+    base = keep(stored) if keep else stored
+    plain = ["count", *stats]
+    extra = {name: make(stored) for name, make in (scalars or {}).items()}
     if not probs:
-        return base
+        return base.withColumns(extra)
+    if approximate:
+        sketched = [F.col("_q")[i].alias(name) for i, name in enumerate(quantiles)]
+        return base.select(*keys, *plain, *sketched).withColumns(extra)
 
     small = F.col("count") <= 2 * accuracy
     bounds = []
@@ -122,7 +125,7 @@ def group_stats(
     )
     same = [F.col(k).eqNullSafe(F.col(f"_k{j}")) for j, k in enumerate(keys)]
     joined = base.join(exact, _all(same), "left")
-    return materialize(joined.select(*keys, *_plain(stats), *quantiles), "group-stats")
+    return joined.select(*keys, *plain, *quantiles).withColumns(extra)
 
 
 def between(low: Column, high: Column, frac: Column) -> Column:
@@ -135,8 +138,14 @@ def between(low: Column, high: Column, frac: Column) -> Column:
     )
 
 
-def _plain(stats: tuple[str, ...]) -> list[str]:
-    return ["count", *stats]
+def overall_mean(where: Column | None = None) -> Callable[[DataFrame], Column]:
+    """For ``scalars``: the mean over all rows, from the groups' sums and counts."""
+
+    def make(groups: DataFrame) -> Column:
+        rows = groups if where is None else groups.where(where)
+        return rows.agg(F.try_divide(F.sum("sum"), F.sum("count").cast("double"))).scalar()
+
+    return make
 
 
 def _all(conditions: list[Column]) -> Column:

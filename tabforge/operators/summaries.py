@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions.numeric import half_even, pct_over
-from tabforge.operators.quantiles import group_stats
+from tabforge.operators.quantiles import group_stats, overall_mean
+from tabforge.session import materialize
 
 QUARTILES = {"median": 0.5, "p25": 0.25, "p75": 0.75}
 MEDIAN = {"median": 0.5}
@@ -22,6 +23,9 @@ WINDOW_LABELS = ["0-7", "8-14", "15-30", "31-60", "61-90", "91-180", "181-365",
 MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 
 
+_OVERALL = {"_overall": overall_mean()}
+
+
 def rounded(names: list[str] | tuple[str, ...], digits: int) -> list[Column]:
     return [F.col(n) if n == "count" else half_even(n, digits).alias(n) for n in names]
 
@@ -36,13 +40,14 @@ def summary_by_group(df: DataFrame, group: str, target: str, **options) -> DataF
 
     The percentage starts from the rounded group mean.
     """
-    stats = group_stats(df, [group], target, QUARTILES, ("mean", "std", "min", "max", "sum"), **options)
-    overall = stats.agg(F.try_divide(F.sum("sum"), F.sum("count").cast("double"))).scalar()
+    stats = group_stats(
+        df, [group], target, QUARTILES, ("mean", "std", "min", "max", "sum"), keep=_known([group]), scalars=_OVERALL, **options
+    )
     names = ["count", "mean", "median", "std", "p25", "p75", "min", "max"]
     return (
-        stats.dropna(subset=[group])
-        .select(group, *rounded(names, 2))
-        .withColumn("pct_vs_avg", pct_over(F.col("mean"), overall))
+        stats.select(group, *rounded(names, 2), "_overall")
+        .withColumn("pct_vs_avg", pct_over(F.col("mean"), F.col("_overall")))
+        .drop("_overall")
         .orderBy(F.desc("mean"), group)
     )
 
@@ -60,26 +65,30 @@ def summary_grouping_sets(df: DataFrame, groups: list[str], target: str, **optio
     keys = [F.col(g).cast("string").alias(g) for g in present]
     long = df.select(target, *keys).unpivot([target], present, "group_col", "group_value")
     stats = group_stats(
-        long, ["group_col", "group_value"], target, QUARTILES, ("mean", "std", "min", "max", "sum"), **options
+        long,
+        ["group_col", "group_value"],
+        target,
+        QUARTILES,
+        ("mean", "std", "min", "max", "sum"),
+        keep=_known(["group_value"]),
+        scalars={"_overall": overall_mean(F.col("group_col") == present[0])},
+        **options,
     )
-    first = stats.where(F.col("group_col") == present[0])
-    overall = first.agg(F.try_divide(F.sum("sum"), F.sum("count").cast("double"))).scalar()
     names = ["count", "mean", "median", "std", "p25", "p75", "min", "max"]
     return (
-        stats.dropna(subset=["group_value"])
-        .select("group_col", "group_value", *rounded(names, 2))
-        .withColumn("pct_vs_avg", pct_over(F.col("mean"), overall))
+        stats.select("group_col", "group_value", *rounded(names, 2), "_overall")
+        .withColumn("pct_vs_avg", pct_over(F.col("mean"), F.col("_overall")))
+        .drop("_overall")
         .orderBy("group_col", F.desc("mean"), "group_value")
     )
 
 
 def kpi_by_group(df: DataFrame, group: str, target: str) -> DataFrame:
-    stats = group_stats(df, [group], target, MEDIAN, ("mean", "std", "sum"))
-    overall = stats.agg(F.try_divide(F.sum("sum"), F.sum("count").cast("double"))).scalar()
+    stats = group_stats(df, [group], target, MEDIAN, ("mean", "std", "sum"), keep=_known([group]), scalars=_OVERALL)
     return (
-        stats.dropna(subset=[group])
-        .select(group, *rounded(["count", "mean", "median", "std"], 2))
-        .withColumn("pct_vs_avg", pct_over(F.col("mean"), overall))
+        stats.select(group, *rounded(["count", "mean", "median", "std"], 2), "_overall")
+        .withColumn("pct_vs_avg", pct_over(F.col("mean"), F.col("_overall")))
+        .drop("_overall")
         .orderBy(F.desc("mean"), group)
     )
 
@@ -117,14 +126,25 @@ def top_pairs_by_mean(df: DataFrame, a: str, b: str, target: str, n: int = 5) ->
 
 def group_vs_baseline(df: DataFrame, group: str, target: str, baseline: str) -> DataFrame:
     """Group statistics and % over the baseline group's rounded mean, or over the overall mean without one."""
-    stats = group_stats(df, [group], target, MEDIAN, ("mean", "std", "min", "max", "sum"))
-    overall = stats.agg(F.try_divide(F.sum("sum"), F.sum("count").cast("double"))).scalar()
-    base = stats.where(F.col(group) == baseline).agg(half_even(F.max("mean"), 2)).scalar()
+
+    def base_mean(groups: DataFrame) -> Column:
+        own = groups.where(F.col(group) == baseline).agg(half_even(F.max("mean"), 2)).scalar()
+        return F.coalesce(own, overall_mean()(groups))
+
+    stats = group_stats(
+        df,
+        [group],
+        target,
+        MEDIAN,
+        ("mean", "std", "min", "max", "sum"),
+        keep=_known([group]),
+        scalars={"_base": base_mean},
+    )
     names = ["count", "mean", "median", "std", "min", "max"]
     return (
-        stats.dropna(subset=[group])
-        .select(group, *rounded(names, 2))
-        .withColumn("pct_vs_regular", pct_over(F.col("mean"), F.coalesce(base, overall)))
+        stats.select(group, *rounded(names, 2), "_base")
+        .withColumn("pct_vs_regular", pct_over(F.col("mean"), F.col("_base")))
+        .drop("_base")
         .orderBy(F.desc("mean"), group)
     )
 
@@ -161,7 +181,7 @@ def pricing_fixed_order(df: DataFrame, group: str, target: str, order: list[str]
 
 def top_and_bottom(df: DataFrame, keys: list[str], target: str, n: int = 10) -> DataFrame:
     """First and last ``n`` groups of the order by median; they may overlap."""
-    rows = pricing_exact(df, keys, target, ())
+    rows = materialize(pricing_exact(df, keys, target, ()), "group-stats")
     top = rows.orderBy(F.desc("_median"), *keys).limit(n).withColumn("side", F.lit("top"))
     bottom = rows.orderBy("_median", *[F.desc(k) for k in keys]).limit(n).withColumn("side", F.lit("bottom"))
     return top.unionByName(bottom).select("side", *keys, "median_fare", "count")
@@ -215,7 +235,7 @@ def season_premium(df: DataFrame, season: str, target: str, order: list[str], ba
     """Median per season of a fixed list (NULL where a season is absent) and % over the baseline."""
     from tabforge.operators.lookups import reindex
 
-    stats = group_stats(df, [season], target, MEDIAN, (), keep=_known([season]))
+    stats = materialize(group_stats(df, [season], target, MEDIAN, (), keep=_known([season])), "group-stats")
     rows = reindex(stats.select(season, "median"), season, order)
     base = stats.where(F.col(season) == baseline).agg(F.max("median")).scalar()
     return rows.select(

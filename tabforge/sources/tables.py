@@ -27,8 +27,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return _load(reader.schema(schema).csv, path)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return _load(spark.read.parquet, path)
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """A parquet scan; with ``schema`` no file footer has to be read to plan it."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return _load(reader.parquet, path)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
