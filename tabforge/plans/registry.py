@@ -6,6 +6,7 @@ from importlib import import_module
 
 FAMILIES = [
     "summary_queries",
+    "profile_queries",
 ]
 
 

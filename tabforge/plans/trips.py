@@ -120,6 +120,19 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.withColumns({"stopovers": (codes - 1).cast("int"), **parts})
 
 
+def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``flights`` with missing values in five columns."""
+    f = flights(spark, sf_dir)
+    holes = {
+        "duration": F.col("part_no") % 11 == 0,
+        "days_left": F.col("line_no") == 3,
+        "airline": F.col("part_no") % 13 == 0,
+        "seasonality": F.col("line_no") == 5,
+        "fare": F.col("part_no") % 17 == 0,
+    }
+    return f.withColumns({c: F.when(~hole, F.col(c)) for c, hole in holes.items()})
+
+
 def split_of(key: Column | str, seed: int = 42) -> Column:
     b = bucket(key, seed)
     return F.when(b < 700, "train").when(b < 800, "val").otherwise("test")
@@ -179,6 +192,21 @@ flights AS (
 )
 
 
+GAPS_SQL = (
+    FLIGHTS_SQL
+    + """,
+gaps AS (
+  SELECT * REPLACE (
+    CASE WHEN part_no % 11 <> 0 THEN duration END AS duration,
+    CASE WHEN line_no <> 3 THEN days_left END AS days_left,
+    CASE WHEN part_no % 13 <> 0 THEN airline END AS airline,
+    CASE WHEN line_no <> 5 THEN seasonality END AS seasonality,
+    CASE WHEN part_no % 17 <> 0 THEN fare END AS fare)
+  FROM flights
+)"""
+)
+
+
 def bucket_sql(key: str, salt: str, buckets: int = 1000) -> str:
     return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{salt}'), 1, 8) AS BIGINT) % {buckets}"
 
