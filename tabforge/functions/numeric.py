@@ -38,22 +38,6 @@ def pct_over(value: Column, base: Column, digits: int = 1) -> Column:
     return half_even(F.try_divide(value - base, base) * F.lit(100.0), digits)
 
 
-def pair_corr(x: Column, y: Column) -> Column:
-    """Pearson correlation over complete pairs; NULL when undefined.
-
-    Both sides are masked to rows where the other is present, so unpaired
-    values cannot leak into the deviations, and a constant side yields NULL
-    instead of a division error.
-    """
-    px = F.when(y.isNotNull(), x)
-    py = F.when(x.isNotNull(), y)
-    spread = F.stddev_pop(px) * F.stddev_pop(py)
-    return F.when(
-        (F.stddev_pop(px) > 0) & (F.stddev_pop(py) > 0),
-        F.try_divide(F.covar_pop(px, py), spread),
-    )
-
-
 def sample_skewness(x: Column) -> Column:
     """Bias-corrected skewness; NULL under three values, 0 for a constant."""
     n = F.count(x).cast("double")

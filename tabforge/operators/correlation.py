@@ -5,10 +5,12 @@ from __future__ import annotations
 import warnings
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabforge.functions.numeric import half_even, not_nan, pair_corr
+from tabforge.functions.numeric import half_even, not_nan
 from tabforge.operators.lookups import align_outer
 from tabforge.operators.ranks import with_ranks
 
@@ -22,16 +24,99 @@ def _present(df: DataFrame, columns: list[str]) -> list[str]:
     return [c for c in columns if c in df.columns]
 
 
+_PARTIAL = (
+    "pair int, n long, mean_x double, mean_y double, m2_x double, m2_y double, c_xy double, "
+    "min_x double, max_x double, min_y double, max_y double"
+)
+
+
+def _partial_moments(places: list[tuple[int, int]]):
+    """Central moments of each column pair over one partition, merged batch by batch."""
+
+    def run(batches):
+        totals = [None] * len(places)
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            known = [~np.isnan(c) for c in columns]
+            for p, (i, j) in enumerate(places):
+                both = known[i] & known[j]
+                n = int(both.sum())
+                if n == 0:
+                    continue
+                x, y = columns[i][both], columns[j][both]
+                mx, my = x.mean(), y.mean()
+                dx, dy = x - mx, y - my
+                new = [n, mx, my, dx @ dx, dy @ dy, dx @ dy, x.min(), x.max(), y.min(), y.max()]
+                totals[p] = new if totals[p] is None else _merge(totals[p], new)
+        rows = [(p, *t) for p, t in enumerate(totals) if t is not None]
+        if rows:
+            names = [f.split()[0] for f in _PARTIAL.split(", ")]
+            yield pa.RecordBatch.from_pylist(
+                [dict(zip(names, map(_plain, r), strict=True)) for r in rows], schema=_ARROW
+            )
+
+    return run
+
+
+_ARROW = pa.schema(
+    [("pair", pa.int32()), ("n", pa.int64())]
+    + [(f.split()[0], pa.float64()) for f in _PARTIAL.split(", ")[2:]]
+)
+
+
+def _plain(v):
+    return v.item() if hasattr(v, "item") else v
+
+
+def _merge(a: list, b: list) -> list:
+    """Moments of the union of two sets of rows."""
+    n = a[0] + b[0]
+    gx, gy = b[1] - a[1], b[2] - a[2]
+    w = a[0] * b[0] / n
+    return [
+        n,
+        a[1] + gx * b[0] / n,
+        a[2] + gy * b[0] / n,
+        a[3] + b[3] + gx * gx * w,
+        a[4] + b[4] + gy * gy * w,
+        a[5] + b[5] + gx * gy * w,
+        min(a[6], b[6]),
+        max(a[7], b[7]),
+        min(a[8], b[8]),
+        max(a[9], b[9]),
+    ]
+
+
 def correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """Unrounded Pearson r of each pair ``(feature_a, feature_b, r)`` from one aggregation."""
+    """Unrounded pairwise-complete Pearson r of each pair ``(feature_a, feature_b, r)``.
+
+    One pass: every task reduces its rows to one line of moments per pair (a
+    JVM aggregation of the same m*(m+1)/2 pairs is several times slower), and
+    the lines are combined around the common means. NULL for a side that is
+    constant over the pair's complete rows.
+    """
     columns = sorted({c for p in pairs for c in p})
     data = df.select(*[not_nan(c).alias(c) for c in columns])
-    row = data.agg(*[pair_corr(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    entries = [
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"r{i}").alias("r"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return row.select(F.explode(F.array(*entries)).alias("p")).select("p.*")
+    places = [(columns.index(a), columns.index(b)) for a, b in pairs]
+    partial = data.mapInArrow(_partial_moments(places), _PARTIAL)
+    own = Window.partitionBy("pair")
+    n = F.col("n").cast("double")
+    centred = (
+        partial.withColumn("all_n", F.sum(n).over(own))
+        .withColumn("gx", F.col("mean_x") - F.sum(F.col("mean_x") * n).over(own) / F.col("all_n"))
+        .withColumn("gy", F.col("mean_y") - F.sum(F.col("mean_y") * n).over(own) / F.col("all_n"))
+    )
+    spread_x = F.sum(F.col("m2_x") + n * F.col("gx") * F.col("gx"))
+    spread_y = F.sum(F.col("m2_y") + n * F.col("gy") * F.col("gy"))
+    joint = F.sum(F.col("c_xy") + n * F.col("gx") * F.col("gy"))
+    varies = (F.min("min_x") < F.max("max_x")) & (F.min("min_y") < F.max("max_y"))
+    r = F.when(varies, F.try_divide(joint, F.sqrt(spread_x) * F.sqrt(spread_y)))
+    found = centred.groupBy("pair").agg(r.alias("r"))
+    names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
+    # Pairs without a single complete row have no line of moments: they stay, with NULL.
+    wanted = df.sparkSession.range(len(pairs)).select(F.col("id").cast("int").alias("pair"))
+    at = F.get(names, F.col("pair"))
+    return wanted.join(found, "pair", "left").select(at["a"].alias("feature_a"), at["b"].alias("feature_b"), "r")
 
 
 def _mirror(upper: DataFrame) -> DataFrame:
