@@ -7,6 +7,7 @@ from importlib import import_module
 FAMILIES = [
     "summary_queries",
     "profile_queries",
+    "cleaning_queries",
 ]
 
 
