@@ -8,6 +8,8 @@ FAMILIES = [
     "summary_queries",
     "profile_queries",
     "cleaning_queries",
+    "feature_queries",
+    "model_queries",
 ]
 
 

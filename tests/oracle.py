@@ -34,10 +34,10 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _key(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
-        return (0, "")
+        return (0, "", 0.0)
     if isinstance(v, (int, float)) and not isinstance(v, bool):
-        return (1, float(v) + 0.0)
-    return (2, str(v))
+        return (1, float(v), math.copysign(1.0, v))
+    return (2, str(v), 0.0)
 
 
 def _same(a, b) -> bool:
