@@ -67,6 +67,8 @@ def exact_split(df: DataFrame, key: str, val: float = 0.1, test: float = 0.2, se
     hashed = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 12).cast("double")
     rows = df.withColumn("_h", hashed)
     n = rows.count()
+    if n < 2:
+        return rows.withColumn("split", F.lit("train")).drop("_h")
     n_test = math.ceil(n * test)
     n_val = math.ceil((n - n_test) * (val / (1.0 - test)))
     cuts = column_stats(

@@ -60,9 +60,17 @@ def fit_ridge(train: DataFrame, alpha: float) -> LinearRegressionModel:
 
 
 def fit_lasso(train: DataFrame, alpha: float, max_iter: int = 5000) -> LinearRegressionModel:
-    """Minimises ``|y - Xw|^2 / 2n + alpha |w|_1``."""
+    """Minimises ``|y - Xw|^2 / 2n + alpha |w|_1``.
+
+    The normal solver reads the rows once and iterates on their d x d summary.
+    """
     return LinearRegression(
-        regParam=alpha, elasticNetParam=1.0, standardization=False, solver="l-bfgs", maxIter=max_iter, tol=1e-10
+        regParam=alpha,
+        elasticNetParam=1.0,
+        standardization=False,
+        solver=_solver(train),
+        maxIter=max_iter,
+        tol=1e-10,
     ).fit(train)
 
 
@@ -160,6 +168,17 @@ def predict_splits(model: Model, data: DataFrame, name: str, keys: tuple[str, ..
     return scored.select(F.lit(name).alias("model"), *keys, "split", "label", "prediction")
 
 
+def predictions_side_by_side(models: dict[str, Model], data: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys, label, model, prediction)`` of many models from one pass over the rows."""
+    out = data
+    for i, model in enumerate(models.values()):
+        out = model.copy({model.predictionCol: f"_p{i}"}).transform(out)
+    places = [f"_p{i}" for i in range(len(models))]
+    long = out.select(*keys, "label", *places).unpivot([*keys, "label"], places, "model", "prediction")
+    names = F.create_map(*[F.lit(x) for pair in zip(places, models, strict=True) for x in pair])
+    return long.withColumn("model", names[F.col("model")])
+
+
 # --- stacking -------------------------------------------------------------
 
 

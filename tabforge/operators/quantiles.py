@@ -1,18 +1,17 @@
 """Exact grouped quantiles that stay bounded under hot groups.
 
 Spark's ``percentile`` keeps every distinct value of a group in one map in one
-task, so a group with a third of a large table does not fit.  Here the exact
-answer takes two passes:
-
-1. ``percentile_approx`` sketches (bounded, map-side combined) give, for each
-   group and probability, two values between which the wanted order statistic
-   must lie.
-2. Rows are counted per (group, value) inside those brackets and per gap
-   outside them, spread over the cluster by value, and the running count over
-   the few remaining rows of each group finds the exact order statistic.
-
-Groups of at most ``2 * accuracy`` rows are one bracket, so their exactness
-does not depend on the sketch.  A result outside its bracket raises.
+task, so a group with a third of a large table does not fit.  Here:
+
+1. One pass gives each group's count, range and moments.
+2. Only if groups exceed ``small_group`` rows: ``percentile_approx`` sketches of
+   those groups (bounded, map-side combined) give, per probability, two values
+   between which the wanted order statistic must lie.  A smaller group is one
+   bracket from its minimum to its maximum.
+3. Rows are counted per (group, value) inside the brackets and per gap outside
+   them, spread over the cluster by value, and the running count over the
+   bounded rest of each group finds the exact order statistic.  A statistic
+   outside its bracket raises.
 """
 
 from __future__ import annotations
@@ -26,6 +25,7 @@ from tabforge.functions.numeric import not_nan, sample_skewness
 from tabforge.session import materialize
 
 DEFAULT_ACCURACY = 10_000
+SMALL_GROUP = 1_000_000
 
 _STATS: dict[str, Callable[[Column], Column]] = {
     "mean": F.avg,
@@ -47,6 +47,7 @@ def group_stats(
     keep: Callable[[DataFrame], DataFrame] | None = None,
     scalars: dict[str, Callable[[DataFrame], Column]] | None = None,
     accuracy: int = DEFAULT_ACCURACY,
+    small_group: int = SMALL_GROUP,
     approximate: bool = False,
 ) -> DataFrame:
     """Per-group ``count``, ``stats`` and interpolated ``quantiles`` of ``value``.
@@ -65,16 +66,10 @@ def group_stats(
     x = F.col("_x")
 
     aggs = [F.count(x).alias("count"), *[_STATS[s](x).alias(s) for s in stats]]
-    margin = 2.0 / accuracy
     if probs and approximate:
-        aggs.append(F.percentile_approx(x, F.array(*map(F.lit, probs)), F.lit(accuracy)).alias("_q"))
+        aggs.append(_sketch(probs, accuracy).alias("_q"))
     elif probs:
-        around = [b for p in probs for b in (max(0.0, p - margin), min(1.0, p + margin))]
-        aggs += [
-            F.percentile_approx(x, F.array(*map(F.lit, around)), F.lit(accuracy)).alias("_around"),
-            F.min(x).alias("_lo"),
-            F.max(x).alias("_hi"),
-        ]
+        aggs += [F.min(x).alias("_lo"), F.max(x).alias("_hi")]
     stored = materialize(data.groupBy(*keys).agg(*aggs), "group-sketch")
     base = keep(stored) if keep else stored
     plain = ["count", *stats]
@@ -85,18 +80,7 @@ def group_stats(
         sketched = [F.col("_q")[i].alias(name) for i, name in enumerate(quantiles)]
         return base.select(*keys, *plain, *sketched).withColumns(extra)
 
-    small = F.col("count") <= 2 * accuracy
-    bounds = []
-    for i, p in enumerate(probs):
-        low, high = F.col("_around")[2 * i], F.col("_around")[2 * i + 1]
-        bounds.append(F.when(small | F.lit(p <= margin), F.col("_lo")).otherwise(low).alias(f"_lo{i}"))
-        bounds.append(F.when(small | F.lit(p >= 1 - margin), F.col("_hi")).otherwise(high).alias(f"_hi{i}"))
-    # Renamed keys: the brackets join back to the rows they were derived from.
-    brackets = base.where(F.col("count") > 0).select(
-        *[F.col(k).alias(f"_k{j}") for j, k in enumerate(keys)], *bounds
-    )
-    located = _locate(data, keys, brackets, len(probs))
-
+    located = _locate(data, keys, _brackets(data, base, keys, probs, accuracy, small_group), len(probs))
     running = Window.partitionBy(*keys).orderBy(F.col("_rep").asc_nulls_first(), "_gap")
     ranked = located.withColumn(
         "_cum", F.sum("_c").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -155,6 +139,50 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
+def _sketch(probs: list[float], accuracy: int) -> Column:
+    return F.percentile_approx("_x", F.array(*map(F.lit, probs)), F.lit(accuracy))
+
+
+def _brackets(
+    data: DataFrame, base: DataFrame, keys: list[str], probs: list[float], accuracy: int, small_group: int
+) -> DataFrame:
+    """Per group and probability: a low and a high value around the order statistic.
+
+    The sketch's rank error is at most ``n / accuracy``; the brackets allow
+    twice that, which also covers rounding since ``n`` exceeds ``accuracy``.
+    """
+    named = [F.col(k).alias(f"_k{j}") for j, k in enumerate(keys)]
+    groups = base.where(F.col("count") > 0).select(*named, "count", "_lo", "_hi")
+    low, high = [F.col("_lo")] * len(probs), [F.col("_hi")] * len(probs)
+    limit = max(small_group, accuracy)
+    large = groups.where(F.col("count") > limit)
+    if not large.isEmpty():
+        margin = 2.0 / accuracy
+        around = [b for p in probs for b in (max(0.0, p - margin), min(1.0, p + margin))]
+        wanted = large.select(*[f"_k{j}" for j in range(len(keys))])
+        same = _all([F.col(k).eqNullSafe(F.col(f"_k{j}")) for j, k in enumerate(keys)])
+        rows = data.join(wanted, same, "left_semi")
+        sketches = materialize(
+            rows.groupBy(*[F.col(k).alias(f"_s{j}") for j, k in enumerate(keys)]).agg(
+                _sketch(around, accuracy).alias("_around")
+            ),
+            "sketches",
+        )
+        matched = _all([F.col(f"_k{j}").eqNullSafe(F.col(f"_s{j}")) for j in range(len(keys))])
+        groups = groups.join(sketches, matched, "left")
+        # A side that reaches the end of the range keeps the group's own extreme.
+        low = [F.col("_lo") if p <= margin else F.coalesce(F.col("_around")[2 * i], "_lo") for i, p in enumerate(probs)]
+        high = [
+            F.col("_hi") if p >= 1 - margin else F.coalesce(F.col("_around")[2 * i + 1], "_hi")
+            for i, p in enumerate(probs)
+        ]
+    return groups.select(
+        *[f"_k{j}" for j in range(len(keys))],
+        *[c.alias(f"_lo{i}") for i, c in enumerate(low)],
+        *[c.alias(f"_hi{i}") for i, c in enumerate(high)],
+    )
+
+
 def _locate(data: DataFrame, keys: list[str], brackets: DataFrame, m: int) -> DataFrame:
     """Counts per (group, value) inside the brackets and per gap outside them."""
     x = F.col("_x")

@@ -262,7 +262,7 @@ def queries():
         "tune_random": _tune,
         "model_report": _model_report,
         "model_roundtrip": _model_roundtrip,
-        "regularization_path": lambda s, d: U.regularization_path(split(s, d, "train"), split(s, d, "val"), PATH_ALPHAS[::2]),
+        "regularization_path": lambda s, d: U.regularization_path(training_table(s, d)[0], PATH_ALPHAS),
         "learning_curve": lambda s, d: U.learning_curve(split(s, d, "train"), lambda t: M.fit_ridge(t, 1.0), [0.1, 0.4, 1.0], FOLDS),
         "coef_importance": lambda s, d: _importances(s, d, ("linear",)),
         "tree_importance": lambda s, d: _importances(s, d, ("forest",)).limit(20),

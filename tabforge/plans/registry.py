@@ -10,6 +10,7 @@ FAMILIES = [
     "cleaning_queries",
     "feature_queries",
     "model_queries",
+    "insight_queries",
 ]
 
 
