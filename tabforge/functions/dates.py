@@ -5,21 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted timestamp patterns, tried in this order.
-FORMATS = [
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd",
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy",
-]
-
-
-def parse_timestamp(text: Column, formats: list[str] | None = None) -> Column:
-    """The first pattern that fits; NULL when none does."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats or FORMATS])
+# Accepted timestamp notations, by their shape.
+FORMATS = {
+    r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$": "yyyy-MM-dd HH:mm:ss",
+    r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$": "yyyy-MM-dd HH:mm",
+    r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$": "yyyy-MM-dd'T'HH:mm:ss",
+    r"^\d{4}-\d{2}-\d{2}$": "yyyy-MM-dd",
+    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$": "M/d/yyyy H:mm:ss",
+    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$": "M/d/yyyy H:mm",
+    r"^\d{1,2}/\d{1,2}/\d{4}$": "M/d/yyyy",
+}
+
+
+def parse_timestamp(text: Column, formats: dict[str, str] | None = None) -> Column:
+    """Timestamp of the notation whose shape fits; NULL when none fits or the date does not exist.
+
+    Testing the shape first matters: a failed parse costs an exception per row.
+    """
+    out = F.lit(None).cast("timestamp_ntz")
+    for shape, pattern in reversed((formats or FORMATS).items()):
+        parsed = F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
+        out = F.when(text.rlike(shape), parsed).otherwise(out)
+    return out
 
 
 def looks_like_timestamp(text: Column) -> Column:

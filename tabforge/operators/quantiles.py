@@ -82,26 +82,27 @@ def group_stats(
 
     located = _locate(data, keys, _brackets(data, base, keys, probs, accuracy, small_group), len(probs))
     running = Window.partitionBy(*keys).orderBy(F.col("_rep").asc_nulls_first(), "_gap")
-    ranked = located.withColumn(
-        "_cum", F.sum("_c").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ).withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys)))
+    upto = F.sum("_c").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = located.withColumn("_cum", upto)
 
-    def at(k: Column) -> Column:
-        return F.min(F.when(F.col("_cum") > k, F.struct("_cum", "_gap", "_rep")))
+    # Row of the k-th value (from 0): the first whose running count exceeds k.
+    def holds(k: Column) -> Column:
+        return (F.col("_cum") > k) & (F.col("_cum") - F.col("_c") <= k)
 
-    picks = []
-    for i, p in enumerate(probs):
-        pos = F.lit(p) * (F.col("_n") - 1)
-        picks += [at(F.floor(pos)).alias(f"_a{i}"), at(F.ceil(pos)).alias(f"_b{i}")]
+    def position(p: float) -> Column:
+        return F.lit(p) * (F.col("_n") - 1)
+
+    hits = [(holds(F.floor(position(p))), holds(F.ceil(position(p)))) for p in probs]
+    picks = [F.max(F.when(_any([h for pair in hits for h in pair]), F.col("_gap"))).alias("_missed")]
+    for i, (low, high) in enumerate(hits):
+        picks += [F.max(F.when(low, F.col("_rep"))).alias(f"_a{i}"), F.max(F.when(high, F.col("_rep"))).alias(f"_b{i}")]
     found = ranked.groupBy(*keys, "_n").agg(*picks)
 
     def interpolated(i: int, p: float, name: str) -> Column:
-        pos = F.lit(p) * (F.col("_n") - 1)
-        frac = pos - F.floor(pos)
-        low, high = F.col(f"_a{i}"), F.col(f"_b{i}")
-        missed = (low["_gap"] + high["_gap"]) > 0
-        exact = between(low["_rep"], high["_rep"], frac)
-        return F.when(missed, F.raise_error(F.lit("quantile fell outside its bracket"))).otherwise(exact).alias(name)
+        frac = position(p) - F.floor(position(p))
+        value = between(F.col(f"_a{i}"), F.col(f"_b{i}"), frac)
+        broken = F.raise_error(F.lit("quantile fell outside its bracket"))
+        return F.when(F.col("_missed") > 0, broken).otherwise(value).alias(name)
 
     exact = found.select(
         *[F.col(k).alias(f"_k{j}") for j, k in enumerate(keys)],
@@ -139,6 +140,13 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
+def _any(conditions: list[Column]) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out | c
+    return out
+
+
 def _sketch(probs: list[float], accuracy: int) -> Column:
     return F.percentile_approx("_x", F.array(*map(F.lit, probs)), F.lit(accuracy))
 
@@ -178,6 +186,7 @@ def _brackets(
         ]
     return groups.select(
         *[f"_k{j}" for j in range(len(keys))],
+        F.col("count").alias("_n"),
         *[c.alias(f"_lo{i}") for i, c in enumerate(low)],
         *[c.alias(f"_hi{i}") for i, c in enumerate(high)],
     )
@@ -195,8 +204,13 @@ def _locate(data: DataFrame, keys: list[str], brackets: DataFrame, m: int) -> Da
     passed = [F.when(F.col(f"_hi{i}") < x, F.col(f"_hi{i}")) for i in range(m)]
     below = F.greatest(*passed) if m > 1 else passed[0]
     return (
-        rows.select(*keys, F.when(inside, x).otherwise(below).alias("_rep"), F.when(inside, 0).otherwise(1).alias("_gap"))
-        .groupBy(*keys, "_rep", "_gap")
+        rows.select(
+            *keys,
+            "_n",
+            F.when(inside, x).otherwise(below).alias("_rep"),
+            F.when(inside, 0).otherwise(1).alias("_gap"),
+        )
+        .groupBy(*keys, "_n", "_rep", "_gap")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
 
