@@ -158,17 +158,18 @@ def _load_splits(spark, d):
 
 
 def _lookup(spark, d):
-    t = B.signal(B.flights(spark, d)).select("trip_key", "destination_name", "fare", "split")
+    """Mean log price per destination name, learned on the training rows."""
+    t = B.signal(B.flights(spark, d)).select("trip_key", "destination_name", F.log1p("fare").alias("y"), "split")
     train = t.where(F.col("split") == "train")
-    means = materialize(train.groupBy("destination_name").agg(F.avg("fare").alias("m")), "lookup")
-    default = train.agg(F.avg("fare")).scalar()
+    means = materialize(train.groupBy("destination_name").agg(F.avg("y").alias("m")), "lookup")
+    default = train.agg(F.avg("y")).scalar()
     coded = L.lookup_default(t.where(F.col("split") != "train"), means, "destination_name", "m", default, "te")
-    return coded.select("trip_key", "destination_name", half_even("te", 4).alias("te"))
+    return coded.select("trip_key", "destination_name", half_even("te", 8).alias("te"))
 
 
 def _means(t, label):
     part = t.where(F.col("stopover_label") == label).groupBy("destination_name")
-    return part.agg(half_even(F.avg("fare"), 4).alias(f"mean_{label.lower()}"))
+    return part.agg(half_even(F.avg(F.log1p("fare")), 8).alias(f"mean_{label.lower()}"))
 
 
 def _align_outer(spark, d):
@@ -179,7 +180,7 @@ def _align_outer(spark, d):
 
 def _scalar_broadcast(spark, d):
     t = B.trips(spark, d).select("trip_key", "fare")
-    return L.with_overall_mean(t, "fare", "m").select("trip_key", half_even(F.col("fare") - F.col("m"), 4).alias("diff"))
+    return L.with_overall_mean(t, "fare", "m").select("trip_key", half_even(F.col("fare") - F.col("m"), 2).alias("diff"))
 
 
 def _reindex(spark, d):
@@ -257,7 +258,8 @@ def queries():
 
     def report(spark, d):
         before = raw(spark, d)
-        return K.cleaning_report(before, K.clean_flow(before, CONFIG), CONFIG)
+        out = K.cleaning_report(before, K.clean_flow(before, CONFIG), CONFIG)
+        return out.withColumns({c: F.concat_ws(",", c) for c in ("temporal_added", "ordinal_encoded")})
 
     def stamps(spark, d):
         iso = "yyyy-MM-dd HH:mm:ss"
@@ -357,23 +359,23 @@ def oracles():
         "cleaning_report": _clean_sql(
             "SELECT initial_rows, CAST(18 AS INTEGER) AS initial_cols, final_rows, CAST(19 AS INTEGER) AS final_cols, "
             "initial_rows - final_rows AS rows_removed, CAST(-1 AS INTEGER) AS cols_removed, "
-            "['departure_hour', 'departure_day_of_week', 'departure_month', 'arrival_hour', 'arrival_day_of_week', 'arrival_month'] AS temporal_added, "
-            "['stopovers'] AS ordinal_encoded FROM (SELECT (SELECT count(*) FROM raw) AS initial_rows, "
+            "'departure_hour,departure_day_of_week,departure_month,arrival_hour,arrival_day_of_week,arrival_month' AS temporal_added, "
+            "'stopovers' AS ordinal_encoded FROM (SELECT (SELECT count(*) FROM raw) AS initial_rows, "
             "(SELECT count(*) FROM cleaned) AS final_rows)"
         ),
         "clean_flow": _clean_sql("SELECT * FROM cleaned"),
         "lookup_default": _flights(
-            f", t AS (SELECT *, {split} AS split FROM flights), m AS (SELECT destination_name AS k, avg(fare) AS m FROM t WHERE split = 'train' GROUP BY 1) "
-            "SELECT trip_key, destination_name, round_even(coalesce(m, (SELECT avg(fare) FROM t WHERE split = 'train')), 4) AS te "
+            f", t AS (SELECT *, ln(1 + fare) AS y, {split} AS split FROM flights), m AS (SELECT destination_name AS k, avg(y) AS m FROM t WHERE split = 'train' GROUP BY 1) "
+            "SELECT trip_key, destination_name, round_even(coalesce(m, (SELECT avg(y) FROM t WHERE split = 'train')), 8) AS te "
             "FROM t LEFT JOIN m ON destination_name = k WHERE split <> 'train'"
         ),
         "align_outer": _flights(
             "SELECT coalesce(a.k, b.k) AS destination_name, mean_a, mean_r FROM "
-            "(SELECT destination_name AS k, round_even(avg(fare), 4) AS mean_a FROM flights WHERE days_left > 2000 AND stopover_label = 'A' GROUP BY 1) a FULL JOIN "
-            "(SELECT destination_name AS k, round_even(avg(fare), 4) AS mean_r FROM flights WHERE days_left > 2000 AND stopover_label = 'R' GROUP BY 1) b ON a.k = b.k"
+            "(SELECT destination_name AS k, round_even(avg(ln(1 + fare)), 8) AS mean_a FROM flights WHERE days_left > 2000 AND stopover_label = 'A' GROUP BY 1) a FULL JOIN "
+            "(SELECT destination_name AS k, round_even(avg(ln(1 + fare)), 8) AS mean_r FROM flights WHERE days_left > 2000 AND stopover_label = 'R' GROUP BY 1) b ON a.k = b.k"
         ),
         "scalar_broadcast": _flights(
-            "SELECT trip_key, round_even(fare - (SELECT avg(fare) FROM flights), 4) AS diff FROM flights"
+            "SELECT trip_key, round_even(fare - (SELECT avg(fare) FROM flights), 2) AS diff FROM flights"
         ),
         "reindex": _flights(
             "SELECT position, w.s AS seasonality, m AS mean_fare FROM (VALUES (0, '5-LOW'), (1, '0-NONE'), (2, '1-URGENT')) w(position, s) "

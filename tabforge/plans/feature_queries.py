@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabforge.functions.numeric import half_even
@@ -92,7 +93,7 @@ def _roundtrip(spark, d):
 def _vector(spark, d):
     rows = X.labelled(B.flights(spark, d), CONFIG)
     model = _model(spark, d)
-    return model.transform(rows).select("trip_key", "split", "label", "features")
+    return model.transform(rows).select("trip_key", "split", "label", vector_to_array("features").alias("features"))
 
 
 def queries():
