@@ -125,10 +125,12 @@ def one_hot_wide(
     return df.select(*[merged[c].alias(c) for c in sorted(merged)], *last)
 
 
-def target_means(train: DataFrame, column: str, label: str) -> DataFrame:
-    """Mean label per category of the training rows, as a stored lookup table."""
-    known = train.where(F.col(column).isNotNull())
-    return materialize(known.groupBy(column).agg(F.avg(label).alias("mean")), "target-means")
+def target_means(train: DataFrame, column: str, label: str) -> tuple[DataFrame, float | None]:
+    """Mean label per category of the training rows as a stored lookup table, and the mean over all of them."""
+    groups = train.groupBy(column).agg(F.avg(label).alias("mean"), F.sum(label).alias("_sum"), F.count(label).alias("_n"))
+    stored = materialize(groups, "target-means")
+    overall = stored.agg(F.try_divide(F.sum("_sum"), F.sum("_n").cast("double"))).first()[0]
+    return stored.where(F.col(column).isNotNull() & (F.col("_n") > 0)).select(column, "mean"), overall
 
 
 def scaler_state(train: DataFrame, columns: list[str] | tuple[str, ...]) -> dict[str, tuple[float, float]]:
@@ -265,8 +267,9 @@ def fit_features(df: DataFrame, config: FeatureConfig) -> FeatureModel:
         rows = interaction(rows, *config.interaction)
     train = rows.where(F.col("split") == "train")
     words = vocabulary(train if config.vocabulary == "train" else rows, config.one_hot, config.cap)
-    lookups = {c: target_means(train, c, "label") for c in config.target_encode if c in rows.columns}
-    mean = train.agg(F.avg("label")).first()[0] if lookups else None
+    learned = {c: target_means(train, c, "label") for c in config.target_encode if c in rows.columns}
+    lookups = {c: table for c, (table, _) in learned.items()}
+    mean = next((m for _, m in learned.values()), None)
     scaler = scaler_state(log_numeric(train, config.log_numeric), config.numerical)
     return FeatureModel(config, words, scaler, mean, lookups)
 

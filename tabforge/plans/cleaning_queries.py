@@ -8,6 +8,7 @@ from tabforge.functions.numeric import half_even
 from tabforge.operators import cleaning as K
 from tabforge.operators import lookups as L
 from tabforge.operators import summaries as S
+from tabforge.operators.features import target_means
 from tabforge.plans import trips as B
 from tabforge.plans.summary_queries import oracles as summary_oracles
 
@@ -48,7 +49,7 @@ IMPUTED = ["duration", "days_left", "fare"]
 
 def raw(spark, d):
     """``trips`` under raw names, with text timestamps, gaps and some nearly empty rows."""
-    t = B.trips(spark, d)
+    t = B.flights(spark, d)
     iso, slashed = "yyyy-MM-dd HH:mm:ss", "M/d/yyyy H:mm"
     sources = {v: F.col(v) for v in RENAME.values() if v != "stopovers"}
     sources["stopovers"] = F.col("stopover_label")
@@ -161,9 +162,9 @@ def _lookup(spark, d):
     """Mean log price per destination name, learned on the training rows."""
     t = B.signal(B.flights(spark, d)).select("trip_key", "destination_name", F.log1p("fare").alias("y"), "split")
     train = t.where(F.col("split") == "train")
-    means = materialize(train.groupBy("destination_name").agg(F.avg("y").alias("m")), "lookup")
-    default = train.agg(F.avg("y")).scalar()
-    coded = L.lookup_default(t.where(F.col("split") != "train"), means, "destination_name", "m", default, "te")
+    means, overall = target_means(train, "destination_name", "y")
+    rest = t.where(F.col("split") != "train")
+    coded = L.lookup_default(rest, means, "destination_name", "mean", F.lit(overall), "te")
     return coded.select("trip_key", "destination_name", half_even("te", 8).alias("te"))
 
 
@@ -173,13 +174,13 @@ def _means(t, label):
 
 
 def _align_outer(spark, d):
-    t = B.trips(spark, d)
+    t = B.flights(spark, d)
     late = t.where(F.col("days_left") > 2000)
     return L.align_outer(_means(late, "A"), _means(late, "R"), "destination_name")
 
 
 def _scalar_broadcast(spark, d):
-    t = B.trips(spark, d).select("trip_key", "fare")
+    t = B.flights(spark, d).select("trip_key", "fare")
     return L.with_overall_mean(t, "fare", "m").select("trip_key", half_even(F.col("fare") - F.col("m"), 2).alias("diff"))
 
 
@@ -190,7 +191,7 @@ def _reindex(spark, d):
 
 def _set_intersect(spark, d):
     stats = materialize(
-        B.trips(spark, d).groupBy("airline").agg(F.avg("fare").alias("m"), F.max("fare").alias("x"), F.count("fare").alias("n")),
+        B.flights(spark, d).groupBy("airline").agg(F.avg("fare").alias("m"), F.max("fare").alias("x"), F.count("fare").alias("n")),
         "carrier-stats",
     )
     tops = [stats.orderBy(F.desc(c), "airline").limit(10).select("airline") for c in ("m", "x", "n")]
@@ -286,7 +287,7 @@ def queries():
         "parse_timestamps": stamps,
         "temporal_features": lambda s, d: K.temporal_features(parsed(s, d), CONFIG.timestamps),
         "ordinal_encode": lambda s, d: K.ordinal_encode(
-            B.trips(s, d).select("trip_key", "stopover_label"), "stopover_label", B.STOPOVER_ORDER
+            B.flights(s, d).select("trip_key", "stopover_label"), "stopover_label", B.STOPOVER_ORDER
         ),
         "unknown_categories": lambda s, d: L.unknown_values(B.gaps(s, d), "seasonality", B.SEASON_ORDER[1:4]),
         "cleaning_report": report,
@@ -297,7 +298,7 @@ def queries():
         "reindex": _reindex,
         "set_intersect": _set_intersect,
         "align_columns": _align_columns,
-        "sample_n": lambda s, d: L.sample_n(B.trips(s, d).select("trip_key", "fare"), 3000, 42, ["trip_key"]),
+        "sample_n": lambda s, d: L.sample_n(B.flights(s, d).select("trip_key", "fare"), 3000, 42, ["trip_key"]),
         "scalar_math": _scalar_math,
         "scalar_string": _scalar_string,
         "scalar_date": _scalar_date,

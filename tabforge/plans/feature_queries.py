@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabforge.functions.numeric import half_even
 from tabforge.operators import cleaning as K
 from tabforge.operators import features as X
+from tabforge.operators.lookups import lookup_default
 from tabforge.plans import trips as B
 from tabforge.session import scratch_path
 from tabforge.sources import tables as IO
@@ -54,17 +55,14 @@ def _encoded(spark, d):
     rows = X.interaction(X.labelled(B.flights(spark, d), CONFIG), "source", "destination", "route")
     rows = rows.select("trip_key", "split", "label", "route")
     train = rows.where("split = 'train'")
-    means = X.target_means(train, "route", "label")
-    from tabforge.operators.lookups import lookup_default
-
-    default = train.agg(F.avg("label")).scalar()
-    out = lookup_default(rows, means, "route", "mean", default, "route_te")
+    means, overall = X.target_means(train, "route", "label")
+    out = lookup_default(rows, means, "route", "mean", F.lit(overall), "route_te")
     return _rounded(out.drop("route", "label"))
 
 
 def _te_top(spark, d):
     rows = X.interaction(X.labelled(B.flights(spark, d), CONFIG), "source", "destination", "route")
-    means = X.target_means(rows.where("split = 'train'"), "route", "label")
+    means, _ = X.target_means(rows.where("split = 'train'"), "route", "label")
     top = means.orderBy(F.desc("mean"), "route").limit(5)
     return top.select("route", half_even("mean", 4).alias("mean"), half_even(F.expm1("mean")).alias("price"))
 
@@ -99,7 +97,7 @@ def _vector(spark, d):
 def queries():
     return {
         "feat_drop_redundant": lambda s, d: K.drop_columns(
-            B.trips(s, d).select("trip_key", "source", "source_name", "destination_name"), CONFIG.redundant
+            B.flights(s, d).select("trip_key", "source", "source_name", "destination_name"), CONFIG.redundant
         ),
         "feat_interaction": lambda s, d: X.interaction(
             B.gaps(s, d).select("trip_key", "airline", "destination"), "airline", "destination", "route"

@@ -70,11 +70,9 @@ def simple_predictions(spark: SparkSession, d: str, log: bool = False) -> DataFr
     y = F.log1p("fare_signal") if log else F.col("fare_signal")
     rows = rows.withColumn("label", y)
     train = rows.where(F.col("split") == "train")
-    slope, start, mean = train.agg(
-        F.regr_slope("label", "duration"), F.regr_intercept("label", "duration"), F.avg("label")
-    ).first()
+    slope, start = train.agg(F.regr_slope("label", "duration"), F.regr_intercept("label", "duration")).first()
     for c in ("travel_class", "booking_source"):
-        means = X.target_means(train, c, "label")
+        means, mean = X.target_means(train, c, "label")
         rows = lookup_default(rows, means, c, "mean", F.lit(mean), f"_{c}")
     guesses = {
         "duration_line": F.lit(start) + F.lit(slope) * F.col("duration"),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.functions.hashing import bucket
+from tabforge.session import materialize
 from tabforge.sources.tables import read_parquet
 
 TARGET = "fare"
@@ -68,8 +69,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The processed table: keys, categories, numbers and the two timestamps.
+def joined_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys, categories, numbers and the two timestamps, joined from the star schema.
 
     Joins carry no hints: the dimension tables are broadcast when their size
     allows it and shuffled otherwise.
@@ -118,9 +119,9 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``trips`` with ordinal stopovers and integer temporal parts."""
-    t = trips(spark, sf_dir)
+def build_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``joined_trips`` with ordinal stopovers and integer temporal parts."""
+    t = joined_trips(spark, sf_dir)
     parts: dict[str, Column] = {}
     for side in ("departure", "arrival"):
         ts = F.col(f"{side}_datetime")
@@ -131,6 +132,22 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.withColumns({"stopovers": (codes - 1).cast("int"), **parts})
 
 
+_stored: dict[tuple[str, str], DataFrame] = {}
+
+
+def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The processed table, stored once per session and data folder.
+
+    Later stages read the cleaned table from parquet instead of repeating the
+    joins: every analysis then scans only the columns it names, in as many
+    tasks as there are files.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        _stored[key] = materialize(build_flights(spark, sf_dir), "processed")
+    return _stored[key]
+
+
 def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``flights`` with missing values in five columns."""
     f = flights(spark, sf_dir)
