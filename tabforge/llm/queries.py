@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import mixing, near_dedup
+from tabforge.llm import fingerprints, mixing, near_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,12 +54,49 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_scaled_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
+def _sketch_sql(text: str) -> str:
+    words = f"regexp_extract_all({text}, '[^\\x20\\x09-\\x0D]+')"
+    return f"""(SELECT list_sort(list_distinct(CASE WHEN len(b) > 0 OR len(h) = 0 THEN b ELSE [list_min(h)] END))
+      FROM (SELECT h, list_filter(h, lambda x: x < '2000000000000000') AS b
+      FROM (SELECT CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+          WHEN len(w) < 5 THEN [substr(md5(array_to_string(w, ' ')), 1, 16)]
+          ELSE list_transform(range(1, len(w) - 3), lambda i: substr(md5(array_to_string(list_slice(w, i, i + 4), ' ')), 1, 16)) END AS h
+      FROM (SELECT {words} AS w))))"""
+
+
+OP3_SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), n AS (
+  SELECT *, coalesce(lead(text) OVER o, first_value(text) OVER o) AS following FROM d WINDOW o AS (ORDER BY doc_id DESC NULLS LAST)
+), e AS (
+  SELECT *, substr(text, 1, length(text) - length(text) // 3) || substr(following, 1, length(text) // 3) AS edited FROM n
+), s AS (
+  SELECT *, {_sketch_sql('text')} AS a, {_sketch_sql('following')} AS b, {_sketch_sql('edited')} AS c FROM e
+), i AS (
+  SELECT *, len(list_intersect(a, c)) AS ac, len(list_intersect(a, b)) AS ab FROM s
+)
+SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256,
+  array_to_string(a, '') AS fingerprint, array_to_string(c, '') AS edited_fingerprint,
+  CASE WHEN len(a) + len(c) = 0 THEN 1.0::DOUBLE ELSE ac::DOUBLE / (len(a) + len(c) - ac) END AS near_edited,
+  CASE WHEN len(a) + len(b) = 0 THEN 1.0::DOUBLE ELSE ab::DOUBLE / (len(a) + len(b) - ab) END AS near_next,
+  CASE WHEN len(a) = 0 THEN 1.0::DOUBLE ELSE ac::DOUBLE / len(a) END AS held_by_edited,
+  CASE WHEN len(a) = 0 THEN 1.0::DOUBLE ELSE ab::DOUBLE / len(a) END AS held_by_next
+FROM i
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
         "op2_minhash_near_dedup": op2_minhash_near_dedup,
+        "op3_scaled_fingerprints": op3_scaled_fingerprints,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op1_mix_sources": OP1_SQL}
+    return {"op1_mix_sources": OP1_SQL, "op3_scaled_fingerprints": OP3_SQL}
