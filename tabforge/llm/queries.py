@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import fingerprints, mixing, near_dedup
+from tabforge.llm import fingerprints, mixing, near_dedup, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,11 +90,20 @@ FROM i
 """
 
 
+def op7_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), carried=["doc_id"])
+    counts = [secret_scan.count_of("base", kind).alias(f"n_{kind}") for kind in secret_scan.KINDS[:3]]
+    return found.select(
+        "doc_id", *counts, F.sha2(secret_scan.listed("base"), 256).alias("base_sha256"), secret_scan.listed("spans").alias("spans")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
         "op2_minhash_near_dedup": op2_minhash_near_dedup,
         "op3_scaled_fingerprints": op3_scaled_fingerprints,
+        "op7_secret_randomness": op7_secret_randomness,
     }
 
 
