@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import fingerprints, mixing, near_dedup, secret_scan
+from tabforge.llm import fingerprints, mixing, near_dedup, secret_scan, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +90,12 @@ FROM i
 """
 
 
+def op6_toxicity_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), carried=["doc_id"])
     counts = [secret_scan.count_of("base", kind).alias(f"n_{kind}") for kind in secret_scan.KINDS[:3]]
@@ -103,6 +109,7 @@ def queries() -> dict[str, Query]:
         "op1_mix_sources": op1_mix_sources,
         "op2_minhash_near_dedup": op2_minhash_near_dedup,
         "op3_scaled_fingerprints": op3_scaled_fingerprints,
+        "op6_toxicity_counterfactual": op6_toxicity_counterfactual,
         "op7_secret_randomness": op7_secret_randomness,
     }
 
