@@ -95,41 +95,34 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return near.where(f"100 * common >= {percent} * (na + nb - common)").select("a", "b")
 
 
-def star_links(members: DataFrame, sets: DataFrame, percent: int, rounds: int) -> tuple[DataFrame, DataFrame]:
-    """Verified edges of ``rounds`` star rounds, and ``members`` with the components these make.
+def star_links(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Verified edges of members with the pivot of their bucket, and ``members`` with the labels these give.
 
-    A round compares every member with one pivot of its bucket, the first in an
-    order hashed anew each round; members of the pivot's component are left out.
+    The pivot is the first member in a hashed order. A node's label is the
+    least pivot that it is linked to, or itself: nodes of one label are linked.
     """
-    edges = None
-    left = members.withColumn("component", F.col("node"))
-    for turn in range(rounds):
-        order = F.struct(F.xxhash64("node", F.lit(turn)), "node")
-        pivot = left.groupBy("bucket").agg(
-            F.min_by(F.struct("node", "n", "component"), order).alias("p"),
-            F.min("component").alias("lo"),
-            F.max("component").alias("hi"),
-        )
-        pivot = pivot.where("lo != hi").selectExpr("bucket", "p.node AS pivot", "p.n AS m", "p.component AS pc")
-        pairs = (
-            left.join(pivot, "bucket")
-            .where(f"component != pc AND 100 * least(n, m) >= {percent} * greatest(n, m)")
-            .select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b"))
-            .distinct()
-        )
-        good = materialize(verified(pairs, sets, percent), "near-edges")
-        edges = good if edges is None else edges.union(good)
-        left = materialize(with_components(left.drop("component"), connected_components(edges)), "near-members")
-    return edges, left
+    order = F.struct(F.xxhash64("node"), "node")
+    pivot = members.groupBy("bucket").agg(F.min_by(F.struct("node", "n"), order).alias("p"))
+    pairs = (
+        members.join(pivot.selectExpr("bucket", "p.node AS pivot", "p.n AS m"), "bucket")
+        .where(f"node != pivot AND 100 * least(n, m) >= {percent} * greatest(n, m)")
+        .select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+        .distinct()
+    )
+    edges = materialize(verified(pairs, sets, percent), "near-edges")
+    hub = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("hub"))
+    hubs = edges.select(F.col("b").alias("node"), F.col("b").alias("hub"))
+    label = hubs.union(hub).groupBy("node").agg(F.min("hub").alias("component"))
+    return edges, with_components(members, label)
 
 
 def block_links(left: DataFrame, sets: DataFrame, percent: int, block: int, shingles: int) -> DataFrame:
-    """Verified edges between members of a bucket in different components, compared block against block.
+    """Verified edges between members of a bucket with different labels, compared block against block.
 
     A bucket is dealt by hash into blocks of about ``block`` members or
     ``shingles`` shingles, whichever is less; a task takes two blocks, counts
     all common shingles as products of 0/1 matrices over the shingles that
-    occur twice, and returns only the links that join components. No pair is
+    occur twice, and returns only links that join labels. No pair is
     written unless it is a link.
     """
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / shingles)).alias("blocks")
@@ -179,17 +172,18 @@ def _linked(one: tuple, two: tuple, percent: int, width: int = 8192) -> tuple[li
 
 
 def link_classes(
-    members: DataFrame, sets: DataFrame, percent: int, star_rounds: int = 2, few: int = 12, block: int = 256, shingles: int = 250_000
+    members: DataFrame, sets: DataFrame, percent: int, few: int = 12, block: int = 256, shingles: int = 250_000
 ) -> DataFrame:
     """Verified edges ``(a, b)`` that connect all nodes linked through shared buckets ``members(bucket, node, n)``.
 
-    Star rounds first join what resembles a pivot. Every bucket that still has
-    more than one component is then compared in full: up to ``few`` members as
+    A star round first joins what resembles a pivot. Every bucket that still has
+    more than one label is then compared in full: up to ``few`` members as
     pairs (a number of rows in proportion to the members), more of them in
-    blocks. Either way all pairs of members in different components are checked
+    blocks. Either way all pairs of members with different labels are checked
     on their full sets, so no link is lost to the size of a bucket.
     """
-    edges, left = star_links(members, sets, percent, star_rounds)
+    edges, left = star_links(members, sets, percent)
+    left = materialize(left, "near-members")
     state = left.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("c"))
     open_buckets = state.where("lo != hi").select("bucket", (F.col("c") <= few).alias("small"))
     left = materialize(left.join(open_buckets, "bucket"), "near-left")

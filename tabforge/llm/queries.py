@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import fingerprints, mixing, near_dedup, secret_scan, toxicity
+from tabforge.llm import fingerprints, mixing, near_dedup, secret_scan, sentencepiece_tokens, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +91,11 @@ FROM i
 """
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return sentencepiece_tokens.verify_documents(table(spark, sf_dir, "documents"), model)
+
+
 def op6_toxicity_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
@@ -104,13 +110,25 @@ def op7_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_token_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    path = token_files.token_path(spark)
+    rows = token_files.write_token_files(
+        table(spark, sf_dir, "documents"), lambda: token_files.byte_level_encoder(tokenizer), path, end_id=0
+    )
+    read = token_files.read_documents(token_files.with_starts(rows), path)
+    return read.select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "position")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
         "op2_minhash_near_dedup": op2_minhash_near_dedup,
         "op3_scaled_fingerprints": op3_scaled_fingerprints,
+        "op4_sentencepiece": op4_sentencepiece,
         "op6_toxicity_counterfactual": op6_toxicity_counterfactual,
         "op7_secret_randomness": op7_secret_randomness,
+        "op10_token_bit_planes": op10_token_bit_planes,
     }
 
 
