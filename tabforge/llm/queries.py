@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import fingerprints, mixing, near_dedup, secret_scan, sentencepiece_tokens, token_files, toxicity
+from tabforge.llm import fingerprints, html_extract, mixing, near_dedup, secret_scan, sentencepiece_tokens, token_files, toxicity, vptree
+
+VP_RELAX = 1.0  # exact
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,6 +112,32 @@ def op7_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_html_chain_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = html_extract.extract_text(pages, html_extract.fit_extractor(pages))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
+def op9_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vptree.search_index(vptree.build_index(vectors), vectors.where("vec_id % 50 = 0"), k=5, relax=VP_RELAX)
+
+
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(c.v, c.v))) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+), r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM p
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def op10_token_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     path = token_files.token_path(spark)
@@ -128,9 +156,11 @@ def queries() -> dict[str, Query]:
         "op4_sentencepiece": op4_sentencepiece,
         "op6_toxicity_counterfactual": op6_toxicity_counterfactual,
         "op7_secret_randomness": op7_secret_randomness,
+        "op8_html_chain_field": op8_html_chain_field,
+        "op9_vantage_point_search": op9_vantage_point_search,
         "op10_token_bit_planes": op10_token_bit_planes,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op1_mix_sources": OP1_SQL, "op3_scaled_fingerprints": OP3_SQL}
+    return {"op1_mix_sources": OP1_SQL, "op3_scaled_fingerprints": OP3_SQL, "op9_vantage_point_search": OP9_SQL}
