@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import fingerprints, html_extract, mixing, near_dedup, secret_scan, sentencepiece_tokens, token_files, toxicity, vptree
+from tabforge.llm import fingerprints, html_extract, mixing, near_dedup, secret_scan, sentencepiece_tokens, token_files, toxicity, vptree, warc_revisits
 
 VP_RELAX = 1.0  # exact
 
@@ -98,6 +98,87 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_tokens.verify_documents(table(spark, sf_dir, "documents"), model)
 
 
+def page_records(pages: DataFrame) -> DataFrame:
+    """WARC records that the pages give: each page as a response, and a later visit that found it not modified.
+
+    By the id in turn, the later visit repeats the entity tag, repeats it as a
+    weak one, has another one, or only the date of the last change.
+    """
+    turn = F.pmod(F.col("page_id"), F.lit(4))
+    tag = F.concat(F.lit('"'), F.md5("html"), F.lit('"'))
+    changed = F.concat(F.lit("day "), F.floor(F.col("page_id") / 7).cast("string"))
+    length = F.octet_length("html").cast("string")
+    date = F.col("page_id") * 3600
+    response = F.struct(
+        F.concat(F.lit("response:"), F.col("page_id")).alias("record_id"),
+        F.col("url").alias("uri"),
+        date.alias("date"),
+        F.lit("response").alias("type"),
+        F.lit(200).alias("status"),
+        F.create_map(
+            *[F.lit("Content-Type"), F.lit("text/html"), F.lit("Content-Length"), length, F.lit("ETag"), tag],
+            *[F.lit("Last-Modified"), changed, F.lit("Cache-Control"), F.lit("max-age=60")],
+        ).alias("headers"),
+    )
+    fresh = F.create_map(
+        *[F.lit("etag"), F.when(turn == 0, tag).when(turn == 1, F.concat(F.lit("W/"), tag)).when(turn == 2, F.concat(F.lit('"'), F.md5("url"), F.lit('"')))],
+        *[F.lit("Last-Modified"), F.when(turn == 3, changed), F.lit("Cache-Control"), F.lit("max-age=600")],
+        *[F.lit("Content-Length"), F.lit("0"), F.lit("Expires"), (date + 90000).cast("string")],
+    )
+    revisit = F.struct(
+        F.concat(F.lit("revisit:"), F.col("page_id")).alias("record_id"),
+        F.concat(F.col("url"), F.lit("#later")).alias("uri"),
+        (date + 86400 * (1 + F.pmod(F.col("page_id"), F.lit(5)))).alias("date"),
+        F.lit("revisit").alias("type"),
+        F.lit(304).alias("status"),
+        F.map_filter(fresh, lambda k, v: v.isNotNull()).alias("headers"),
+    )
+    records = pages.select(F.explode(F.array(response, revisit)).alias("r")).select("r.*")
+    return records.withColumn("digest", F.lit(None).cast("string"))
+
+
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc_revisits.resolve_revisits(page_records(table(spark, sf_dir, "pages")))
+    return found.select("record_id", "uri", "date", "outcome", "refers_to", "refers_to_date", warc_revisits.header_text("merged").alias("headers"))
+
+
+OP5_SQL = r"""
+WITH p AS (
+  SELECT page_id, url, '"' || md5(html) || '"' AS tag, 'day ' || CAST(CAST(floor(page_id / 7) AS BIGINT) AS VARCHAR) AS changed,
+    CAST(strlen(html) AS VARCHAR) AS length, regexp_replace(url, '#.*$', '') AS bare, page_id * 3600 AS date FROM pages
+), q AS (
+  SELECT *, regexp_matches(bare, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)([^?]*)\??(.*)$') AS is_uri,
+    regexp_replace(lower(regexp_extract(bare, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)([^?]*)\??(.*)$', 1)), '^www\.|:(?:80|443)$', '', 'g') AS host,
+    regexp_extract(bare, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)([^?]*)\??(.*)$', 2) AS path,
+    list_sort(list_filter(string_split(regexp_extract(bare, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)([^?]*)\??(.*)$', 3), '&'),
+      lambda x: x <> '' AND NOT regexp_matches(x, '^(?:utm_[a-z]+|ref|gclid|fbclid)(?:=|$)'))) AS params
+  FROM p
+), k AS (
+  SELECT *, CASE WHEN is_uri THEN host || CASE WHEN path = '' THEN '/' ELSE path END
+    || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END ELSE bare END AS key FROM q
+), v AS (
+  SELECT *, date + 86400 * (1 + page_id % 5) AS visited,
+    CASE page_id % 4 WHEN 0 THEN tag WHEN 1 THEN 'W/' || tag WHEN 2 THEN '"' || md5(url) || '"' END AS new_tag,
+    CASE page_id % 4 WHEN 3 THEN changed END AS new_changed FROM k
+), j AS (
+  SELECT v.*, r.page_id AS target, r.date AS target_date, r.tag AS old_tag, r.changed AS old_changed, r.length AS old_length
+  FROM v LEFT JOIN k r ON v.key = r.key AND r.date < v.visited
+  QUALIFY row_number() OVER (PARTITION BY v.page_id ORDER BY r.date DESC NULLS LAST, 'response:' || r.page_id DESC) = 1
+), o AS (
+  SELECT *, coalesce(regexp_replace(new_tag, '^W/', '') = old_tag, new_changed = old_changed) AS agrees FROM j
+), f AS (
+  SELECT *, CASE WHEN target IS NULL THEN 'missing' WHEN agrees THEN 'resolved' WHEN agrees IS NULL THEN 'unchecked' ELSE 'mismatch' END AS outcome FROM o
+)
+SELECT 'revisit:' || page_id AS record_id, url || '#later' AS uri, visited AS date, outcome,
+  CASE WHEN outcome IN ('resolved', 'unchecked') THEN 'response:' || target END AS refers_to,
+  CASE WHEN outcome IN ('resolved', 'unchecked') THEN target_date END AS refers_to_date,
+  CASE WHEN outcome IN ('resolved', 'unchecked') THEN 'cache-control: max-age=600' || chr(10) || 'content-length: ' || old_length || chr(10)
+    || 'content-type: text/html' || chr(10) || 'etag: ' || coalesce(new_tag, old_tag) || chr(10) || 'expires: ' || CAST(date + 90000 AS VARCHAR)
+    || chr(10) || 'last-modified: ' || coalesce(new_changed, old_changed) END AS headers
+FROM f
+"""
+
+
 def op6_toxicity_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
@@ -154,6 +235,7 @@ def queries() -> dict[str, Query]:
         "op2_minhash_near_dedup": op2_minhash_near_dedup,
         "op3_scaled_fingerprints": op3_scaled_fingerprints,
         "op4_sentencepiece": op4_sentencepiece,
+        "op5_warc_revisits": op5_warc_revisits,
         "op6_toxicity_counterfactual": op6_toxicity_counterfactual,
         "op7_secret_randomness": op7_secret_randomness,
         "op8_html_chain_field": op8_html_chain_field,
@@ -163,4 +245,9 @@ def queries() -> dict[str, Query]:
 
 
 def oracles() -> dict[str, str]:
-    return {"op1_mix_sources": OP1_SQL, "op3_scaled_fingerprints": OP3_SQL, "op9_vantage_point_search": OP9_SQL}
+    return {
+        "op1_mix_sources": OP1_SQL,
+        "op3_scaled_fingerprints": OP3_SQL,
+        "op5_warc_revisits": OP5_SQL,
+        "op9_vantage_point_search": OP9_SQL,
+    }
