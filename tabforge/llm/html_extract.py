@@ -189,7 +189,7 @@ def features_of(block: Block) -> list[str]:
     return ["bias", *path_features(block.path), *text_features(block)]
 
 
-def fit_chain(pages: list[tuple[list[Block], list[int]]], l2: float = 1e-3, steps: int = 120, rate: float = 0.1) -> ChainModel:
+def fit_chain(pages: list[tuple[list[Block], list[int]]], l2: float = 1e-4, steps: int = 120, rate: float = 0.2) -> ChainModel:
     """Weights that maximise the likelihood of the labels, by gradient steps on all pages; expectations by forward and backward passes."""
     pages = [p for p in pages if p[0]]
     names: dict[str, int] = {}
@@ -284,7 +284,7 @@ def labelled_layouts(count: int, seed: int = 1) -> list[tuple[list[Block], list[
                 text = f'{text} <a href="/y">{words(1, 5)}</a>'
             form = ("<p>{}</p>",) * 8 + ("<p><b>{}<br>", "<h2>{}</h2>", "<ul><li>{}</li></ul>", "<blockquote>{}</blockquote>", "<div>{}</div>", "<pre>{}</pre>", "<table><tr><td>{}</td></tr></table>")
             parts.append("C" + rng.choice(form).format(text))
-            if rng.random() < 0.1:
+            if rng.random() < 0.15:
                 parts.append(around(1))
         return f"<{opening}>{''.join(parts)}</{opening.split(' ')[0]}>".replace(">C<", "><")
 

@@ -119,7 +119,7 @@ def battery(value: Column, level: float = 0.001, changes: float = 0.25) -> Colum
     """Struct of ``length`` and ``p``, the chance that words give a run as random as this; p is 1 for what fails a guard.
 
     ``level`` is that of the three guards; ``changes`` the share of neighbours
-    of different class (upper case, lower case, digit, other) that text may have.
+    of different class that text may have.
     """
     core = F.rtrim(value, F.lit("="))
 
@@ -167,9 +167,10 @@ def battery(value: Column, level: float = 0.001, changes: float = 0.25) -> Colum
 
 
 def class_changes(value: Column) -> Column:
-    """Neighbours of different class: upper case, lower case, digit, other."""
+    """Neighbours of different class (upper case, lower case, digit, other); a capital before its word is no change."""
     classes = F.split(F.translate(value, _FROM, _TO), "")
-    pairs = F.zip_with(F.slice(classes, 1, F.size(classes) - 1), F.slice(classes, 2, F.size(classes)), lambda x, y: (x != y).cast("double"))
+    change = lambda x, y: ((x != y) & ~((x == "A") & (y == "a"))).cast("double")
+    pairs = F.zip_with(F.slice(classes, 1, F.size(classes) - 1), F.slice(classes, 2, F.size(classes)), change)
     return F.aggregate(pairs, F.lit(0.0), lambda s, x: s + x)
 
 

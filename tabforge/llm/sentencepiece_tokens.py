@@ -26,7 +26,7 @@ from tabforge.llm.pieces import PieceEncoder, gathered, joined_encoder
 MARK = "▁"
 # Model and piece types of the protobuf.
 UNIGRAM, BPE = 1, 2
-UNKNOWN, USER_DEFINED, BYTE = 2, 4, 6
+NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
 
 
 def read_model(path: str) -> proto.ModelProto:
@@ -45,10 +45,10 @@ def merges_of(model: proto.ModelProto) -> list[tuple[str, str]]:
 
     Ways of one piece are in the order of the left part's length.
     """
-    scores = {p.piece: p.score for p in model.pieces}
+    scores = {p.piece: p.score for p in model.pieces if p.type == NORMAL}
     ways = []
     for place, p in enumerate(model.pieces):
-        for i in range(1, len(p.piece)):
+        for i in range(1, len(p.piece) if p.type == NORMAL else 0):
             a, b = p.piece[:i], p.piece[i:]
             if a in scores and b in scores:
                 ways.append((-p.score, place, i, a, b))
@@ -61,7 +61,9 @@ def rebuild(model: proto.ModelProto) -> Tokenizer:
     unknown = next((i for i, p in enumerate(model.pieces) if p.type == UNKNOWN), None)
     fallback = train.byte_fallback
     if train.model_type == UNIGRAM:
-        core = models.Unigram([(p.piece, p.score) for p in model.pieces], unknown, fallback)
+        # Control pieces never match a text: no normalised text has a blank.
+        vocabulary = [(p.piece if p.type in (NORMAL, BYTE) else " " + p.piece, p.score) for p in model.pieces]
+        core = models.Unigram(vocabulary, unknown, fallback)
     else:
         vocabulary = {p.piece: i for i, p in enumerate(model.pieces)}
         mark = model.pieces[unknown].piece if unknown is not None else None
@@ -117,15 +119,13 @@ class Codec:
         return [np.array(x, "<u4").tobytes() for x in self._library_ids([lead + p for p in pieces])]
 
     def _verified(self, pieces: list[str], first: bool, found: list[bytes]) -> list[bytes]:
-        """Notes the pieces that sentencepiece itself encodes otherwise."""
+        """The ids; pieces that sentencepiece itself encodes otherwise are noted and get its ids."""
         lead = "" if first or self.prefix else " "
-        expected = self.truth.encode([lead + p for p in pieces], num_threads=self.threads)
-        for p, own, other in zip(pieces, found, expected, strict=True):
-            if own != np.array(other, "<u4").tobytes():
-                if len(self.differs) > 100_000:
-                    raise ValueError("the rebuilt tokenizer differs from the model")
-                self.differs.add(p)
-        return found
+        expected = [np.array(x, "<u4").tobytes() for x in self.truth.encode([lead + p for p in pieces], num_threads=self.threads)]
+        self.differs.update(p for p, own, other in zip(pieces, found, expected, strict=True) if own != other)
+        if len(self.differs) > 100_000:
+            raise ValueError("the rebuilt tokenizer differs from the model")
+        return expected
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of a batch, where each text's ids start, and whether all of its pieces agree with sentencepiece."""
@@ -161,8 +161,9 @@ def encode_documents(docs: DataFrame, model: str, text_col: str = "text", thread
     """``docs`` with ``ids`` (array of int) and ``parity``; input columns of these names are replaced.
 
     ``model`` is the path of the model file on every machine. Null and empty
-    texts have no ids. ``parity`` says that every piece of the text has the ids
-    that sentencepiece gives it; ids never depend on other rows or on the batch.
+    texts have no ids. ``parity`` says that the rebuilt tokenizer gave every
+    piece of the text the ids that sentencepiece gives it (where not, the ids are
+    those of sentencepiece); ids never depend on other rows or on the batch.
     """
     docs = docs.select(*without(docs, ["ids", "parity"]))
     at = docs.columns.index(text_col)

@@ -124,13 +124,14 @@ def resolve_revisits(records: DataFrame, rows: int = 50_000) -> DataFrame:
     agrees = agreement(stored, fresh, F.col("target.digest"), F.col("own.digest"))
     outcome = F.when(F.col("target").isNull(), "missing").when(agrees, "resolved").when(agrees.isNull(), "unchecked").otherwise("mismatch")
     taken = F.col("outcome").isin("resolved", "unchecked")
-    return found.withColumn("outcome", outcome).select(
-        "own.*",
+    judged = found.withColumn("outcome", outcome).select(
+        "own",
         "outcome",
         F.when(taken, F.col("target.id")).alias("refers_to"),
         F.when(taken, F.col("target.date")).alias("refers_to_date"),
         F.when(taken, merged_fields(stored, fresh)).alias("merged"),
     )
+    return judged.select("own.*", "outcome", "refers_to", "refers_to_date", "merged")
 
 
 def header_text(headers: str | Column) -> Column:
