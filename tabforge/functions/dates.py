@@ -11,18 +11,27 @@ FORMATS = {
     r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$": "yyyy-MM-dd HH:mm",
     r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$": "yyyy-MM-dd'T'HH:mm:ss",
     r"^\d{4}-\d{2}-\d{2}$": "yyyy-MM-dd",
+    r"^\d{4}/\d{2}/\d{2}$": "yyyy/MM/dd",
+    r"^\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}$": "yyyy/MM/dd HH:mm:ss",
+    r"^\d{1,2} [A-Z][a-z]{2} \d{4}$": "d MMM yyyy",
+    r"^\d{1,2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2}$": "d MMM yyyy HH:mm:ss",
     r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$": "M/d/yyyy H:mm:ss",
     r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$": "M/d/yyyy H:mm",
     r"^\d{1,2}/\d{1,2}/\d{4}$": "M/d/yyyy",
 }
 
 
+# Fixed value: the shape with a fraction of a second, an offset, or both; the instant is taken in UTC.
+PRECISE = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(?:\.\d{1,9})?(?:Z|[+-]\d{2}:?\d{2})?$"
+
+
 def parse_timestamp(text: Column, formats: dict[str, str] | None = None) -> Column:
     """Timestamp of the notation whose shape fits; NULL when none fits or the date does not exist.
 
     Testing the shape first matters: a failed parse costs an exception per row.
     """
-    out = F.lit(None).cast("timestamp_ntz")
+    none = F.lit(None).cast("timestamp_ntz")
+    out = none if formats else F.when(text.rlike(PRECISE), text.try_cast("timestamp").cast("timestamp_ntz")).otherwise(none)
     for shape, pattern in reversed((formats or FORMATS).items()):
         parsed = F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
         out = F.when(text.rlike(shape), parsed).otherwise(out)

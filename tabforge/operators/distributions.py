@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions.numeric import half_even, not_nan
@@ -50,9 +50,9 @@ def histogram(df: DataFrame, column: str, bins: int = 80, scales: tuple[str, ...
 def kde(df: DataFrame, column: str, points: int = 100, group: str | None = None, digits: int = 10) -> DataFrame:
     """Gaussian density (Scott bandwidth) on an even grid over each group's data range.
 
-    Every value contributes to every grid point. Equal values are counted first;
-    each task then folds its values into ``points`` partial sums per group, so
-    only those sums are shuffled. A group without spread has no density.
+    Every value contributes to every grid point. One aggregate has a sum per
+    grid point, so a task keeps ``points`` partial sums per group and only those
+    are shuffled. A group without spread has no density.
     """
     x = not_nan(column)
     if group:
@@ -70,18 +70,23 @@ def kde(df: DataFrame, column: str, points: int = 100, group: str | None = None,
         ),
         "kde-shape",
     )
-    cells = data.groupBy("g", "x").agg(F.count(F.lit(1)).cast("double").alias("c"))
-    spread = cells.join(shape.where("h > 0"), F.col("g") == F.col("_g")).select(
-        "g", "x", "c", "n", "lo", "hi", "h", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i")
-    )
-    at = F.col("lo") + F.col("i") * (F.col("hi") - F.col("lo")) / F.lit(float(points - 1))
-    z = (F.col("x") - at) / F.col("h")
-    sums = spread.groupBy("g", "i", "n", "lo", "hi", "h").agg(F.sum(F.col("c") * F.exp(F.lit(-0.5) * z * z)).alias("s"))
+    rows = data.join(shape.where("h > 0"), F.col("g") == F.col("_g"))
+
+    def at(i: Column) -> Column:
+        return F.col("lo") + i * (F.col("hi") - F.col("lo")) / F.lit(float(points - 1))
+
+    def share(i: int) -> Column:
+        z = (F.col("x") - at(F.lit(i))) / F.col("h")
+        return F.sum(F.exp(F.lit(-0.5) * z * z)).alias(f"s{i}")
+
+    fixed, cells = ["g", "n", "lo", "hi", "h"], [f"s{i}" for i in range(points)]
+    sums = rows.groupBy(*fixed).agg(*[share(i) for i in range(points)]).unpivot(fixed, cells, "cell", "s")
+    sums = sums.withColumn("i", F.substring("cell", 2, 9).cast("int"))
     density = F.col("s") / (F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
     out = sums.select(
         F.col("g").alias(group or "series"),
         "i",
-        half_even(at, 4).alias("x"),
+        half_even(at(F.col("i")), 4).alias("x"),
         half_even(density, digits).alias("density"),
     )
     return out.orderBy(group or "series", "i")

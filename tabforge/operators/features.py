@@ -17,7 +17,7 @@ from tabforge.operators.lookups import lookup_default
 from tabforge.operators.quantiles import column_stats
 from tabforge.session import materialize
 
-VOCABULARY_CAP = 1_000
+VOCABULARY_CAP = None  # no limit unless one is asked for
 
 
 @dataclass(frozen=True)
@@ -37,7 +37,7 @@ class FeatureConfig:
     test_share: float = 0.2
     seed: int = 42
     vocabulary: str = "full"
-    cap: int = VOCABULARY_CAP
+    cap: int | None = VOCABULARY_CAP
 
     @property
     def one_hot(self) -> tuple[str, ...]:
@@ -87,15 +87,15 @@ def log_numeric(df: DataFrame, columns: tuple[str, ...] | list[str]) -> DataFram
     return df.withColumns({c: F.when(F.col(c).isNotNull(), v) for c, v in clipped.items()})
 
 
-def vocabulary(df: DataFrame, columns: list[str] | tuple[str, ...], cap: int = VOCABULARY_CAP) -> dict[str, list[str]]:
-    """Sorted distinct values per column, from one scan. A column over the cap raises before any collect."""
+def vocabulary(df: DataFrame, columns: list[str] | tuple[str, ...], cap: int | None = VOCABULARY_CAP) -> dict[str, list[str]]:
+    """Sorted distinct values per column, from one scan. With a ``cap``, a column over it raises before any collect."""
     present = [c for c in columns if c in df.columns]
     if not present:
         return {}
     long = df.select(*[F.col(c).cast("string").alias(c) for c in present]).unpivot([], present, "column", "value")
     seen = materialize(long.where(F.col("value").isNotNull()).distinct(), "vocabulary")
     sizes = {r["column"]: r["n"] for r in seen.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-    large = {c: n for c, n in sizes.items() if n > cap}
+    large = {c: n for c, n in sizes.items() if cap is not None and n > cap}
     if large:
         raise ValueError(f"too many values for one-hot encoding (cap {cap}): {large}; target-encode them")
     out: dict[str, list[str]] = {c: [] for c in present}

@@ -80,8 +80,10 @@ def fit_tree(train: DataFrame, max_depth: int = 5, min_leaf: int = 1, seed: int
 
 
 def _depth(depth: int | None) -> int:
-    """Unlimited depth becomes the deepest tree Spark grows."""
-    return MAX_DEPTH if depth is None else min(depth, MAX_DEPTH)
+    """Unlimited depth becomes the deepest tree Spark grows; a deeper one cannot be asked for."""
+    if depth is not None and depth > MAX_DEPTH:
+        raise ValueError(f"Spark grows trees to depth {MAX_DEPTH}, not {depth}")
+    return MAX_DEPTH if depth is None else depth
 
 
 def fit_forest(
@@ -129,6 +131,17 @@ class EarlyStopped:
     val_rmse: float
 
 
+def best_iteration(losses: list[float], patience: int) -> int:
+    """Number of rounds to keep: the best one before ``patience`` rounds in a row bring nothing better."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 def fit_gbt_early_stop(
     train: DataFrame,
     val: DataFrame,
@@ -138,29 +151,19 @@ def fit_gbt_early_stop(
     rows: float = 0.8,
     features: str = "0.8",
     min_leaf: int = 1,
-    tolerance: float = 0.0,
+    patience: int = 50,
     seed: int = 42,
 ) -> EarlyStopped:
-    """Boosting that stops on the validation rows; the model ends at its best iteration.
+    """Boosting cut at its best iteration on the validation rows.
 
-    Spark stops when the validation error improves by less than ``tolerance``,
-    not after a number of rounds without gain.
+    All rounds are fitted on the training rows and judged in one pass over the
+    validation rows; the rule of ``patience`` then picks the round, and the
+    model is fitted again with that many trees (the seed makes them the same).
     """
-    marked = train.withColumn("is_val", F.lit(False)).unionByName(val.withColumn("is_val", F.lit(True)))
-    model = GBTRegressor(
-        maxIter=trees,
-        stepSize=rate,
-        maxDepth=max_depth,
-        subsamplingRate=rows,
-        featureSubsetStrategy=features,
-        minInstancesPerNode=min_leaf,
-        validationIndicatorCol="is_val",
-        validationTol=tolerance,
-        seed=seed,
-    ).fit(marked)
-    losses = model.evaluateEachIteration(val, "squared")
-    best = min(range(len(losses)), key=losses.__getitem__)
-    return EarlyStopped(model, best + 1, losses[best] ** 0.5)
+    options = {"rate": rate, "max_depth": max_depth, "rows": rows, "features": features, "min_leaf": min_leaf, "seed": seed}
+    losses = fit_gbt(train, trees, **options).evaluateEachIteration(val, "squared")
+    best = best_iteration(losses, patience)
+    return EarlyStopped(fit_gbt(train, best, **options), best, losses[best - 1] ** 0.5)
 
 
 def predict_splits(model: Model, data: DataFrame, name: str, keys: tuple[str, ...] = ()) -> DataFrame:

@@ -51,12 +51,8 @@ def structure(df: DataFrame) -> DataFrame:
     )
 
 
-def head(df: DataFrame, n: int = 5) -> DataFrame:
-    return df.limit(n)
-
-
 def missing_audit(df: DataFrame) -> DataFrame:
-    """Missing count and share of the columns that have any, with the table's total beside them."""
+    """Missing count and share of the columns that have any; ``total_missing`` sums them up."""
     rows = structure(df)
     total = F.col("nulls") > 0
     return rows.where(total).select(
@@ -131,17 +127,17 @@ def iqr_outliers(df: DataFrame, columns: list[str]) -> DataFrame:
     }
     aggs = []
     for c in columns:
-        low, high = fences[c]
+        low, high = fences.setdefault(c, (None, None))  # a table without rows has no fences
         x = not_nan(c)
-        outside = (x < F.lit(low)) | (x > F.lit(high))
+        outside = (x < F.lit(low).cast("double")) | (x > F.lit(high).cast("double"))
         aggs += [F.count_if(outside).alias(f"o_{c}"), F.count(x).alias(f"n_{c}")]
     return _entries(
         df.agg(*aggs),
         [
             F.struct(
                 F.lit(c).alias("column"),
-                half_even(F.lit(fences[c][0]), 4).alias("lower"),
-                half_even(F.lit(fences[c][1]), 4).alias("upper"),
+                half_even(F.lit(fences[c][0]).cast("double"), 4).alias("lower"),
+                half_even(F.lit(fences[c][1]).cast("double"), 4).alias("upper"),
                 F.col(f"o_{c}").alias("outliers"),
                 half_even(percent(F.col(f"o_{c}"), F.col(f"n_{c}")), 2).alias("outlier_pct"),
             )
@@ -171,19 +167,17 @@ def column_cardinality(df: DataFrame, columns: list[str]) -> DataFrame:
     return rows.withColumn("dtype", dtype)
 
 
-def timestamp_like(df: DataFrame, sample: int = 10) -> list[str]:
-    """String columns whose first non-missing values all parse as timestamps.
+def timestamp_like(df: DataFrame) -> list[str]:
+    """String columns whose non-missing values all parse as timestamps, from one scan of all values.
 
-    Reads at most ``sample`` values per column. A column without values counts
-    as one, and plain numbers do not.
+    A column without values counts as one, and plain numbers do not.
     """
-    found = []
-    for c in string_columns(df):
-        values = df.select(F.col(c).alias("v")).where(F.col("v").isNotNull()).limit(sample)
-        bad = values.where(~looks_like_timestamp(F.col("v")))
-        if bad.isEmpty():
-            found.append(c)
-    return found
+    columns = string_columns(df)
+    if not columns:
+        return []
+    bad = [F.count_if(F.col(f"`{c}`").isNotNull() & ~looks_like_timestamp(F.col(f"`{c}`"))).alias(f"b{i}") for i, c in enumerate(columns)]
+    row = df.agg(*bad).first()
+    return [c for i, c in enumerate(columns) if not row[f"b{i}"]]
 
 
 def detect_timestamps(df: DataFrame) -> DataFrame:

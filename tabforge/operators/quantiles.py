@@ -1,17 +1,12 @@
-"""Exact grouped quantiles that stay bounded under hot groups.
+"""Exact grouped quantiles by repeated binning, bounded for groups of any size.
 
 Spark's ``percentile`` keeps every distinct value of a group in one map in one
-task, so a group with a third of a large table does not fit.  Here:
-
-1. One pass gives each group's count, range and moments.
-2. Only if groups exceed ``small_group`` rows: ``percentile_approx`` sketches of
-   those groups (bounded, map-side combined) give, per probability, two values
-   between which the wanted order statistic must lie.  A smaller group is one
-   bracket from its minimum to its maximum.
-3. Rows are counted per (group, value) inside the brackets and per gap outside
-   them, spread over the cluster by value, and the running count over the
-   bounded rest of each group finds the exact order statistic.  A statistic
-   outside its bracket raises.
+task, so a group with a third of a large table does not fit.  Here a pass gives
+each group's count and range, which is a bracket around each wanted order
+statistic.  As long as a bracket holds many rows, they are counted in equal bins
+of it, and the bin with the order statistic, cut to the values that occur, is
+the next bracket.  Only counts per bin are shuffled, combined on the map side.
+Brackets of one value are done; the rows of small ones are counted by value.
 """
 
 from __future__ import annotations
@@ -25,7 +20,9 @@ from tabforge.functions.numeric import not_nan, sample_skewness
 from tabforge.session import materialize
 
 DEFAULT_ACCURACY = 10_000
-SMALL_GROUP = 1_000_000
+BINS = 4096
+LISTED = 50_000  # a bracket with no more rows is counted value by value
+_LARGEST = 1.7976931348623157e308
 
 _STATS: dict[str, Callable[[Column], Column]] = {
     "mean": F.avg,
@@ -47,14 +44,16 @@ def group_stats(
     keep: Callable[[DataFrame], DataFrame] | None = None,
     scalars: dict[str, Callable[[DataFrame], Column]] | None = None,
     accuracy: int = DEFAULT_ACCURACY,
-    small_group: int = SMALL_GROUP,
     approximate: bool = False,
+    bins: int = BINS,
+    listed: int = LISTED,
 ) -> DataFrame:
     """Per-group ``count``, ``stats`` and interpolated ``quantiles`` of ``value``.
 
     ``keep`` narrows the table of groups between the passes (top-n, non-null
     keys), so that quantiles are only worked out for the groups that are kept.
-    ``approximate=True`` returns the sketch's answer after one pass.
+    ``approximate=True`` returns a sketch's answer after one pass. ``bins`` and
+    ``listed`` set the size of what a task of the exact way may hold.
     ``scalars`` adds columns worked out over the stored table of all groups
     (count and ``stats``), such as the overall mean.
     """
@@ -80,44 +79,102 @@ def group_stats(
         sketched = [F.col("_q")[i].alias(name) for i, name in enumerate(quantiles)]
         return base.select(*keys, *plain, *sketched).withColumns(extra)
 
-    located = _locate(data, keys, _brackets(data, base, keys, probs, accuracy, small_group), len(probs))
-    running = Window.partitionBy(*keys).orderBy(F.col("_rep").asc_nulls_first(), "_gap")
-    upto = F.sum("_c").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = located.withColumn("_cum", upto)
-
-    # Row of the k-th value (from 0): the first whose running count exceeds k.
-    def holds(k: Column) -> Column:
-        return (F.col("_cum") > k) & (F.col("_cum") - F.col("_c") <= k)
+    found = order_statistics(data, base, keys, probs, bins, listed)
 
     def position(p: float) -> Column:
         return F.lit(p) * (F.col("_n") - 1)
 
-    hits = [(holds(F.floor(position(p))), holds(F.ceil(position(p)))) for p in probs]
-    picks = [F.max(F.when(_any([h for pair in hits for h in pair]), F.col("_gap"))).alias("_missed")]
-    for i, (low, high) in enumerate(hits):
-        picks += [F.max(F.when(low, F.col("_rep"))).alias(f"_a{i}"), F.max(F.when(high, F.col("_rep"))).alias(f"_b{i}")]
-    found = ranked.groupBy(*keys, "_n").agg(*picks)
-
-    def interpolated(i: int, p: float, name: str) -> Column:
-        frac = position(p) - F.floor(position(p))
-        value = between(F.col(f"_a{i}"), F.col(f"_b{i}"), frac)
-        broken = F.raise_error(F.lit("quantile fell outside its bracket"))
-        return F.when(F.col("_missed") > 0, broken).otherwise(value).alias(name)
-
-    exact = found.select(
-        *[F.col(k).alias(f"_k{j}") for j, k in enumerate(keys)],
-        *[interpolated(i, p, name) for i, (name, p) in enumerate(quantiles.items())],
+    picks = []
+    for i, p in enumerate(probs):
+        picks += [F.max(F.when(F.col("_rank") == rank, F.col("_value"))).alias(f"_{side}{i}") for side, rank in (("a", F.floor(position(p))), ("b", F.ceil(position(p))))]
+    named = [f"_k{j}" for j in range(len(keys))]
+    picked = found.groupBy(*named, "_n").agg(*picks)
+    fracs = [position(p) - F.floor(position(p)) for p in probs]
+    exact = picked.select(
+        *named, *[between(F.col(f"_a{i}"), F.col(f"_b{i}"), fracs[i]).alias(name) for i, name in enumerate(quantiles)]
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_k{j}")) for j, k in enumerate(keys)]
-    joined = base.join(exact, _all(same), "left")
+    joined = base.join(exact, _same(keys), "left")
     return joined.select(*keys, *plain, *quantiles).withColumns(extra)
 
 
+def _same(keys: list[str]) -> Column:
+    return _all([F.col(k).eqNullSafe(F.col(f"_k{j}")) for j, k in enumerate(keys)])
+
+
+def _in_brackets(data: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows inside the brackets of their group, with the bracket."""
+    named = [f"_k{j}" for j in range(len(keys))]
+    packed = brackets.groupBy(*named).agg(F.collect_set(F.struct("_lo", "_hi")).alias("_brackets"))
+    around = F.filter("_brackets", lambda b: F.col("_x").between(b["_lo"], b["_hi"]))
+    return data.join(packed, _same(keys)).select(*named, "_x", F.explode(around).alias("_b")).select(*named, "_x", "_b.*")
+
+
+def order_statistics(data: DataFrame, groups: DataFrame, keys: list[str], probs: list[float], bins: int, listed: int) -> DataFrame:
+    """``(_k0.., _n, _rank, _value)``: the values at the ranks that the probabilities need, per group.
+
+    ``data`` has the keys and ``_x``; ``groups`` has the keys, ``count``, ``_lo``
+    and ``_hi``. Infinite values count as the largest finite ones while bins are
+    made.
+    """
+    named = [f"_k{j}" for j in range(len(keys))]
+    finite = lambda x: F.greatest(F.least(x, F.lit(_LARGEST)), F.lit(-_LARGEST))
+    data = data.where(F.col("_x").isNotNull()).withColumn("_x", finite(F.col("_x").cast("double")))
+    position = [F.lit(p) * (F.col("count") - 1) for p in probs]
+    ranks = F.array_distinct(F.array(*[f(x).cast("long") for x in position for f in (F.floor, F.ceil)]))
+    targets = groups.where(F.col("count") > 0).select(
+        *[F.col(k).alias(n) for k, n in zip(keys, named, strict=True)],
+        F.col("count").alias("_n"),
+        F.explode(ranks).alias("_rank"),
+        finite(F.col("_lo").cast("double")).alias("_lo"),
+        finite(F.col("_hi").cast("double")).alias("_hi"),
+        F.lit(0).cast("long").alias("_below"),
+        F.col("count").alias("_rows"),
+    )
+    done = None
+    columns = [*named, "_n", "_rank"]
+    wide = (F.col("_lo") < F.col("_hi")) & (F.col("_rows") > listed)
+    targets = materialize(targets, "order-statistics")
+    while not (open_ := targets.where(wide)).isEmpty():
+        share = (F.col("_x") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
+        counted = (
+            _in_brackets(data, open_, keys)
+            .withColumn("_bin", F.least(F.floor(share * bins), F.lit(bins - 1)))
+            .groupBy(*named, "_lo", "_bin")
+            .agg(F.min("_x").alias("_least"), F.max("_x").alias("_most"), F.count(F.lit(1)).alias("_c"))
+        )
+        next_ = _holding(open_, counted, keys, "_bin").select(
+            *columns, F.col("_least").alias("_lo"), F.col("_most").alias("_hi"), F.col("_before").alias("_below"), F.col("_c").alias("_rows")
+        )
+        rest = targets.where(~wide)
+        done = rest if done is None else done.union(rest)
+        targets = materialize(next_, "order-statistics")
+    done = targets if done is None else done.union(targets)
+    several = done.where("_lo < _hi")
+    values = _in_brackets(data, several, keys).groupBy(*named, "_lo", "_x").agg(F.count(F.lit(1)).alias("_c"))
+    single = done.where("_lo = _hi").select(*columns, F.col("_lo").alias("_value"))
+    found = single.union(_holding(several, values, keys, "_x").select(*columns, F.col("_x").alias("_value")))
+    infinite = F.lit(float("inf"))
+    value = F.when(F.col("_value") == _LARGEST, infinite).when(F.col("_value") == -_LARGEST, -infinite).otherwise(F.col("_value"))
+    return found.withColumn("_value", value)
+
+
+def _holding(targets: DataFrame, counted: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Each target with the counted cell of its bracket that holds its rank; ``_before`` are the rows below the cell."""
+    named = [f"_k{j}" for j in range(len(keys))]
+    upto = Window.partitionBy(*named, "_lo").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = counted.withColumn("_upto", F.sum("_c").over(upto))
+    cells = cells.select(*[F.col(n).alias(f"_c{n}") for n in named], F.col("_lo").alias("_cell_lo"), *[c for c in cells.columns if c not in (*named, "_lo")])
+    same = _all([F.col(n).eqNullSafe(F.col(f"_c{n}")) for n in named]) & (F.col("_lo") == F.col("_cell_lo"))
+    inside = (F.col("_below") + F.col("_upto") > F.col("_rank")) & (F.col("_below") + F.col("_upto") - F.col("_c") <= F.col("_rank"))
+    return targets.join(cells, same & inside).withColumn("_before", F.col("_below") + F.col("_upto") - F.col("_c"))
+
+
 def between(low: Column, high: Column, frac: Column) -> Column:
     """Linear interpolation that starts from the nearer end, so that no last digit is lost."""
     gap = high - low
     return (
-        F.when(frac == 0.5, (low + high) / 2)
+        F.when(low == high, low)  # also for infinite values
+        .when(frac == 0.5, (low + high) / 2)
         .when(frac > 0.5, high - gap * (F.lit(1.0) - frac))
         .otherwise(low + gap * frac)
     )
@@ -140,81 +197,10 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
-def _any(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out | c
-    return out
-
-
 def _sketch(probs: list[float], accuracy: int) -> Column:
     return F.percentile_approx("_x", F.array(*map(F.lit, probs)), F.lit(accuracy))
 
 
-def _brackets(
-    data: DataFrame, base: DataFrame, keys: list[str], probs: list[float], accuracy: int, small_group: int
-) -> DataFrame:
-    """Per group and probability: a low and a high value around the order statistic.
-
-    The sketch's rank error is at most ``n / accuracy``; the brackets allow
-    twice that, which also covers rounding since ``n`` exceeds ``accuracy``.
-    """
-    named = [F.col(k).alias(f"_k{j}") for j, k in enumerate(keys)]
-    groups = base.where(F.col("count") > 0).select(*named, "count", "_lo", "_hi")
-    low, high = [F.col("_lo")] * len(probs), [F.col("_hi")] * len(probs)
-    limit = max(small_group, accuracy)
-    large = groups.where(F.col("count") > limit)
-    if not large.isEmpty():
-        margin = 2.0 / accuracy
-        around = [b for p in probs for b in (max(0.0, p - margin), min(1.0, p + margin))]
-        wanted = large.select(*[f"_k{j}" for j in range(len(keys))])
-        same = _all([F.col(k).eqNullSafe(F.col(f"_k{j}")) for j, k in enumerate(keys)])
-        rows = data.join(wanted, same, "left_semi")
-        sketches = materialize(
-            rows.groupBy(*[F.col(k).alias(f"_s{j}") for j, k in enumerate(keys)]).agg(
-                _sketch(around, accuracy).alias("_around")
-            ),
-            "sketches",
-        )
-        matched = _all([F.col(f"_k{j}").eqNullSafe(F.col(f"_s{j}")) for j in range(len(keys))])
-        groups = groups.join(sketches, matched, "left")
-        # A side that reaches the end of the range keeps the group's own extreme.
-        low = [F.col("_lo") if p <= margin else F.coalesce(F.col("_around")[2 * i], "_lo") for i, p in enumerate(probs)]
-        high = [
-            F.col("_hi") if p >= 1 - margin else F.coalesce(F.col("_around")[2 * i + 1], "_hi")
-            for i, p in enumerate(probs)
-        ]
-    return groups.select(
-        *[f"_k{j}" for j in range(len(keys))],
-        F.col("count").alias("_n"),
-        *[c.alias(f"_lo{i}") for i, c in enumerate(low)],
-        *[c.alias(f"_hi{i}") for i, c in enumerate(high)],
-    )
-
-
-def _locate(data: DataFrame, keys: list[str], brackets: DataFrame, m: int) -> DataFrame:
-    """Counts per (group, value) inside the brackets and per gap outside them."""
-    x = F.col("_x")
-    rows = data.where(x.isNotNull())
-    same = [F.col(k).eqNullSafe(F.col(f"_k{j}")) for j, k in enumerate(keys)]
-    rows = rows.join(brackets, _all(same))
-    inside = F.lit(False)
-    for i in range(m):
-        inside = inside | x.between(F.col(f"_lo{i}"), F.col(f"_hi{i}"))
-    passed = [F.when(F.col(f"_hi{i}") < x, F.col(f"_hi{i}")) for i in range(m)]
-    below = F.greatest(*passed) if m > 1 else passed[0]
-    return (
-        rows.select(
-            *keys,
-            "_n",
-            F.when(inside, x).otherwise(below).alias("_rep"),
-            F.when(inside, 0).otherwise(1).alias("_gap"),
-        )
-        .groupBy(*keys, "_n", "_rep", "_gap")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-
-
 def column_stats(
     df: DataFrame,
     columns: list[str],

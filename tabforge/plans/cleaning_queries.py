@@ -163,8 +163,7 @@ def _lookup(spark, d):
     t = B.signal(B.flights(spark, d)).select("trip_key", "destination_name", F.log1p("fare").alias("y"), "split")
     train = t.where(F.col("split") == "train")
     means, overall = target_means(train, "destination_name", "y")
-    rest = t.where(F.col("split") != "train")
-    coded = L.lookup_default(rest, means, "destination_name", "mean", F.lit(overall), "te")
+    coded = L.lookup_default(t, means, "destination_name", "mean", F.lit(overall), "te")
     return coded.select("trip_key", "destination_name", half_even("te", 8).alias("te"))
 
 
@@ -175,8 +174,7 @@ def _means(t, label):
 
 def _align_outer(spark, d):
     t = B.flights(spark, d)
-    late = t.where(F.col("days_left") > 2000)
-    return L.align_outer(_means(late, "A"), _means(late, "R"), "destination_name")
+    return L.align_outer(_means(t, "A"), _means(t, "R"), "destination_name")
 
 
 def _scalar_broadcast(spark, d):
@@ -368,12 +366,12 @@ def oracles():
         "lookup_default": _flights(
             f", t AS (SELECT *, ln(1 + fare) AS y, {split} AS split FROM flights), m AS (SELECT destination_name AS k, avg(y) AS m FROM t WHERE split = 'train' GROUP BY 1) "
             "SELECT trip_key, destination_name, round_even(coalesce(m, (SELECT avg(y) FROM t WHERE split = 'train')), 8) AS te "
-            "FROM t LEFT JOIN m ON destination_name = k WHERE split <> 'train'"
+            "FROM t LEFT JOIN m ON destination_name = k"
         ),
         "align_outer": _flights(
             "SELECT coalesce(a.k, b.k) AS destination_name, mean_a, mean_r FROM "
-            "(SELECT destination_name AS k, round_even(avg(ln(1 + fare)), 8) AS mean_a FROM flights WHERE days_left > 2000 AND stopover_label = 'A' GROUP BY 1) a FULL JOIN "
-            "(SELECT destination_name AS k, round_even(avg(ln(1 + fare)), 8) AS mean_r FROM flights WHERE days_left > 2000 AND stopover_label = 'R' GROUP BY 1) b ON a.k = b.k"
+            "(SELECT destination_name AS k, round_even(avg(ln(1 + fare)), 8) AS mean_a FROM flights WHERE stopover_label = 'A' GROUP BY 1) a FULL JOIN "
+            "(SELECT destination_name AS k, round_even(avg(ln(1 + fare)), 8) AS mean_r FROM flights WHERE stopover_label = 'R' GROUP BY 1) b ON a.k = b.k"
         ),
         "scalar_broadcast": _flights(
             "SELECT trip_key, round_even(fare - (SELECT avg(fare) FROM flights), 2) AS diff FROM flights"

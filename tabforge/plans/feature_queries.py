@@ -83,7 +83,7 @@ def _roundtrip(spark, d):
     IO.write_splits(X.feature_set(flights, model, ("trip_key",)), data)
     model.save(spark, state)
     again = X.FeatureModel.load(spark, state)
-    loaded = IO.load_splits(spark, data, ["val"])
+    loaded = IO.load_splits(spark, data, ["train", "val"])
     rebuilt = X.feature_set(flights, again, ("trip_key",)).where("split = 'test'")
     return _rounded(loaded.unionByName(rebuilt))
 
@@ -180,7 +180,7 @@ def oracles():
         "FROM rows LEFT JOIN te ON route = k",
         "feat_standardize": flights + split + f"SELECT trip_key, split, {raw_scaled} FROM t",
         "feature_flow": rows + flow_sql(),
-        "feature_set_roundtrip": rows + flow_sql("WHERE split <> 'train'"),
+        "feature_set_roundtrip": rows + flow_sql(""),
         "scaler_params": rows + params,
         "scaled_stats": rows + stats,
         "te_top_categories": rows

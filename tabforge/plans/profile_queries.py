@@ -133,6 +133,7 @@ def queries():
         "describe_numeric": on(lambda t: P.describe_numeric(t, NUMBERS), B.gaps),
         "describe_all": on(lambda t: P.describe_all(t, NUMBERS, TEXTS), B.gaps),
         "missing_audit": on(P.missing_audit, profiled),
+        "total_missing": on(P.total_missing, profiled),
         "duplicate_rows": on(lambda t: P.duplicate_rows(t.select(*REPEATED)), B.gaps),
         "detect_timestamp_cols": on(lambda t: P.detect_timestamps(_texts(t))),
         "classify_columns": on(lambda t: P.classify_columns(_texts(t))),
@@ -202,6 +203,7 @@ def oracles():
             'SELECT "column", nulls AS missing_count, round_even(nulls * 100.0 / rows, 2) AS missing_pct '
             f"FROM ({structure}) WHERE nulls > 0"
         ),
+        "total_missing": _gaps(f"SELECT CAST(sum(nulls) AS BIGINT) AS missing_cells FROM ({structure})"),
         "duplicate_rows": _gaps(
             "SELECT CAST(sum(n) - count(*) AS BIGINT) AS duplicate_rows, "
             "round_even((sum(n) - count(*)) * 100.0 / sum(n), 2) AS duplicate_pct "

@@ -59,16 +59,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/{name}.parquet", SCHEMAS[name])
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Shuffles the rows over the cores when the scan has fewer tasks than cores.
-
-    A file with a single row group is read by one task, which would then also
-    do all the joins. Tables of many files are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def joined_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys, categories, numbers and the two timestamps, joined from the star schema.
 
@@ -78,7 +68,6 @@ def joined_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     line, orders, customer, supplier, part, nation = (
         table(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "supplier", "part", "nation")
     )
-    line = spread(line, "l_orderkey")
     origin = nation.select(F.col("n_nationkey").alias("_sn"), F.col("n_name").alias("source"))
     goal = nation.select(F.col("n_nationkey").alias("_cn"), F.col("n_name").alias("destination"))
     joined = (

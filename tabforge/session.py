@@ -22,6 +22,9 @@ def work_dir(spark: SparkSession) -> str:
     """Folder for this application's intermediates, on storage all executors share."""
     app = spark.sparkContext.applicationId
     base = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
+    if not base and not master.startswith("local[") and master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not base:
         # Only single-machine sessions (tests) run without the setting.
         if app not in _fallback:

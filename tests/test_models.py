@@ -92,6 +92,15 @@ def test_trees_importances_and_agreement(spark, train):
 
 def test_unlimited_depth():
     assert M._depth(None) == 30 and M._depth(15) == 15
+    with pytest.raises(ValueError, match="depth"):
+        M._depth(31)
+
+
+def test_patience_bridges_a_dip():
+    losses = [9.0, 7.0, 8.0, 8.5, 6.0, 6.5, 6.4, 6.3, 5.0]
+    assert M.best_iteration(losses, 3) == 5
+    assert M.best_iteration(losses, 2) == 2
+    assert M.best_iteration(losses, 50) == 9
 
 
 def test_early_stop_ends_at_its_best_iteration(train, val):

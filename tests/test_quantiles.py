@@ -26,8 +26,8 @@ def test_brackets_are_exact_for_hot_groups(spark, values):
     }[values]
     g = np.where(rng.random(n) < 0.7, "hot", rng.choice(["a", "b", "c"], n))
     df = _frame(spark, list(zip(g.tolist(), x.tolist(), strict=True)))
-    # every group but the smallest goes through the sketch
-    out = group_stats(df, ["g"], "x", PROBS, ("mean",), accuracy=200, small_group=200).collect()
+    # every group is narrowed several times before its rows are listed
+    out = group_stats(df, ["g"], "x", PROBS, ("mean",), bins=8, listed=20).collect()
     assert len(out) == 4
     for row in out:
         own = x[g == row["g"]]
@@ -36,9 +36,9 @@ def test_brackets_are_exact_for_hot_groups(spark, values):
             assert row[name] == pytest.approx(np.quantile(own, p), rel=1e-15, abs=1e-12), (row["g"], name)
 
 
-def test_sketched_and_unsketched_agree(spark):
+def test_binned_and_listed_agree(spark):
     df = spark.range(5000).select((F.col("id") % 3).alias("g"), (F.col("id") * 37 % 4999).cast("double").alias("x"))
-    a = group_stats(df, ["g"], "x", PROBS, (), accuracy=100, small_group=100)
+    a = group_stats(df, ["g"], "x", PROBS, (), bins=16, listed=10)
     b = group_stats(df, ["g"], "x", PROBS, ())
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
@@ -52,6 +52,26 @@ def test_missing_values_single_rows_and_null_keys(spark):
     assert out[None]["m"] == 2.0
 
 
+def test_groups_of_millions_and_a_whole_column(spark):
+    df = spark.range(6_000_000).select(
+        F.when(F.col("id") % 6 < 5, "hot").otherwise("cold").alias("g"), F.pow(F.rand(1) * 10, F.lit(5)).alias("x")
+    )
+    df = materialize(df)
+    wanted = {"q": 0.25, "m": 0.5, "t": 0.999}
+    own = df.toPandas()
+    for row in group_stats(df, ["g"], "x", wanted, ()).collect():
+        assert [row[k] for k in wanted] == pytest.approx(np.quantile(own.x[own.g == row["g"]], list(wanted.values())).tolist(), rel=1e-14)
+    row = column_stats(df, ["x"], wanted, ()).first()
+    assert [row[k] for k in wanted] == pytest.approx(np.quantile(own.x, list(wanted.values())).tolist(), rel=1e-14)
+
+
+def test_extreme_values(spark):
+    rows = [("a", float(v)) for v in (-1.7e308, 1.7e308, 0.0, 1e-300, 5e-324, 1.0, 2.0)] + [("i", float("inf")), ("i", float("-inf")), ("i", 3.0)]
+    out = {r["g"]: r for r in group_stats(_frame(spark, rows), ["g"], "x", {"lo": 0.0, "m": 0.5, "hi": 1.0}, (), bins=4, listed=1).collect()}
+    assert (out["a"]["lo"], out["a"]["m"], out["a"]["hi"]) == (-1.7e308, 1e-300, 1.7e308)
+    assert (out["i"]["lo"], out["i"]["m"], out["i"]["hi"]) == (float("-inf"), 3.0, float("inf"))
+
+
 def test_empty_table(spark):
     assert group_stats(_frame(spark, []), ["g"], "x", {"m": 0.5}).collect() == []
 
