@@ -11,7 +11,7 @@ to long texts, and the ids of the documents are gathered from the pieces' ids.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -23,32 +23,67 @@ def lone_blank(also: str = "") -> re.Pattern:
     return re.compile(rf"(?<=[^\s{also}]) (?=[^\s{also}])")
 
 
+class Memory:
+    """Ids of pieces in two generations of ``size`` / 2: what is used again moves to the younger, the older is dropped when that is full."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = max(1, size // 2), {}, {}
+
+    def __len__(self) -> int:
+        return len(self.young) + len(self.old)
+
+    def look_up(self, pieces: list[str]) -> tuple[list[str], list[bytes | None]]:
+        """The pieces that are not known, in order, and for each piece its ids or None."""
+        found = list(map(self.young.get, pieces))
+        new, again = [], {}
+        for i, p in enumerate(pieces):
+            if found[i] is None:
+                ids = found[i] = self.old.get(p)
+                if ids is None:
+                    new.append(p)
+                else:
+                    again[p] = ids
+        self.add(again.keys(), again.values())
+        return new, found
+
+    def add(self, pieces: Iterable[str], ids: Iterable[bytes]) -> None:
+        for p, i in zip(pieces, ids, strict=True):
+            if len(self.young) >= self.size:
+                self.old, self.young = self.young, {}
+            self.young[p] = i
+
+
 class PieceEncoder:
     """Ids of whole texts. ``encode(pieces, first)`` gives the ids of each piece as little-endian u32 bytes.
 
     ``first`` says whether the pieces stand at the start of a text or after a
     lone blank; ``blanks`` are characters that the tokenizer takes for a blank.
-    At most ``remember`` pieces are kept between batches.
+    At most ``remember`` pieces are kept between batches, and the library gets
+    at most ``at_once`` of them at a time.
     """
 
-    def __init__(self, encode: Callable[[list[str], bool], list[bytes]], blanks: str = "", remember: int = 500_000):
-        self.encode, self.blanks, self.remember = encode, blanks, remember
+    def __init__(self, encode: Callable[[list[str], bool], list[bytes]], blanks: str = "", remember: int = 250_000, at_once: int = 40_000):
+        self.encode, self.blanks, self.at_once = encode, blanks, at_once
         self.cut = lone_blank(blanks).split
         # Pieces after a blank, pieces at the start of a text, and both for texts cut by rule.
-        self.later, self.first, self.rare_later, self.rare_first = {}, {}, {}, {}
+        self.later, self.first = Memory(remember), Memory(remember)
+        self.rare_later, self.rare_first = Memory(remember), Memory(remember)
 
     def is_odd(self, piece: str) -> bool:
         """Whether cutting at the blanks next to this piece was wrong, as they do not stand alone."""
         return not piece or piece[0].isspace() or piece[-1].isspace() or piece[0] in self.blanks or piece[-1] in self.blanks
 
-    def _ids(self, pieces: list[str], known: dict[str, bytes], new: list[str]) -> list[bytes]:
-        """Ids of ``pieces``, of which ``new`` are not yet in ``known``."""
-        if new:
-            if len(known) + len(new) > self.remember:
-                known.clear()
-                new = pieces
-            known.update(zip(new, self.encode(new, known is self.first or known is self.rare_first), strict=True))
-        return [known[p] for p in pieces]
+    def _ids(self, pieces: list[str], memory: Memory, new: list[str], found: list[bytes | None]) -> list[bytes]:
+        """Ids of ``pieces``: those ``found`` in the memory, and those of the ``new`` ones in their order."""
+        if not new:
+            return found
+        first = memory is self.first or memory is self.rare_first
+        fresh: list[bytes] = []
+        for i in range(0, len(new), self.at_once):
+            fresh += self.encode(new[i : i + self.at_once], first)
+        memory.add(new, fresh)
+        rest = iter(fresh)
+        return [next(rest) if f is None else f for f in found]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch of strings, and where each text's ids start (one entry more than texts)."""
@@ -59,13 +94,13 @@ class PieceEncoder:
         starts = starts - starts[0] if len(starts) else np.zeros(1, np.int64)
         coded = flat.dictionary_encode()
         number, pieces = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
-        new = [p for p in pieces if p not in self.later]
+        new, seen = self.later.look_up(pieces)
         if any(map(self.is_odd, new)):
             return self._with_odd(texts.to_pylist())
         heads = flat.take(pa.array(starts[:-1])).dictionary_encode()
         number[starts[:-1]] = heads.indices.to_numpy() + len(pieces)
         openings = heads.dictionary.to_pylist()
-        found = self._ids(pieces, self.later, new) + self._ids(openings, self.first, [p for p in openings if p not in self.first])
+        found = self._ids(pieces, self.later, new, seen) + self._ids(openings, self.first, *self.first.look_up(openings))
         return gathered(number, found, starts, filled, len(texts))
 
     def _with_odd(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -76,7 +111,7 @@ class PieceEncoder:
             some = list(dict.fromkeys(p for s in split for p in (s[:1] if first else s[1:])))
             places.update({(p, first): len(found) + i for i, p in enumerate(some)})
             known = self.rare_first if first else self.rare_later
-            found += self._ids(some, known, [p for p in some if p not in known])
+            found += self._ids(some, known, *known.look_up(some))
         for i, s in enumerate(split):
             if s:
                 filled.append(i)

@@ -39,15 +39,17 @@ _HEAD, _FOOT = struct.Struct("<4sHHI"), struct.Struct("<QI4s")
 
 def to_planes(ids: np.ndarray, planes: int) -> list[bytes]:
     """One packed bit array per plane of unsigned ids."""
-    bits = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :planes]
-    return [row.tobytes() for row in np.packbits(bits.T, axis=1)]
+    size = 2 if planes <= 16 else 4
+    bits = np.unpackbits(ids.astype(f"<u{size}").view(np.uint8).reshape(-1, size), axis=1, bitorder="little")
+    return [row.tobytes() for row in np.packbits(np.ascontiguousarray(bits.T[:planes]), axis=1)]
 
 
 def from_planes(planes: list[bytes], n: int) -> np.ndarray:
     rows = np.stack([np.unpackbits(np.frombuffer(p, np.uint8), count=n) for p in planes])
-    full = np.zeros((n, 32), np.uint8)
+    size = 2 if len(planes) <= 16 else 4
+    full = np.zeros((n, 8 * size), np.uint8)
     full[:, : len(planes)] = rows.T
-    return np.packbits(full, axis=1, bitorder="little").view("<u4").ravel()
+    return np.packbits(full, axis=1, bitorder="little").view(f"<u{size}").ravel().astype(np.uint32)
 
 
 class ShardWriter:
@@ -152,7 +154,7 @@ def write_token_files(
     id_col: str = "doc_id",
     text_col: str = "text",
     shards: int | None = None,
-    rows: int = 4000,
+    rows: int = 1500,
 ) -> DataFrame:
     """Write the ids of all texts to files under ``path`` and return ``(doc_id, shard, file, position, n_tokens)``.
 
