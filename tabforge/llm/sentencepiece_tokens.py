@@ -151,7 +151,7 @@ def codec(path: str, threads: int = 2) -> Codec:
     return Codec(path, threads)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 4000) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(0, batch.num_rows, rows):
             yield batch.slice(i, rows)
