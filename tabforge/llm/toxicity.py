@@ -124,8 +124,12 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def choose_features(texts: DataFrame, count: int, least_docs: int = 5) -> list[int]:
-    """The ``count`` features of ``texts(label, text)`` whose presence depends most on the label (likelihood ratio)."""
+def choose_features(texts: DataFrame, count: int, least_gain: float, least_docs: int = 3) -> list[int]:
+    """The ``count`` features of ``texts(label, text)`` whose presence depends most on the label (likelihood ratio).
+
+    Below ``least_gain`` a ratio is what chance gives among very many features,
+    and with few labels such features would take the place of the telling ones.
+    """
     n = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     totals = texts.mapInArrow(_counted, "feature long, label int, docs long").groupBy("feature").agg(
         F.sum(F.when(F.col("label") == 1, F.col("docs")).otherwise(0)).cast("double").alias("a"),
@@ -139,7 +143,7 @@ def choose_features(texts: DataFrame, count: int, least_docs: int = 5) -> list[i
 
     ratio = part(F.col("a"), share * one / both) + part(F.col("b"), share * zero / both)
     ratio += part(F.lit(one) - F.col("a"), (both - share) * one / both) + part(F.lit(zero) - F.col("b"), (both - share) * zero / both)
-    best = totals.where(share >= least_docs).withColumn("gain", ratio).orderBy(F.col("gain").desc(), "feature").limit(count)
+    best = totals.where(share >= least_docs).withColumn("gain", ratio).where(F.col("gain") >= least_gain).orderBy(F.col("gain").desc(), "feature").limit(count)
     return [r["feature"] for r in best.select("feature").collect()]
 
 
@@ -178,6 +182,7 @@ def fit_toxicity(
     label_col: str = "toxic",
     max_rows: int = 20_000,
     features: int = 2048,
+    least_gain: float = 11.0,
     l2: float = 1e-4,
     fairness: float = 1.0,
     identity: tuple[tuple[str, ...], ...] = IDENTITY_TERMS,
@@ -197,7 +202,7 @@ def fit_toxicity(
     counts = texts.agg(F.count(F.lit(1)), F.sum("label")).first()
     if not counts[0] or counts[1] in (0, counts[0]):
         return ToxicityModel(500.0 if counts[0] and counts[1] else -500.0)
-    chosen = choose_features(texts.select("label", "text"), features)
+    chosen = choose_features(texts.select("label", "text"), features, least_gain)
     place = {f: i for i, f in enumerate(chosen)}
 
     def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
