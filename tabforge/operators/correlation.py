@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tabforge.functions.numeric import half_even, not_nan
 from tabforge.operators.lookups import align_outer
-from tabforge.operators.ranks import with_ranks
+from tabforge.operators.ranks import running_total, with_ranks
+from tabforge.session import materialize
 
 BAR_WIDTH = 20
 
@@ -143,13 +144,36 @@ def _spearman(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     parts = []
     if full:
         parts.append(correlations(with_ranks(data, sorted({c for p in full for c in p})), full))
-    for pair in (p for p in pairs if p not in full):
-        complete = data.select(*dict.fromkeys(pair)).dropna()
-        parts.append(correlations(with_ranks(complete, list(dict.fromkeys(pair))), [pair]))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    if len(full) < len(pairs):
+        parts.append(_spearman_of_complete_rows(data, [p for p in pairs if p not in full]))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _spearman_of_complete_rows(data: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """All pairs at once: rows as (pair, x, y), one count, one running total and one rank table for all sides."""
+
+    def entry(i: int, a: str, b: str) -> Column:
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        return F.when(x.isNotNull() & y.isNotNull(), F.struct(F.lit(i).alias("pair"), x.alias("x"), y.alias("y")))
+
+    entries = F.array_compact(F.array(*[entry(i, *p) for i, p in enumerate(pairs)]))
+    rows = data.select(F.explode(entries).alias("e")).select("e.*")
+    sides = [F.struct(F.concat("pair", F.lit(f":{s}")).alias("series"), F.col(s).alias("value")) for s in ("x", "y")]
+    values = rows.select(F.explode(F.array(*sides)).alias("e")).select("e.*")
+    cells = materialize(values.groupBy("series", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    upto = running_total(cells, "series", "value", "n", "upto")
+    ranks = materialize(upto.select("series", "value", (F.col("upto") - (F.col("n") - 1) / 2).alias("rank")), "ranks")
+    for side in ("x", "y"):
+        own = ranks.select(F.col("series").alias("_s"), F.col("value").alias("_v"), F.col("rank").alias(f"rank_{side}"))
+        rows = rows.join(own, (F.concat("pair", F.lit(f":{side}")) == F.col("_s")) & (F.col(side) == F.col("_v"))).drop("_s", "_v")
+
+    def correlation(x: str, y: str) -> Column:  # null without spread, where corr() itself divides by zero
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+    found = rows.groupBy("pair").agg(correlation("rank_x", "rank_y").alias("r"))
+    names = F.array(*[F.struct(F.lit(i).alias("_pair"), F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b")) for i, (a, b) in enumerate(pairs)])
+    listed = data.sparkSession.range(1).select(F.explode(names).alias("e")).select("e.*")
+    return listed.join(found, F.col("_pair") == F.col("pair"), "left").select("feature_a", "feature_b", "r")
 
 
 def corr_spearman(df: DataFrame, columns: list[str], target: str, digits: int = 3) -> DataFrame:

@@ -75,6 +75,7 @@ def ranks_cte(columns: list[str], source: str = "flights") -> str:
     return f", ranked AS (SELECT {ranked} FROM {source})"
 
 
+WITH_GAPS = ["duration", "days_left", "stopovers"]
 SPEARMAN = ["duration", "days_left", "stopovers", "departure_hour", "departure_month", "arrival_month"]
 
 _QUART = {p: quantile_sql("{c}", p) for p in (0.25, 0.75)}
@@ -146,6 +147,7 @@ def queries():
         "leakage_correlation": on(lambda t: C.corr_with_target(t, ["base_fare", "tax_surcharge"], T, 4)),
         "corr_matrix": on(lambda t: C.corr_matrix(t, B.NUMERICAL, T), B.gaps),
         "corr_spearman": on(lambda t: C.corr_spearman(t, SPEARMAN, T)),
+        "corr_spearman_gaps": on(lambda t: C.corr_spearman(t, WITH_GAPS, T), B.gaps),
         "corr_target_ranked": on(lambda t: C.corr_with_target(t, B.NUMERICAL, T), B.gaps),
         "corr_bar": on(lambda t: C.corr_bar(C.corr_with_target(t, [*B.NUMERICAL, "base_fare"], T)), B.gaps),
         "corr_json": on(lambda t: C.corr_json(C.corr_matrix(t, B.NUMERICAL, T), [*B.NUMERICAL, T]), B.gaps),
@@ -160,6 +162,28 @@ def queries():
     }
 
 
+_TEXTS_SQL = {
+    "airline": "airline",
+    "stopover_label": "stopover_label",
+    "number_text": "CAST(split_key AS VARCHAR)",
+    "departure_text": "strftime(departure_datetime, '%Y-%m-%d %H:%M:%S')",
+    "arrival_text": "CASE WHEN line_no % 2 = 0 THEN strftime(arrival_datetime, '%-m/%-d/%Y %-H:%M') ELSE strftime(arrival_datetime, '%Y-%m-%d %H:%M:%S') END",
+}
+
+
+def _all_parse(x):
+    return f"bool_and(try_strptime({x}, ['%Y-%m-%d %H:%M:%S', '%m/%d/%Y %H:%M']) IS NOT NULL)"
+
+
+def _spearman_sql(a, b):
+    """Spearman's r of two columns on the rows that have both, by average ranks."""
+    rank = "rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0"
+    return (
+        f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round_even(corr(ra, rb), 3) AS r FROM (SELECT {rank.format(c=a)} AS ra, "
+        f"{rank.format(c=b)} AS rb FROM gaps WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+    )
+
+
 def _texts(t):
     """Text columns of which two hold timestamps in mixed notations."""
     iso = F.date_format("departure_datetime", "yyyy-MM-dd HH:mm:ss")
@@ -234,6 +258,16 @@ def oracles():
         ),
         "leakage_correlation": _flights(target_sql(["base_fare", "tax_surcharge"], "flights", 4)),
         "corr_matrix": _gaps(matrix_sql([*B.NUMERICAL, T], "gaps")),
+        "corr_spearman_gaps": _gaps(" UNION ALL ".join(_spearman_sql(a, b) for a in [*WITH_GAPS, T] for b in [*WITH_GAPS, T])),
+        "detect_timestamp_cols": _flights(
+            " UNION ALL ".join(f"SELECT '{n}' AS \"column\", {_all_parse(x)} AS is_timestamp FROM flights" for n, x in _TEXTS_SQL.items())
+        ),
+        "classify_columns": _flights(
+            " UNION ALL ".join(
+                [f"SELECT '{n}' AS \"column\", CASE WHEN {_all_parse(x)} THEN 'datetime' ELSE 'categorical' END AS kind FROM flights" for n, x in _TEXTS_SQL.items()]
+                + [f"SELECT '{n}' AS \"column\", 'numerical' AS kind" for n in ("fare", "days_left")]
+            )
+        ),
         "corr_spearman": _flights(ranks_cte(rank_cols) + matrix_sql(rank_cols, "ranked")),
         "corr_target_ranked": _gaps(target_sql(B.NUMERICAL, "gaps", 3)),
         "corr_bar": _gaps(
