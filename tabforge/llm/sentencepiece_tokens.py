@@ -109,7 +109,7 @@ class Codec:
             encode = joined_encoder(self._library_ids, lengths, lambda p: len(p.replace(MARK, " ").encode()), lead="" if self.prefix else " ")
         else:
             encode = self._one_by_one
-        self.encoder = PieceEncoder(lambda pieces, first: self._verified(pieces, first, encode(pieces, first)), blanks=MARK)
+        self.encoder = PieceEncoder(lambda pieces, first: self._verified(pieces, first, encode(pieces, first)), blanks=MARK, remember=120_000, at_once=20_000)
 
     def _library_ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -151,7 +151,7 @@ def codec(path: str, threads: int = 2) -> Codec:
     return Codec(path, threads)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(0, batch.num_rows, rows):
             yield batch.slice(i, rows)

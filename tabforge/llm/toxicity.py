@@ -13,7 +13,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -54,7 +53,7 @@ def swapped(words: set[str], lists: tuple[tuple[str, ...], ...]) -> set[str] | N
 class Features:
     """64-bit hashes of the features of words; words are remembered up to a bound and then forgotten."""
 
-    def __init__(self, shortest: int = 3, longest: int = 8, remember: int = 200_000):
+    def __init__(self, shortest: int = 3, longest: int = 8, remember: int = 100_000):
         self.lengths, self.remember, self.known = range(shortest, longest + 1), remember, {}
 
     def of_word(self, word: str) -> np.ndarray:
@@ -82,7 +81,7 @@ class ToxicityModel:
         features, weights, known = Features(remember=1), self.weights, {}
 
         def hits(word: str) -> tuple[int, ...]:
-            if len(known) > 400_000:
+            if len(known) > 200_000:
                 known.clear()
             found = known[word] = tuple(h for h in features.of_word(word).tolist() if h in weights)
             return found
@@ -110,10 +109,17 @@ def training_labels(labels: DataFrame, id_col: str, label_col: str, max_rows: in
     return materialize(usable.where(hash_unit(seed, "label_id") < share), "toxicity-labels")
 
 
+def sliced(batches: Iterator, rows: int = 500) -> Iterator:
+    """The same rows in small batches, as what is made of them in Python is much larger than they are."""
+    for batch in batches:
+        for i in range(0, len(batch), rows):
+            yield batch.slice(i, rows)
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents per feature and label in each batch of (label, text)."""
     features = Features()
-    for batch in batches:
+    for batch in sliced(batches):
         labels = batch.column(0).to_pylist()
         sets = [features.of_words(words_of(t)) for t in batch.column(1).to_pylist()]
         for label in (0, 1):
@@ -211,7 +217,7 @@ def fit_toxicity(
         def chosen_of(words: set[str] | None) -> list[int] | None:
             return None if words is None else [place[h] for h in of.of_words(words).tolist() if h in place]
 
-        for batch in batches:
+        for batch in sliced(batches):
             words = [words_of(t) for t in batch.column(2).to_pylist()]
             arrays = [[chosen_of(w) for w in words], [chosen_of(swapped(w, identity)) for w in words]]
             yield pa.RecordBatch.from_arrays(
@@ -234,11 +240,11 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     """
     docs = docs.select(*without(docs, ["held_out", "score", "predicted"]))
 
-    @F.pandas_udf("double")
-    def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def scored(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         of = model.scorer()
         for texts in parts:
-            yield pd.Series([of(t) for t in texts], dtype="float64")
+            yield pa.array([of(t) for some in sliced([texts]) for t in some.to_pylist()], pa.float64())
 
     fold = F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
     return (
