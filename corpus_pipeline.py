@@ -60,7 +60,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``lang``, ``source``, the SentencePiece ids of the text, their number, and whether they are verified."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = sentencepiece_tokens.encode_documents(docs.select("doc_id", "lang", "source", "text"), model)
+    encoded = sentencepiece_tokens.encode_documents(docs.select("doc_id", "lang", "source", "text"), model, keep_text=False)
     return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "parity")
 
 

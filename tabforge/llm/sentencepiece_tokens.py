@@ -157,8 +157,8 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.R
             yield batch.slice(i, rows)
 
 
-def encode_documents(docs: DataFrame, model: str, text_col: str = "text", threads: int = 2) -> DataFrame:
-    """``docs`` with ``ids`` (array of int) and ``parity``; input columns of these names are replaced.
+def encode_documents(docs: DataFrame, model: str, text_col: str = "text", threads: int = 2, keep_text: bool = True) -> DataFrame:
+    """``docs`` (without the text, unless ``keep_text``) with ``ids`` (array of int) and ``parity``; input columns of these names are replaced.
 
     ``model`` is the path of the model file on every machine. Null and empty
     texts have no ids. ``parity`` says that the rebuilt tokenizer gave every
@@ -167,15 +167,17 @@ def encode_documents(docs: DataFrame, model: str, text_col: str = "text", thread
     """
     docs = docs.select(*without(docs, ["ids", "parity"]))
     at = docs.columns.index(text_col)
+    kept = [i for i in range(len(docs.columns)) if keep_text or i != at]
+    names = [*[docs.columns[i] for i in kept], "ids", "parity"]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model, threads)
         for batch in _slices(batches):
             ids, starts, agrees = own.encode(batch.column(at))
             lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array(agrees)], names=[*batch.schema.names, "ids", "parity"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], lists, pa.array(agrees)], names=names)
 
-    schema = docs.select("*", F.array().cast("array<int>").alias("ids"), F.lit(True).alias("parity")).schema
+    schema = docs.select(*[f"`{docs.columns[i]}`" for i in kept], F.array().cast("array<int>").alias("ids"), F.lit(True).alias("parity")).schema
     return docs.mapInArrow(encode, schema)
 
 
