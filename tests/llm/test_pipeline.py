@@ -8,7 +8,7 @@ from sentencepiece import SentencePieceProcessor
 
 import corpus_pipeline as cp
 from tests.llm.data import awkward_rows, documents, sentence
-from tests.llm.test_near_dedup import brute_force
+from tests.llm.test_near_dedup import brute_force, shingles
 
 
 @pytest.fixture(scope="module")
@@ -55,3 +55,17 @@ def test_run_is_the_stages_and_repeats(spark, sf_dir):
     one, two = (sorted(map(str, cp.run(spark, sf_dir).collect())) for _ in range(2))
     assert one == two and one
     assert [n for n, _ in cp.STAGES] == ["toxicity", "near_dedup", "secrets", "mixing", "sentencepiece"]
+
+
+def test_near_copies_at_four_fifths_are_dropped(spark):
+    """Pairs of 0.82, which the stage merges, and of 0.78, which stay."""
+    rows = []
+    for i in range(40):
+        words = sentence(500 + i, 95).split()
+        words = [f"{w}{j}" for j, w in enumerate(words)]  # 91 shingles; a changed end of n words loses n of them
+        rows += [(10 * i, " ".join(words)), (10 * i + 1, " ".join(words[: -9 if i % 2 == 0 else -11] + [f"x{i}y{j}" for j in range(9 if i % 2 == 0 else 11)]))]
+    for i, j in ((0, 1), (2, 3)):
+        a, b = shingles(rows[i][1]), shingles(rows[j][1])
+        assert round(len(a & b) / len(a | b), 2) == (0.82 if i == 0 else 0.78)
+    left = {r["doc_id"] for r in cp.drop_near_copies(spark, documents(spark, rows), "").collect()}
+    assert left == {i for i, _ in rows if i % 20 != 1}
