@@ -223,7 +223,7 @@ def op10_token_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     path = token_files.token_path(spark)
     rows = token_files.write_token_files(
-        table(spark, sf_dir, "documents"), lambda: token_files.byte_level_encoder(tokenizer), path, end_id=0
+        table(spark, sf_dir, "documents"), lambda: token_files.byte_level_encoder(tokenizer, special_as_text=False), path, end_id=0
     )
     read = token_files.read_documents(token_files.with_starts(rows), path)
     return read.select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "position")

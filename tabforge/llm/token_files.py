@@ -127,25 +127,40 @@ def filesystem(path: str) -> tuple[pa.fs.FileSystem, str]:
 
 
 @lru_cache(maxsize=2)
-def byte_level_encoder(tokenizer: str) -> PieceEncoder:
-    """Encoder of a byte-level tokenizer file, kept for the life of a Python worker. Strings of special tokens are text."""
+def byte_level_encoder(tokenizer: str, special_as_text: bool = True) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """Encoder of a byte-level tokenizer file, kept for the life of a Python worker.
+
+    Strings of special tokens are text, or with ``special_as_text`` False get
+    the ids that the file as loaded gives them.
+    """
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokenizer)
-    library.encode_special_tokens = True
+    library.encode_special_tokens = special_as_text
     library.no_padding()
     library.no_truncation()
     lengths = np.array([len(library.id_to_token(i) or "") for i in range(library.get_vocab_size())])
+    wide = False
+    for i, token in library.get_added_tokens_decoder().items():
+        lengths[i] = len(token.content.encode())
+        if not (token.special and special_as_text):
+            wide |= token.lstrip or token.rstrip or token.single_word or any(c.isspace() for c in token.content)
 
     def encode(texts: list[str]) -> list[list[int]]:
         return [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def whole(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = encode([t or "" for t in texts.to_pylist()])
+        return np.concatenate([np.empty(0, np.uint32), *[np.array(x, np.uint32) for x in found]]), np.cumsum([0, *map(len, found)])
+
+    if wide:  # an added token can take in blanks, so no text may be cut at one
+        return whole
     return PieceEncoder(joined_encoder(encode, lengths, size=lambda p: len(p.encode())))
 
 
 def write_token_files(
     docs: DataFrame,
-    encoder: Callable[[], PieceEncoder],
+    encoder: Callable[[], Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]],
     path: str,
     end_id: int | None = 0,
     planes: int = 16,

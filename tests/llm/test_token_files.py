@@ -9,10 +9,11 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as some
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from tabforge.llm import token_files as tf
 from tabforge.llm.pieces import PieceEncoder
+from tabforge.llm.queries import op10_token_bit_planes
 from tests.llm.data import awkward_rows, documents, sentence
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -33,6 +34,36 @@ def test_pieces_give_the_ids_of_whole_texts(library, texts):
     assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:], strict=False)] == expected
 
 
+@given(some.lists(some.lists(some.sampled_from(["<|endoftext|>", " ", "  ", "a", "bé", "'s", "\n", "1", "<|", "word word"]), max_size=12).map("".join), max_size=8))
+@settings(max_examples=200, deadline=None)
+def test_added_tokens_are_those_of_the_file_as_loaded(texts):
+    ids, starts = tf.byte_level_encoder(FILE, special_as_text=False)(pa.array(texts, pa.string()))
+    plain = Tokenizer.from_file(FILE)
+    expected = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:], strict=False)] == expected
+
+
+def test_query_gives_the_ids_of_the_file_as_loaded(spark, tmp_path):
+    rows = [(1, "a <|endoftext|> b"), (2, "plain words"), (3, "x<|endoftext|><|endoftext|>  y"), (4, "<|endoftext|>"), *[(10 + i, sentence(i, 30)) for i in range(20)]]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    plain, start = Tokenizer.from_file(FILE), 0
+    found = op10_token_bit_planes(spark, str(tmp_path)).orderBy("start").collect()
+    for r, (i, text) in zip(found, rows, strict=True):
+        tokens = [*plain.encode(text, add_special_tokens=False).ids, 0]
+        assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (i, start, len(tokens), zlib.crc32(np.array(tokens, "<u4").tobytes()))
+        start += len(tokens)
+
+
+def test_added_tokens_that_take_in_blanks(tmp_path):
+    plain = Tokenizer.from_file(FILE)
+    plain.add_special_tokens([AddedToken("<mark>", lstrip=True, rstrip=True)])
+    plain.save(str(tmp_path / "t.json"))
+    texts = ["a <mark> b", "words and words", None, "", "x  <mark>  <|endoftext|> y"]
+    ids, starts = tf.byte_level_encoder(str(tmp_path / "t.json"), special_as_text=False)(pa.array(texts, pa.string()))
+    expected = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:], strict=False)] == expected
+
+
 class Kept(io.BytesIO):
     def close(self) -> None:
         """What was written stays readable."""
