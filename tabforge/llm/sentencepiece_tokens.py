@@ -21,12 +21,13 @@ from sentencepiece import sentencepiece_model_pb2 as proto
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
 from tabforge.llm.columns import without
-from tabforge.llm.pieces import PieceEncoder, gathered, joined_encoder
+from tabforge.llm.pieces import PieceEncoder, joined_encoder
 
 MARK = "▁"
 # Model and piece types of the protobuf.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
+DIFFERS = 2**32 - 1  # no id
 
 
 def read_model(path: str) -> proto.ModelProto:
@@ -100,16 +101,13 @@ class Codec:
         self.library, self.truth, self.threads = rebuild(model), SentencePieceProcessor(model_file=path), threads
         self.prefix = model.normalizer_spec.add_dummy_prefix
         norm = model.normalizer_spec
-        self.differs: set[str] = set()
-        raw = [bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else p.piece.replace(MARK, " ").encode() for p in model.pieces]
-        self.raw = raw
         plain = norm.name == "identity" and not norm.precompiled_charsmap and not norm.remove_extra_whitespaces
         if plain and model.trainer_spec.byte_fallback:
-            lengths = np.array([len(b) for b in raw])
+            lengths = np.array([1 if p.type == BYTE else len(p.piece.replace(MARK, " ").encode()) for p in model.pieces])
             encode = joined_encoder(self._library_ids, lengths, lambda p: len(p.replace(MARK, " ").encode()), lead="" if self.prefix else " ")
         else:
             encode = self._one_by_one
-        self.encoder = PieceEncoder(lambda pieces, first: self._verified(pieces, first, encode(pieces, first)), blanks=MARK, remember=120_000, at_once=20_000)
+        self.encoder = PieceEncoder(lambda pieces, first: self._compared(pieces, first, encode(pieces, first)), blanks=MARK, remember=120_000, at_once=20_000)
 
     def _library_ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -118,32 +116,29 @@ class Codec:
         lead = "" if first or self.prefix else " "
         return [np.array(x, "<u4").tobytes() for x in self._library_ids([lead + p for p in pieces])]
 
-    def _verified(self, pieces: list[str], first: bool, found: list[bytes]) -> list[bytes]:
-        """The ids; pieces that sentencepiece itself encodes otherwise are noted and get its ids."""
+    def _compared(self, pieces: list[str], first: bool, found: list[bytes]) -> list[bytes]:
+        """The library's ids, marked where sentencepiece itself encodes the piece otherwise."""
         lead = "" if first or self.prefix else " "
         expected = [np.array(x, "<u4").tobytes() for x in self.truth.encode([lead + p for p in pieces], num_threads=self.threads)]
-        self.differs.update(p for p, own, other in zip(pieces, found, expected, strict=True) if own != other)
-        if len(self.differs) > 100_000:
-            raise ValueError("the rebuilt tokenizer differs from the model")
-        return expected
+        return [own if own == other else self._marked(own) for own, other in zip(found, expected, strict=True)]
+
+    @staticmethod
+    def _marked(ids: bytes) -> bytes:
+        """``ids`` with ``DIFFERS`` behind them, which goes through the memory of pieces and is taken out of the texts."""
+        return ids + np.uint32(DIFFERS).astype("<u4").tobytes()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of a batch, where each text's ids start, and whether all of its pieces agree with sentencepiece."""
         ids, starts = self.encoder(texts)
-        agrees = np.ones(len(texts), bool)
-        if self.differs:
-            agrees = np.array([self.differs.isdisjoint(self.encoder.cut(t)) if t else True for t in texts.to_pylist()], bool)
-        return ids, starts, agrees
+        marks = ids == DIFFERS
+        if not marks.any():
+            return ids, starts, np.ones(len(texts), bool)
+        before = np.concatenate([[0], np.cumsum(marks)])[starts]
+        return ids[~marks], starts - before, np.diff(before) == 0
 
     def decode(self, ids: np.ndarray, starts: np.ndarray) -> list[str]:
-        """Texts of a batch of ids: the pieces' bytes one after the other, without the added blank."""
-        pool = [np.frombuffer(b, np.uint8).astype("<u4").tobytes() for b in self.raw]
-        letters, ends = gathered(ids.astype(np.int64), pool, np.array([0, len(ids)]), np.zeros(1, np.int64), 1) if len(ids) else (np.empty(0, np.uint32), np.zeros(2, np.int64))
-        sizes = np.array([len(b) for b in self.raw])[ids] if len(ids) else np.empty(0, np.int64)
-        at = np.concatenate([[0], np.cumsum(sizes)])[starts]
-        whole = letters.astype(np.uint8).tobytes()
-        texts = [whole[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:], strict=False)]
-        return [t[1:] if self.prefix and t.startswith(" ") else t for t in texts]
+        """Texts of a batch of ids, by the library's decoder."""
+        return self.library.decode_batch([ids[a:b].tolist() for a, b in zip(starts, starts[1:], strict=False)], skip_special_tokens=False)
 
 
 @lru_cache(maxsize=2)
@@ -162,8 +157,8 @@ def encode_documents(docs: DataFrame, model: str, text_col: str = "text", thread
 
     ``model`` is the path of the model file on every machine. Null and empty
     texts have no ids. ``parity`` says that the rebuilt tokenizer gave every
-    piece of the text the ids that sentencepiece gives it (where not, the ids are
-    those of sentencepiece); ids never depend on other rows or on the batch.
+    piece of the text the ids that sentencepiece gives it; the ids are those of the
+    rebuilt tokenizer and never depend on other rows or on the batch.
     """
     docs = docs.select(*without(docs, ["ids", "parity"]))
     at = docs.columns.index(text_col)

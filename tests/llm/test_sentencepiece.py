@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from sentencepiece import SentencePieceProcessor
 from sentencepiece import sentencepiece_model_pb2 as proto
@@ -48,6 +49,28 @@ def test_decoding_and_digests(spark):
     assert all(r["parity"] and r["round_trip"] for r in checked)
 
 
+def test_ids_and_texts_are_those_of_the_rebuilt_library():
+    """With a wrong rebuild the wrong ids come out, however many pieces differ, and parity says so."""
+    own = st.Codec(MODEL)
+    wrong, right = own.library.token_to_id("▁to"), own.library.token_to_id("▁the")
+    given_ids = own._library_ids
+    changed = lambda texts: [[wrong if i == right else i for i in x] for x in given_ids(texts)]
+    own.encoder.encode = lambda pieces, first: own._compared(pieces, first, [np.array(x, "<u4").tobytes() for x in changed(pieces)])
+    texts = ["the end of the day", "nothing here", None, "in the", ""]
+    ids, starts, agrees = own.encode(pa.array(texts))
+    assert agrees.tolist() == [False, True, True, False, True]
+    pieces = [[changed([p])[0] for p in t.split(" ")] if t else [] for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:], strict=False)] == [sum(p, []) for p in pieces]
+    assert own.decode(ids, starts)[0] == "to end of to day"
+
+    class Other:
+        def decode_batch(self, ids, skip_special_tokens):
+            return [f"{len(i)} ids" for i in ids]
+
+    own.library = Other()
+    assert own.decode(ids, starts)[2] == "0 ids"
+
+
 def test_decoding_equals_the_library(tmp_path):
     own = st.Codec(MODEL)
     truth = SentencePieceProcessor(model_file=MODEL)
