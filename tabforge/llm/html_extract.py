@@ -25,7 +25,10 @@ from pyspark.sql import functions as F
 from tabforge.llm.columns import hash_unit, without
 
 # HTML elements by how they shape blocks.
-DROPPED = "script|style|noscript|template|svg|iframe|object|math|canvas"
+DROPPED = "script|style|template|annotation-xml|annotation"  # never rendered
+FOREIGN = frozenset(("svg", "math"))  # inside, a tag that ends in "/>" is closed
+UNSEEN = frozenset(("title", "desc", "metadata"))  # never rendered inside an svg
+APART = frozenset("noscript object iframe canvas text".split())  # inline, but no word reaches across their ends
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html input label legend li main menu nav ol optgroup option p pre section select summary "
@@ -57,7 +60,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
     found: list[Block] = []
     stack: list[str] = []
     buffer: list[str] = []
-    in_link, link_chars, at = 0, 0, 0
+    in_link, link_chars, at, foreign = 0, 0, 0, 0
     page = page or ""
 
     def flush() -> None:
@@ -69,7 +72,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
             buffer.clear()
         link_chars = 0
 
-    for match in _TAG.finditer(page):
+    while match := _TAG.search(page, at):
         if match.start() > at:
             piece = page[at : match.start()]
             piece = html.unescape(piece) if "&" in piece else piece
@@ -79,9 +82,18 @@ def leaf_blocks(page: str | None) -> list[Block]:
         at = match.end()
         tag = match[3]
         if tag is None:
+            if foreign and match[1] and (opening := page[match.start() : page.find(">", match.start()) + 1]).endswith("/>"):
+                at = match.start() + len(opening)
             continue
         tag = tag.lower()
-        if tag == "br":
+        if tag in FOREIGN:
+            foreign = max(0, foreign - 1) if match[2] else foreign + (not match[4].endswith("/"))
+        elif foreign and tag in UNSEEN:
+            end = None if match[2] or match[4].endswith("/") else re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            at = end.end() if end else at
+        elif tag in APART:
+            buffer.append(" ")
+        elif tag == "br":
             buffer.append(" ")
         elif tag == "a":
             in_link = 0 if match[2] else 1

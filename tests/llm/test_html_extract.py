@@ -78,3 +78,24 @@ def test_table(spark, model):
     assert [r["n_chars"] for r in found] == [len(r["text"]) for r in found]
     assert sorted(len(r["text"]) for r in found)[:2] == [0, 0] and max(r["n_chars"] for r in found) == 299_999
     assert hx.extract_text(pages.limit(0), hx.fit_extractor(pages.limit(0), layouts=40)).count() == 0
+
+
+def test_formulas_pictures_and_fallbacks_in_the_article():
+    """Only what never renders goes; a self-closed svg, math or style takes nothing with it."""
+    page = (
+        '<article><p>One <svg class="i" viewBox="0 0 1 1"/>two.</p><p>Here <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds.</p>'
+        "<p>Empty <math/>formula.</p><svg><title>icon</title><style/><text>Axis</text><text>Scale</text><script/></svg><p>After the picture.</p>"
+        "<object data='f'><p>Fallback of the object.</p></object><noscript><p>Without scripts.</p></noscript><template><p>never</p></template>"
+        "<canvas>Drawn words</canvas><script>var a = '<p>no</p>'</script><style>p {}</style><p>Last.</p></article>"
+    )
+    assert [b.text for b in hx.leaf_blocks(page)] == [
+        "One two.",
+        "Here x=2 holds.",
+        "Empty formula.",
+        "Axis Scale",
+        "After the picture.",
+        "Fallback of the object.",
+        "Without scripts.",
+        "Drawn words",
+        "Last.",
+    ]
