@@ -4,15 +4,18 @@ Next to the patterns, every run of 20 or more key characters is tested. Its
 encoding is inferred from its characters. As a guard it must look random: the
 chi-squared test of a uniform alphabet, the runs test around the middle of the
 alphabet and the lag-one serial correlation must not reject that. As evidence it
-must look unlike text: repeated characters (the chi-squared statistic again, as
-index of coincidence) and changes between upper case, lower case and digits are
-compared with what words give, and both combine by Fisher's method. Short runs
+must look unlike text: its letters and the changes between upper case, lower case and
+digits are compared with what words give, and both combine by Fisher's method.
+The encoding says which property of the letters is compared: that all are a to f
+in hex, how rare they are in base32 and lower case, else how often they repeat
+(the chi-squared statistic again, as index of coincidence). Short runs
 carry little evidence, so false discoveries are controlled by Benjamini and
 Hochberg's rule within each doubling of the length, over the whole corpus.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,6 +34,13 @@ KINDS = ("assign", "access", "hex", "random")
 # Sums of the squares and cubes of the letter frequencies of English text.
 TEXT_SQUARES, TEXT_CUBES = 0.0655, 0.0054
 
+# Letter frequencies of English text in per mille, a to z, and the share of the letters a to f.
+LETTERS = (82, 15, 28, 43, 127, 22, 20, 61, 70, 1.5, 7.7, 40, 24, 67, 75, 19, 0.95, 60, 63, 91, 28, 9.8, 24, 1.5, 20, 0.74)
+_LOGS = [math.log(x / sum(LETTERS)) for x in LETTERS]
+_LOG_MEAN = sum(x * y for x, y in zip(LETTERS, _LOGS, strict=True)) / sum(LETTERS)
+_LOG_SPREAD = math.sqrt(sum(x * (y - _LOG_MEAN) ** 2 for x, y in zip(LETTERS, _LOGS, strict=True)) / sum(LETTERS))
+HEX_SHARE = sum(LETTERS[:6]) / sum(LETTERS)
+
 # Alphabets of the encodings, tried in this order.
 ALPHABETS = {
     "hex": "0123456789abcdef",
@@ -44,6 +54,10 @@ ALPHABETS = {
 }
 
 
+HEXES = (ALPHABETS["hex"], ALPHABETS["HEX"])
+SINGLE = (ALPHABETS["base32"], ALPHABETS["lower"])
+
+
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once."""
     return F.transform(F.array(value), body)[0]
@@ -153,10 +167,12 @@ def battery(value: Column, level: float = 0.001, changes: float = 0.25) -> Colum
 
             coincidence = (squares - n) / (n * (n - 1))
             variance = 2 / (n * (n - 1)) * (TEXT_SQUARES + 2 * (n - 2) * TEXT_CUBES - (2 * n - 3) * TEXT_SQUARES**2)
-            p_letters = upper_tail((TEXT_SQUARES - coincidence) / F.sqrt(F.greatest(variance, F.lit(1e-9))))
+            p_repeats = upper_tail((TEXT_SQUARES - coincidence) / F.sqrt(F.greatest(variance, F.lit(1e-9))))
+            p_letters = F.when(letters.isin(*HEXES), hex_letters(c)).when(letters.isin(*SINGLE), rare_letters(c)).otherwise(p_repeats)
             p_changes = upper_tail((class_changes(c) - 0.5 - changes * (n - 1)) / F.sqrt(changes * (1 - changes) * (n - 1)))
             half = -F.log(F.greatest(p_letters, F.lit(1e-150))) - F.log(F.greatest(p_changes, F.lit(1e-150)))
-            fisher = (1 + half) * F.exp(-half)
+            # A run of one case without digits cannot change class: its letters are all the evidence.
+            fisher = F.when(letters == ALPHABETS["lower"], p_letters).otherwise((1 + half) * F.exp(-half))
             return F.struct(n.cast("long").alias("length"), F.when(random, F.least(fisher, F.lit(1.0))).otherwise(1.0).alias("p"))
 
         places = lambda a: F.transform(F.split(c, ""), lambda x: F.call_function("instr", a, x).cast("double"))
@@ -166,6 +182,20 @@ def battery(value: Column, level: float = 0.001, changes: float = 0.25) -> Colum
     return F.when(F.char_length(core) >= 16, _let(core, tests)).otherwise(short)
 
 
+def hex_letters(value: Column) -> Column:
+    """The chance that all letters of a text are a to f."""
+    return F.pow(F.lit(HEX_SHARE), F.char_length(F.translate(value, "0123456789", "")))
+
+
+def rare_letters(value: Column) -> Column:
+    """The chance that letters of a text are as rare as these, by their mean log frequency; 1 without letters."""
+    weights = F.array(*[F.lit(x) for x in (0.0, *_LOGS)])
+    m = F.char_length(F.translate(value, "0123456789", "")).cast("double")
+    places = F.transform(F.split(F.lower(value), ""), lambda x: F.call_function("instr", F.lit(ALPHABETS["lower"]), x))
+    logs = F.aggregate(places, F.lit(0.0), lambda s, k: s + F.get(weights, k))
+    return F.when(m > 0, upper_tail((m * _LOG_MEAN - logs) / (_LOG_SPREAD * F.sqrt(m)))).otherwise(1.0)
+
+
 def class_changes(value: Column) -> Column:
     """Neighbours of different class (upper case, lower case, digit, other); a capital before its word is no change."""
     classes = F.split(F.translate(value, _FROM, _TO), "")

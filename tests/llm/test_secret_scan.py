@@ -66,6 +66,23 @@ def test_randomness_against_generated_strings(spark):
     assert not [i for i in found if i >= 120]
 
 
+KEYS = [("lower", 20), ("lower", 32), ("lower", 40), ("base32", 20), ("base32", 32), ("HEX", 20), ("HEX", 32), ("hex", 20), ("hex", 24), ("hex", 31)]
+
+
+def test_recall_by_encoding_and_length(spark):
+    """Keys of one case are found as well; words run together in either case, numbers and dates are not."""
+    rng, n = random.Random(12), 60
+    keys = [(i, kind, size, "".join(rng.choice(ss.ALPHABETS[kind]) for _ in range(size))) for i, (kind, size) in enumerate(KEYS) for _ in range(n)]
+    plain = [sentence(i, 9).replace(" ", "") for i in range(200)] + [sentence(i, 9).replace(" ", "").upper() for i in range(200)]
+    plain += [f"{rng.randrange(10**24):024d}" for _ in range(100)] + [f"2024{rng.randrange(10**4):04d}T{rng.randrange(10**6):06d}Z0000{i:04d}" for i in range(100)]
+    rows = [(i, f"see {k} there") for i, k in enumerate([*[k[3] for k in keys], *plain])]
+    found = {r["doc_id"] for r in ss.scan_secrets(documents(spark, rows)).where(F.size("spans") > 0).collect()}
+    recall = {KEYS[j]: sum(i in found for i in range(j * n, (j + 1) * n)) / n for j in range(len(KEYS))}
+    print(recall)
+    assert min(recall.values()) >= 0.8, recall
+    assert not [i for i in found if i >= len(keys)]
+
+
 def test_contract_digest(spark, tmp_path):
     rows = [(i, t) for i, t in enumerate(texts())]
     documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
