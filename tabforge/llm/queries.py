@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm import fingerprints, html_extract, mixing, near_dedup, secret_scan, sentencepiece_tokens, token_files, toxicity, vptree, warc_revisits
+from tabforge.llm import (
+    centroids,
+    fingerprints,
+    html_extract,
+    mixing,
+    near_dedup,
+    personal_data,
+    secret_scan,
+    sentencepiece_tokens,
+    token_files,
+    toxicity,
+    vptree,
+    warc_revisits,
+    whitening,
+)
 
 VP_RELAX = 1.0  # exact
 
@@ -229,6 +243,135 @@ def op10_token_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "position")
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def _clusters_sql(k: int, rounds: int) -> str:
+    """Lloyd rounds, each an assignment by all distances and a table of floored means."""
+
+    def assigned(no: int) -> str:
+        return f"""a{no} AS (
+  SELECT row_no, arg_min(c.no, (d.away, c.no)) AS cluster, min(d.away) AS distance FROM v JOIN c{no} c ON true,
+    LATERAL (SELECT CAST(list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i]))) AS BIGINT) AS away) d
+  GROUP BY row_no
+)"""
+
+    steps = [f"""c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, x) - 1 AS no, x FROM v
+  QUALIFY row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, x) <= {k}
+)"""]
+    for no in range(rounds):
+        steps += [assigned(no), f"""m{no} AS (
+  SELECT cluster AS no, i, sum(CAST(x[i] AS HUGEINT)) AS s, count(*) AS n FROM a{no} JOIN v USING (row_no), range(1, 65) t(i) GROUP BY cluster, i
+)""", f"""c{no + 1} AS (
+  SELECT c.no, coalesce(list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) FILTER (s IS NOT NULL), any_value(c.x)) AS x
+  FROM c{no} c LEFT JOIN m{no} USING (no) GROUP BY c.no
+)"""]
+    return f"""
+WITH e AS (
+  SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda c: c) AS e FROM embeddings
+), v AS (
+  SELECT row_number() OVER () AS row_no, vec_id,
+    list_transform(e, lambda c: CAST(greatest(least(floor(64 * c), 134217728), -134217728) AS BIGINT)) AS x
+  FROM e WHERE len(e) = 64 AND len(list_filter(e, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), {", ".join([*steps, assigned(rounds)])}, s AS (
+  SELECT cluster, sum(distance) AS s FROM a{rounds} GROUP BY cluster
+)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, CAST(s.s AS BIGINT) AS cluster_inertia,
+  CAST((SELECT sum(s) FROM s) AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (row_no) JOIN s USING (cluster) JOIN c{rounds} c ON c.no = cluster
+"""
+
+
+OP11_SQL = _clusters_sql(16, 3)
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(table(spark, sf_dir, "documents"), carried=["doc_id"])
+    counts = [personal_data.count_of("spans", kind).alias(f"n_{kind}") for kind in personal_data.KINDS]
+    base = personal_data.listed(personal_data.base_of("spans"))
+    scores = F.array_join(F.col("spans.score").cast("array<string>"), ",").alias("scores")
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), personal_data.listed("spans").alias("spans"), scores)
+
+
+def _personal_sql() -> str:
+    """Candidates of each pattern with their positions, then validators, context and overlaps."""
+    pii = personal_data
+    patterns = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+        "card": r"[0-9](?:[\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+        "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}",
+        "ssn": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
+    }
+
+    def words(some: tuple[str, ...]) -> str:
+        return "[" + ", ".join(f"'{w}'" for w in some) + "]"
+
+    found = " UNION ALL ".join(
+        f"""SELECT row_no, text, {no} AS kind, regexp_extract_all(text, '(?s)(.*?)({p})', 1) AS b, regexp_extract_all(text, '(?s)(.*?)({p})', 2) AS w FROM d"""
+        for no, p in enumerate(patterns.values())
+    )
+    lengths = ", ".join(f"'{c}': {n}" for c, n in pii.IBAN_LENGTHS.items())
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    scores = " ".join(f"WHEN {no} THEN {pii.SCORES[k]}" for no, k in enumerate(pii.KINDS))
+    speaks = " ".join(f"WHEN {no} THEN list_has_any(near, {words(pii.WORDS_FOR[k])})" for no, k in enumerate(pii.KINDS))
+    names = " ".join(f"WHEN {no} THEN '{k}'" for no, k in enumerate(pii.KINDS))
+    counts = ", ".join(f"CAST(count(*) FILTER (kind = {no}) AS BIGINT) AS n_{k}" for no, k in enumerate(pii.KINDS))
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text FROM documents
+), f AS ({found}), g AS (
+  SELECT row_no, text, kind, w[i] AS w, CAST(list_sum(list_transform(b[:i], lambda t: length(t))) + coalesce(list_sum(list_transform(w[:i - 1], lambda t: length(t))), 0) AS BIGINT) AS s
+  FROM f, LATERAL (SELECT unnest(range(1, len(b) + 1)) AS i)
+), l AS (
+  SELECT *, CASE WHEN kind = 4 THEN regexp_extract(w, '^(?:[A-Z0-9]\x20?){{' || (coalesce(MAP {{{lengths}}}[substr(w, 1, 2)], 99) - 1) || '}}[A-Z0-9]') ELSE w END AS cut,
+    reverse(regexp_replace(w, '[^0-9]', '', 'g')) AS digits
+  FROM g WHERE kind <> 2 OR length(w) BETWEEN 14 AND 37
+), h AS (
+  SELECT *, s + length(cut) AS e, CASE kind
+    WHEN 1 THEN len(list_filter(string_split(w, '.'), lambda p: length(ltrim(p, '0')) > 3 OR CAST('0' || substr(ltrim(p, '0'), 1, 3) AS INTEGER) > 255)) = 0
+    WHEN 2 THEN length(digits) BETWEEN 14 AND 19 AND list_sum(list_transform(range(1, CASE WHEN kind = 2 THEN length(digits) + 1 ELSE 1 END), lambda i:
+      CASE WHEN i % 2 = 1 THEN CAST(digits[i] AS INTEGER) ELSE CAST(substr('0246813579', CAST(digits[i] AS INTEGER) + 1, 1) AS INTEGER) END)) % 10 = 0
+    WHEN 3 THEN length(digits) BETWEEN 10 AND 15
+    WHEN 4 THEN cut <> '' AND NOT regexp_matches(substr(text, CAST(s + length(cut) + 1 AS BIGINT), 1), '^[A-Za-z0-9]') AND list_reduce(list_prepend(0, list_transform(
+        string_split(substr(replace(cut, ' ', ''), 5) || substr(replace(cut, ' ', ''), 1, 4), ''), lambda c: strpos('0123456789{upper}', c) - 1)),
+        lambda a, x: (a * CASE WHEN x < 10 THEN 10 ELSE 100 END + x) % 97) = 1
+    WHEN 5 THEN substr(w, 1, 3) NOT IN ('000', '666') AND substr(w, 1, 1) <> '9' AND substr(w, 5, 2) <> '00' AND substr(w, 8) <> '0000'
+    ELSE true END AS good
+  FROM l
+), n AS (
+  SELECT row_no, kind, s, e, list_concat(
+    regexp_extract_all(translate(substr(text, CAST(greatest(s - 40, 0) + 1 AS BIGINT), CAST(least(s, 40) AS BIGINT)), '{upper}', '{lower}'), '[a-z]+(?:-[a-z]+)?'),
+    regexp_extract_all(translate(substr(text, CAST(e + 1 AS BIGINT), 40), '{upper}', '{lower}'), '[a-z]+(?:-[a-z]+)?')) AS near
+  FROM h WHERE good
+), r AS (
+  SELECT *, greatest(0, least(100, CASE kind {scores} END + {pii.FOR} * CAST(CASE kind {speaks} END AS INTEGER)
+    - {pii.AGAINST} * CAST(list_has_any(near, {words(pii.WORDS_AGAINST)}) AS INTEGER))) AS score FROM n
+), k AS (
+  SELECT * FROM r WHERE kind < {pii.BASE} OR (score >= 60 AND NOT EXISTS (
+    SELECT 1 FROM r o WHERE o.kind < {pii.BASE} AND o.row_no = r.row_no AND o.s < r.e AND r.s < o.e))
+), a AS (
+  SELECT row_no, {counts}, string_agg((CASE kind {names} END) || ':' || s || ':' || e, ',' ORDER BY s, kind) AS spans,
+    string_agg((CASE kind {names} END) || ':' || s || ':' || e, ',' ORDER BY s, kind) FILTER (kind < {pii.BASE}) AS base,
+    string_agg(CAST(score AS VARCHAR), ',' ORDER BY s, kind) AS scores
+  FROM k GROUP BY row_no
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in pii.KINDS)}, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
+FROM d LEFT JOIN a USING (row_no)
+"""
+
+
+OP13_SQL = _personal_sql()
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -241,6 +384,9 @@ def queries() -> dict[str, Query]:
         "op8_html_chain_field": op8_html_chain_field,
         "op9_vantage_point_search": op9_vantage_point_search,
         "op10_token_bit_planes": op10_token_bit_planes,
+        "op11_centroid_clusters": op11_centroid_clusters,
+        "op12_embedding_whitening": op12_embedding_whitening,
+        "op13_personal_data": op13_personal_data,
     }
 
 
@@ -250,4 +396,6 @@ def oracles() -> dict[str, str]:
         "op3_scaled_fingerprints": OP3_SQL,
         "op5_warc_revisits": OP5_SQL,
         "op9_vantage_point_search": OP9_SQL,
+        "op11_centroid_clusters": OP11_SQL,
+        "op13_personal_data": OP13_SQL,
     }
