@@ -98,7 +98,7 @@ def _checked(text: Column, value: Column, on_unknown: str, name: str) -> Column:
     if on_unknown == "null":
         return value
     message = F.concat(F.lit(f"Unexpected value in '{name}': "), text)
-    return F.when(text.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+    return F.coalesce(value, F.when(text.isNotNull(), F.raise_error(message)))
 
 
 def temporal_names(columns: tuple[str, ...] | list[str]) -> list[str]:

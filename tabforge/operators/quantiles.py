@@ -14,18 +14,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions.numeric import not_nan, sample_skewness
-from tabforge.session import materialize
+from tabforge.session import materialize, setting
 
 DEFAULT_ACCURACY = 10_000
 BINS = 4096
 LISTED = 1_000_000  # a bracket with no more rows is counted value by value
-SKETCH = 4096  # size of the rank sketch
-MARGIN = 0.003  # share of the rows on each side of a bracket; the sketch's ranks are wrong by 0.0013 at a confidence of 99 %
-_LARGEST = 1.7976931348623157e308
+SKETCH = 1024  # size of the rank sketch, which takes at most about 30 KB
+MARGIN = 0.01  # share of the rows on each side of a bracket; the sketch's ranks are wrong by 0.0045 at a confidence of 99 %
+SKETCHES = 4096  # sketches that a task keeps side by side before it sorts its rows by group
+_LARGEST = 1.7976931348623157e308  # infinite values count as this while they are counted
 
 _STATS: dict[str, Callable[[Column], Column]] = {
     "mean": F.avg,
@@ -71,8 +72,12 @@ def group_stats(
     if probs and approximate:
         aggs.append(_sketch(probs, accuracy).alias("_q"))
     elif probs:
-        aggs += [F.min(x).alias("_lo"), F.max(x).alias("_hi"), F.kll_sketch_agg_double(x, SKETCH).alias("_sketch")]
-    stored = materialize(data.groupBy(*keys).agg(*aggs), "group-sketch")
+        aggs += [F.min(x).alias("_min"), F.max(x).alias("_max"), F.kll_sketch_agg_double(x, SKETCH).alias("_sketch")]
+    groups = data.groupBy(*keys).agg(*aggs)
+    if probs and not approximate:
+        groups = groups.select(*keys, "count", *stats, *brackets(probs, listed), F.monotonically_increasing_id().alias("_g"))
+    with setting(df.sparkSession, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", SKETCHES):
+        stored = materialize(groups, "group-sketch")
     base = keep(stored) if keep else stored
     plain = ["count", *stats]
     extra = {name: make(stored) for name, make in (scalars or {}).items()}
@@ -87,99 +92,72 @@ def group_stats(
     for i, (name, p) in enumerate(quantiles.items()):
         position = F.lit(p) * (F.col("_n") - 1)
         picks.append(between(F.col(f"_lo{2 * i}"), F.col(f"_lo{2 * i + 1}"), position - F.floor(position)).alias(name))
-    exact = found.select(*_named(keys), *picks)
-    joined = base.join(exact, _same(keys), "left")
+    joined = base.join(found.select("_g", *picks), "_g", "left")
     return joined.select(*keys, *plain, *quantiles).withColumns(extra)
 
 
-def _named(keys: list[str]) -> list[str]:
-    return [f"_k{j}" for j in range(len(keys))]
-
-
-def _same(keys: list[str]) -> Column:
-    return _all([F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, _named(keys), strict=True)])
-
-
-def _finite(x: Column) -> Column:
-    """Infinite values count as the largest finite ones while they are counted."""
-    return F.greatest(F.least(x, F.lit(_LARGEST)), F.lit(-_LARGEST))
-
-
-def brackets(groups: DataFrame, keys: list[str], probs: list[float], listed: int) -> DataFrame:
-    """``(_k0.., _n)`` and for each probability ``_lo``, ``_hi`` and ``_many`` (more than ``listed`` rows may lie between), from the sketches."""
-    n = F.col("count")
-    few = n * MARGIN < 4  # a rank is then too wide a share of the group
+def brackets(probs: list[float], listed: int) -> list[Column]:
+    """For each probability ``_lo``, ``_hi`` and ``_many`` (more than ``listed`` rows may lie between), of a group's count, range and sketch."""
     columns = []
+    few = f"count * {MARGIN} < 4"  # a rank is then too wide a share of the group
     for i, p in enumerate(probs):
         low, high = max(0.0, p - MARGIN), min(1.0, p + MARGIN)
-        at = [F.kll_sketch_get_quantile_double("_sketch", F.lit(rank)) for rank in (low, high)]
-        columns += [
-            _finite(F.col("_lo") if low == 0 else F.when(few, F.col("_lo")).otherwise(at[0])).alias(f"_lo{i}"),
-            _finite(F.col("_hi") if high == 1 else F.when(few, F.col("_hi")).otherwise(at[1])).alias(f"_hi{i}"),
-            (F.when(few, n).otherwise(n * (high - low)) > listed).alias(f"_many{i}"),
-        ]
-    return groups.where(n > 0).select(*[F.col(k).alias(m) for k, m in zip(keys, _named(keys), strict=True)], n.alias("_n"), *columns)
+        for side, end, rank in (("lo", "_min", low), ("hi", "_max", high)):
+            at = f"CASE WHEN {rank} IN (0.0, 1.0) OR {few} THEN {end} WHEN count > 0 THEN kll_sketch_get_quantile_double(_sketch, {rank}D) END"
+            columns.append(F.expr(f"greatest(least({at}, {_LARGEST!r}D), -{_LARGEST!r}D) AS _{side}{i}"))
+        columns.append(F.expr(f"if({few}, count, count * {high - low}) > {listed} AS _many{i}"))
+    return columns
 
 
 def order_statistics(data: DataFrame, groups: DataFrame, keys: list[str], probs: list[float], bins: int, listed: int) -> DataFrame:
-    """``(_k0.., _n, _lo0, _lo1, ..)``: per group the values below and above the position of each probability.
+    """``(_g, _n, _lo0, _lo1, ..)``: per group the values below and above the position of each probability.
 
-    ``data`` has the keys and ``_x``; ``groups`` has the keys, ``count``, ``_lo``,
-    ``_hi`` and ``_sketch``. Each scan turns a bracket into the cell that holds
-    its rank, so it ends with cells of one value whatever the sketch said.
+    ``data`` has the keys and ``_x``; ``groups`` has the keys, a number ``_g``,
+    ``count`` and the brackets. Each scan turns a bracket into the cell that
+    holds its rank, so it ends with cells of one value whatever the sketch said.
     """
-    data = data.where(F.col("_x").isNotNull()).withColumn("_x", _finite(F.col("_x").cast("double")))
-    ranks = [f(F.lit(p) * (F.col("_n") - 1)).cast("long") for p in probs for f in (F.floor, F.ceil)]
-    wide = F.lit(False)
-    for r in range(len(ranks)):
-        wide |= F.col(f"_lo{r}") < F.col(f"_hi{r}")
-    found = materialize(counted(data, brackets(groups, keys, probs, listed), keys, len(probs), ranks, bins, listed), "order-statistics")
-    done = found.where(~wide)
+    named = [f"_k{j}" for j in range(len(keys))]
+    sides = [f"_{side}{i}" for i in range(len(probs)) for side in ("lo", "hi", "many")]
+    known = groups.where("count > 0").select(*[F.col(k).alias(n) for k, n in zip(keys, named, strict=True)], F.col("count").alias("_n"), "_g", *sides)
+    same = _all([F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, named, strict=True)])
+    data = data.where("_x IS NOT NULL").withColumn("_x", F.expr(f"greatest(least(_x, {_LARGEST!r}D), -{_LARGEST!r}D)"))
+    ranks = [f"{f}({p!r}D * (_n - 1))" for p in probs for f in ("floor", "ceil")]
+    wide = " OR ".join(f"_lo{r} < _hi{r}" for r in range(len(ranks)))
+    found = materialize(counted(data.join(known, same), len(probs), ranks, bins, listed), "order-statistics")
+    done = found.where(f"NOT ({wide})")
     while not (open_ := found.where(wide)).isEmpty():
-        found = materialize(counted(data, open_, keys, len(ranks), ranks, bins, listed), "order-statistics")
-        done = done.union(found.where(~wide))
-    infinite = F.lit(float("inf"))
-    values = {}
-    for r in range(len(ranks)):
-        v = F.col(f"_lo{r}")
-        values[f"_lo{r}"] = F.when(v == _LARGEST, infinite).when(v == -_LARGEST, -infinite).otherwise(v)
-    return done.withColumns(values)
+        again = data.join(known.select(*named, "_g"), same).join(open_, "_g")
+        found = materialize(counted(again, len(ranks), ranks, bins, listed), "order-statistics")
+        done = done.union(found.where(f"NOT ({wide})"))
+    infinite = "CASE WHEN {0} = {1} THEN double('infinity') WHEN {0} = -{1} THEN double('-infinity') ELSE {0} END AS {0}"
+    return done.selectExpr("_g", "_n", *[infinite.format(f"_lo{r}", f"{_LARGEST!r}D") for r in range(len(ranks))])
 
 
-def counted(data: DataFrame, groups: DataFrame, keys: list[str], width: int, ranks: list[Column], bins: int, listed: int) -> DataFrame:
+def counted(rows: DataFrame, width: int, ranks: list[str], bins: int, listed: int) -> DataFrame:
     """One scan: per group the range ``_lo``, ``_hi`` of the cell that holds each rank, and ``_many``, whether it has more than ``listed`` rows.
 
-    The bounds of the group's ``width`` brackets cut the line into points and
-    open stretches, numbered from below. A stretch inside a bracket is cut
-    further, into its values or into bins; one outside is a single cell.
+    The bounds of a row's ``width`` brackets cut the line into points and open
+    stretches, numbered from below. A stretch inside a bracket is cut further,
+    into its values or into bins; one outside is a single cell.
     """
-    named = _named(keys)
-    x, cell, slot = F.col("_x"), F.lit(0), F.lit(None).cast("double")
-    for b in reversed(range(width)):
-        low, high = F.col(f"_lo{b}"), F.col(f"_hi{b}")
-        cell += (x > low).cast("int") + (x >= low).cast("int") + (x > high).cast("int") + (x >= high).cast("int")
-        share = (x / 2 - low / 2) / (high / 2 - low / 2)
-        part = F.when(F.col(f"_many{b}"), F.least(F.floor(share * bins), F.lit(bins - 1)).cast("double")).otherwise(x)
-        slot = F.when((x > low) & (x < high), part).otherwise(slot)
+    ends = [f"_{side}{b}" for b in range(width) for side in ("lo", "hi")]
+    cell = " + ".join(f"int(_x > {e}) + int(_x >= {e})" for e in ends)
+    slots = []
+    for b in range(width):
+        low, high = f"_lo{b}", f"_hi{b}"
+        part = f"double(least(floor((_x / 2 - {low} / 2) / ({high} / 2 - {low} / 2) * {bins}), {bins - 1}))"
+        slots.append(f"WHEN _x > {low} AND _x < {high} THEN if(_many{b}, {part}, _x)")
     cells = (
-        data.join(groups, _same(keys))
-        .select(*named, "_n", "_x", cell.alias("_cell"), slot.alias("_slot"))
-        .groupBy(*named, "_n", "_cell", "_slot")
-        .agg(F.min("_x").alias("_least"), F.max("_x").alias("_most"), F.count(F.lit(1)).alias("_c"))
+        rows.selectExpr("_g", "_n", "_x", f"{cell} AS _cell", f"CASE {' '.join(slots)} END AS _slot")
+        .groupBy("_g", "_n", "_cell", "_slot")
+        .agg(F.expr("min(_x) AS _least"), F.expr("max(_x) AS _most"), F.expr("count(1) AS _c"))
+        .selectExpr("*", "sum(_c) OVER (PARTITION BY _g, _n ORDER BY _cell, _slot ROWS UNBOUNDED PRECEDING) AS _upto")
     )
-    upto = F.sum("_c").over(Window.partitionBy(*named, "_n").orderBy("_cell", "_slot").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cells = cells.withColumn("_upto", upto)
-    columns = []
+    held = []
     for r, rank in enumerate(ranks):
-        holds = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_c") <= rank)
-        columns += [
-            F.max(F.when(holds, F.col("_least"))).alias(f"_lo{r}"),
-            F.max(F.when(holds, F.col("_most"))).alias(f"_hi{r}"),
-            F.max(F.when(holds, F.col("_c"))).alias(f"_c{r}"),
-        ]
-    held = cells.groupBy(*named, "_n").agg(*columns)
-    many = [(F.col(f"_c{r}") > listed).alias(f"_many{r}") for r in range(len(ranks))]
-    return held.select(*named, "_n", *[f"_{side}{r}" for r in range(len(ranks)) for side in ("lo", "hi")], *many)
+        holds = f"_upto > {rank} AND _upto - _c <= {rank}"
+        held += [f"max(_least) FILTER (WHERE {holds}) AS _lo{r}", f"max(_most) FILTER (WHERE {holds}) AS _hi{r}", f"max(_c) FILTER (WHERE {holds}) > {listed} AS _many{r}"]
+    return cells.groupBy("_g", "_n").agg(*[F.expr(h) for h in held])
 
 
 def between(low: Column, high: Column, frac: Column) -> Column:

@@ -122,6 +122,7 @@ def build_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _stored: dict[tuple[str, str], DataFrame] = {}
+ROW_GROUP = 4 * 2**20  # bytes; small, as most analyses read few of the columns
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,11 +130,11 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Later stages read the cleaned table from parquet instead of repeating the
     joins: every analysis then scans only the columns it names, in as many
-    tasks as there are files.
+    tasks as there are row groups.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
-        _stored[key] = materialize(build_flights(spark, sf_dir), "processed")
+        _stored[key] = materialize(build_flights(spark, sf_dir), "processed", row_group=ROW_GROUP)
     return _stored[key]
 
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,11 +39,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as parquet to the shared folder and return a scan of it."""
+def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None, row_group: int | None = None) -> DataFrame:
+    """Write ``df`` as parquet to the shared folder and return a scan of it.
+
+    A task reads whole row groups, so the bytes of a ``row_group`` say how finely
+    a file can be shared among tasks, whatever the number of tasks that wrote it.
+    """
     path = scratch_path(df.sparkSession, name)
     writer = df.write.mode("overwrite")
+    if row_group:
+        writer = writer.option("parquet.block.size", row_group)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str | int) -> Iterator[None]:
+    """A session setting for the jobs that run inside the block."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(value))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
