@@ -16,7 +16,7 @@ from tabforge.operators.lookups import lookup_default
 from tabforge.plans import trips as B
 from tabforge.session import materialize
 
-FOLDS = 2
+FOLDS, STACK_FOLDS = 5, 3
 CONFIG = X.FeatureConfig(
     target="fare_signal",
     categorical=("aircraft_type", "travel_class", "booking_source", "seasonality"),
@@ -49,6 +49,7 @@ def training_table(spark: SparkSession, d: str) -> tuple[DataFrame, X.FeatureMod
             "features",
             "label",
             M.fold_column("split_key", FOLDS).alias("fold"),
+            M.fold_column("split_key", STACK_FOLDS, 7).alias("stack_fold"),
             bucket("split_key", "share").alias("share_bucket"),
             "split",
         )

@@ -4,21 +4,23 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabforge.functions.hashing import bucket
 from tabforge.functions.numeric import half_even
 from tabforge.operators import evaluation as E
 from tabforge.operators import features as X
 from tabforge.operators import interpretation as I
 from tabforge.operators import lookups as L
 from tabforge.operators import models as M
+from tabforge.operators import moments as S
 from tabforge.operators import scoring as V
 from tabforge.operators import tuning as U
 from tabforge.plans import feature_queries as FQ
 from tabforge.plans import trips as B
-from tabforge.plans.model_data import FOLDS, labelled, scored_sql, simple_predictions, split, training_table
+from tabforge.plans.model_data import FOLDS, STACK_FOLDS, labelled, scored_sql, simple_predictions, split, training_table
 from tabforge.session import materialize, scratch_path
 from tabforge.sources import tables as IO
 from tabforge.streaming.scoring import file_stream, start_scoring
@@ -28,6 +30,8 @@ TREE = {"max_depth": 6, "min_leaf": 4}
 FOREST = {"trees": 12, "max_depth": 7, "min_leaf": 4, "features": "0.7"}
 BOOST = {"trees": 15, "rate": 0.2, "max_depth": 4}
 RIDGE_ALPHAS = [0.1, 1.0, 10.0, 100.0]
+LASSO_ALPHAS = [0.01, 0.1, 1.0, 10.0]
+SHARES = [0.1, 0.2, 0.4, 0.6, 0.8, 1.0]
 PATH_ALPHAS = [0.001, 0.01, 0.1, 1.0, 10.0, 100.0, 1_000.0, 10_000.0]
 ONE_ALPHA = {"ridge": 1000.0, "lasso": 500.0}
 
@@ -93,26 +97,43 @@ def _stacking(spark, d):
         "gbt": lambda t: M.fit_gbt(t, **{**BOOST, "trees": 5}),
         "tree": lambda t: M.fit_tree(t, **TREE),
     }
-    stacked = M.fit_stacking(split(spark, d, "train"), bases, FOLDS)
+    stacked = M.fit_stacking(split(spark, d, "train").withColumn("fold", F.col("stack_fold")), bases, STACK_FOLDS)
     return _metrics(spark, d, "stacking", stacked)
 
 
 def _ridge_search(spark, d):
     train = split(spark, d, "train")
-    found = U.cross_validate(train, M.fit_ridge, [{"alpha": a} for a in RIDGE_ALPHAS], FOLDS)
-    lasso = U.grid_search(
-        train,
-        LinearRegression(elasticNetParam=1.0, standardization=False, maxIter=500),
-        U.grid({"regParam": [1.0, 50.0]}),
-        FOLDS,
-    )
+    ridge, lasso = U.search_linear(train, "ridge", RIDGE_ALPHAS), U.search_linear(train, "lasso", LASSO_ALPHAS)
     tree = U.grid_search(
         train, DecisionTreeRegressor(seed=42), U.grid({"maxDepth": [3, 6], "minInstancesPerNode": [1, 4]}), FOLDS
     )
-    named = [r.frame(train).withColumn("model", F.lit(n)) for n, r in (("ridge", found), ("lasso", lasso), ("tree", tree))]
+    named = [r.frame(train).withColumn("model", F.lit(n)) for n, r in (("ridge", ridge), ("lasso", lasso), ("tree", tree))]
     return named[0].unionByName(named[1]).unionByName(named[2])
 
 
+def _line_rows(spark, d):
+    """All rows with the feature ``duration``, folds and shares."""
+    shares = {"fold": M.fold_column("split_key", FOLDS), "share_bucket": bucket("split_key", "share"), "label": F.col("fare_signal")}
+    return labelled(spark, d).withColumns(shares)
+
+
+def _path_line(spark, d):
+    found = U.regularization_path(_line_rows(spark, d), PATH_ALPHAS, ["duration"])
+    return found.select("model", "alpha", "split", half_even("r2", 8).alias("r2"))
+
+
+def _curve_line(spark, d):
+    found = U.linear_learning_curve(_line_rows(spark, d).where("split = 'train'"), "linear", 0.0, SHARES, ["duration"])
+    numbers = [c for c in found.columns if c != "share"]
+    return found.select("share", *[half_even(c, 8).alias(c) for c in numbers])
+
+
+def _search_line(spark, d):
+    cells = S.product_sums(_line_rows(spark, d).where("split = 'train'"), ["fold"], ["duration"])
+    rows = [(k, *row) for k in ("ridge", "lasso") for row in S.cross_validated(cells, k, PATH_ALPHAS)]
+    return spark.createDataFrame(rows, "model string, alpha double, rmse double").select("model", "alpha", half_even("rmse", 6).alias("rmse"))
+
+
 def _random_search(spark, d):
     train = split(spark, d, "train")
     space = {
@@ -263,7 +284,10 @@ def queries():
         "model_report": _model_report,
         "model_roundtrip": _model_roundtrip,
         "regularization_path": lambda s, d: U.regularization_path(training_table(s, d)[0], PATH_ALPHAS),
-        "learning_curve": lambda s, d: U.learning_curve(split(s, d, "train"), lambda t: M.fit_ridge(t, 1.0), [0.1, 0.4, 1.0], FOLDS),
+        "learning_curve": lambda s, d: U.linear_learning_curve(split(s, d, "train"), "ridge", 1.0, SHARES),
+        "regularization_path_line": _path_line,
+        "learning_curve_line": _curve_line,
+        "linear_search_line": _search_line,
         "coef_importance": lambda s, d: _importances(s, d, ("linear",)),
         "tree_importance": lambda s, d: _importances(s, d, ("forest",)).limit(20),
         "importance_all": lambda s, d: _importances(s, d),
@@ -328,8 +352,41 @@ def oracles():
         f"WITH {B.SIGNAL_SQL}, m AS (SELECT regr_slope(ln(1 + fare_signal), duration) AS s, regr_intercept(ln(1 + fare_signal), duration) AS b FROM labelled WHERE split = 'train') "
         "SELECT trip_key, round_even(exp(b + s * duration) - 1, 2) AS predicted FROM labelled, m WHERE split = 'test'"
     )
+    points = ", ".join(f"({a}::DOUBLE)" for a in PATH_ALPHAS)
+    cells = (
+        f"WITH {B.SIGNAL_SQL}, r AS (SELECT duration AS x, fare_signal AS y, split, {B.bucket_sql('split_key', 'fold-42', FOLDS)} AS fold, "
+        f"{B.bucket_sql('split_key', 'share')} AS b FROM labelled), alphas AS (SELECT * FROM (VALUES {points}) t(alpha)), "
+    )
+    stats = "count(*) AS n, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) * count(*) AS sxy, var_pop(x) * count(*) AS sxx"
+    sloped = (
+        "SELECT 'ridge' AS model, alpha, sxy / (sxx + alpha) AS s, * EXCLUDE (alpha) FROM t, alphas UNION ALL "
+        "SELECT 'lasso', alpha, sign(sxy) * greatest(abs(sxy) / n - alpha, 0) / (sxx / n), * EXCLUDE (alpha) FROM t, alphas"
+    )
+    error = "sum((y - my - s * (x - mx)) ** 2)"
+    steps = ", ".join(f"({a}::DOUBLE, {round(1000 * a)})" for a in SHARES)
+    path_line = (
+        cells + f"t AS (SELECT {stats} FROM r WHERE split = 'train'), m AS ({sloped}) SELECT model, alpha, split, "
+        f"round_even(1 - {error} / (var_pop(y) * count(*)), 8) AS r2 FROM m, r WHERE split IN ('train', 'val') GROUP BY model, alpha, split"
+    )
+    search_line = (
+        cells + f"tr AS (SELECT * FROM r WHERE split = 'train'), t AS (SELECT k.fold, {stats} FROM (SELECT DISTINCT fold FROM tr) k JOIN tr ON tr.fold <> k.fold "
+        f"GROUP BY k.fold), m AS ({sloped}), e AS (SELECT model, alpha, fold, sqrt({error} / count(*)) AS e FROM m JOIN tr USING (fold) GROUP BY model, alpha, fold) "
+        "SELECT model, alpha, round_even(avg(e), 6) AS rmse FROM e GROUP BY model, alpha"
+    )
+    curve_line = (
+        cells + f"shares AS (SELECT * FROM (VALUES {steps}) v(share, upto)), tr AS (SELECT * FROM r WHERE split = 'train'), "
+        f"t AS (SELECT share, upto, k.fold, {stats} FROM shares, (SELECT DISTINCT fold FROM tr) k JOIN tr ON tr.fold <> k.fold WHERE b < upto GROUP BY share, upto, k.fold), "
+        "m AS (SELECT *, sxy / sxx AS s FROM t), "
+        f"a AS (SELECT share, m.fold, any_value(n) AS n, 1 - {error} / (var_pop(y) * count(*)) AS r2 FROM m JOIN tr ON tr.fold <> m.fold AND b < upto GROUP BY share, m.fold), "
+        f"v AS (SELECT share, m.fold, 1 - {error} / (var_pop(y) * count(*)) AS r2 FROM m JOIN tr ON tr.fold = m.fold GROUP BY share, m.fold) "
+        "SELECT share, round_even(avg(n), 8) AS rows, round_even(avg(a.r2), 8) AS train_r2_mean, round_even(stddev_pop(a.r2), 8) AS train_r2_std, "
+        "round_even(avg(v.r2), 8) AS val_r2_mean, round_even(stddev_pop(v.r2), 8) AS val_r2_std FROM a JOIN v USING (share, fold) GROUP BY share"
+    )
     sample = "SELECT * FROM scored WHERE model = 'duration_line' AND split = 'test' ORDER BY md5(trip_key || '|42') LIMIT 3000"
     return {
+        "regularization_path_line": path_line,
+        "learning_curve_line": curve_line,
+        "linear_search_line": search_line,
         "fit_linear": slope("sxy / sxx"),
         "fit_ridge": slope(f"sxy / (sxx + {ONE_ALPHA['ridge']})"),
         "fit_lasso": slope(f"sign(sxy) * greatest(abs(sxy) / n - {ONE_ALPHA['lasso']}, 0) / (sxx / n)"),
