@@ -5,8 +5,11 @@ from __future__ import annotations
 import json
 import math
 from dataclasses import asdict, dataclass, field
+from functools import cached_property
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +20,7 @@ from tabforge.operators.lookups import lookup_default
 from tabforge.operators.quantiles import column_stats
 from tabforge.session import materialize
 
-VOCABULARY_CAP = None  # no limit unless one is asked for
+WIDE_CAP = 10_000  # values of a column that may become columns of their own
 
 
 @dataclass(frozen=True)
@@ -37,7 +40,7 @@ class FeatureConfig:
     test_share: float = 0.2
     seed: int = 42
     vocabulary: str = "full"
-    cap: int | None = VOCABULARY_CAP
+    cap: int = WIDE_CAP
 
     @property
     def one_hot(self) -> tuple[str, ...]:
@@ -87,21 +90,47 @@ def log_numeric(df: DataFrame, columns: tuple[str, ...] | list[str]) -> DataFram
     return df.withColumns({c: F.when(F.col(c).isNotNull(), v) for c, v in clipped.items()})
 
 
-def vocabulary(df: DataFrame, columns: list[str] | tuple[str, ...], cap: int | None = VOCABULARY_CAP) -> dict[str, list[str]]:
-    """Sorted distinct values per column, from one scan. With a ``cap``, a column over it raises before any collect."""
+@dataclass
+class Vocabulary:
+    """Distinct values per column as a stored table ``(value, index, column)``; the driver knows only their numbers.
+
+    The index of a value counts from 0 in the order of the column's values.
+    """
+
+    table: DataFrame
+    sizes: dict[str, int]
+
+    def words(self, cap: int = WIDE_CAP) -> dict[str, list[str]]:
+        """The values by column, for named columns; a column with more than ``cap`` of them raises before any is collected."""
+        large = {c: n for c, n in self.sizes.items() if n > cap}
+        if large:
+            raise ValueError(f"too many values for a column each (cap {cap}): {large}; use the vector form or target-encode them")
+        out: dict[str, list[str]] = {c: [] for c in self.sizes}
+        for r in self.table.orderBy("column", "index").collect():
+            out[r["column"]].append(r["value"])
+        return out
+
+
+def vocabulary(df: DataFrame, columns: list[str] | tuple[str, ...]) -> Vocabulary | None:
+    """The distinct values of the columns that exist, from one scan; None without any.
+
+    The values are sorted into ranges and numbered within them; only the number
+    of values per range goes through a running sum.
+    """
     present = [c for c in columns if c in df.columns]
     if not present:
-        return {}
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in present]).unpivot([], present, "column", "value")
-    seen = materialize(long.where(F.col("value").isNotNull()).distinct(), "vocabulary")
-    sizes = {r["column"]: r["n"] for r in seen.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-    large = {c: n for c, n in sizes.items() if cap is not None and n > cap}
-    if large:
-        raise ValueError(f"too many values for one-hot encoding (cap {cap}): {large}; target-encode them")
-    out: dict[str, list[str]] = {c: [] for c in present}
-    for r in seen.collect():
-        out[r["column"]].append(r["value"])
-    return {c: sorted(v) for c, v in out.items()}
+        return None
+    long = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in present]).unpivot([], present, "column", "value")
+    seen = materialize(long.where(F.col("value").isNotNull()).distinct(), "vocabulary-values")
+    ranged = seen.repartitionByRange("column", "value").sortWithinPartitions("column", "value")
+    placed = materialize(ranged.withColumn("_at", F.monotonically_increasing_id()).withColumn("_range", F.shiftright("_at", 33)), "vocabulary-order")
+    ranges = placed.groupBy("column", "_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    below = "coalesce(sum(_n) OVER (PARTITION BY column ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+    ranges = materialize(ranges.selectExpr("column", "_range", "_first", "_n", f"{below} AS _below"), "vocabulary-ranges")
+    index = (F.col("_at") - F.col("_first") + F.col("_below")).cast("int").alias("index")
+    table = materialize(placed.join(ranges, ["column", "_range"]).select("value", index, "column"), "vocabulary", ["column"])
+    sizes = {r["column"]: int(r["n"]) for r in ranges.groupBy("column").agg(F.sum("_n").alias("n")).collect()}
+    return Vocabulary(table, {c: sizes.get(c, 0) for c in present})
 
 
 def one_hot_columns(words: dict[str, list[str]], drop_first: bool = False) -> dict[str, Column]:
@@ -117,7 +146,8 @@ def one_hot_wide(
     df: DataFrame, columns: list[str] | tuple[str, ...], target: str | None = None, drop_first: bool = False
 ) -> DataFrame:
     """Indicator columns in place of the categories; features sorted by name, target last."""
-    words = vocabulary(df, columns)
+    found = vocabulary(df, columns)
+    words = found.words() if found else {}
     indicators = one_hot_columns(words, drop_first)
     plain = {c: F.col(f"`{c}`") for c in df.columns if c not in words and c != target}
     merged = {**plain, **indicators}
@@ -155,6 +185,18 @@ def split_features_target(df: DataFrame, target: str) -> tuple[DataFrame, DataFr
     return df.drop(target), df.select(target)
 
 
+def sparse_vectors(size: int):
+    """A function of indices and values (arrays) that gives sparse vectors of ``size``, a batch at a time."""
+
+    @F.arrow_udf(VectorUDT())
+    def vectors(indices: pa.Array, values: pa.Array) -> pa.Array:
+        n = len(indices)
+        parts = [pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, size, np.int32)), indices, values]
+        return pa.StructArray.from_arrays(parts, names=["type", "size", "indices", "values"])
+
+    return vectors
+
+
 # --- the fitted flow ------------------------------------------------------
 
 
@@ -163,11 +205,16 @@ class FeatureModel:
     """Everything learned from the training rows; applies the same steps to any table or stream."""
 
     config: FeatureConfig
-    words: dict[str, list[str]]
+    vocabulary: Vocabulary | None
     scaler: dict[str, tuple[float, float]]
     global_mean: float | None
     lookups: dict[str, DataFrame] = field(default_factory=dict)
 
+    @cached_property
+    def words(self) -> dict[str, list[str]]:
+        """Values by one-hot column, where names are asked for."""
+        return self.vocabulary.words(self.config.cap) if self.vocabulary else {}
+
     @property
     def one_hot_names(self) -> list[str]:
         return [f"{c}_{v}" for c, values in self.words.items() for v in values]
@@ -201,23 +248,23 @@ class FeatureModel:
         return out.select(*rest, *[merged[c].alias(c) for c in sorted(merged)])
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Adds ``features``: sparse one-hot blocks, then the scaled numbers (order of ``feature_names``)."""
-        out = self._numbers(df)
-        known = [c for c in self.words if self.words[c]]
-        blocks = [f"_hot_{c}" for c in known]
-        if known:
-            indexed = [f"_at_{c}" for c in known]
-            text = out.withColumns({f"_s_{c}": F.col(c).cast("string") for c in known})
-            placed = text
-            for c, at in zip(known, indexed, strict=True):
-                placed = StringIndexerModel.from_labels(self.words[c], f"_s_{c}", at, "keep").transform(placed)
-            # The sizes come with the index columns, so this fit reads no rows. The last
-            # index stands for unknown and missing values and is dropped: all zeros.
-            encoder = OneHotEncoder(inputCols=indexed, outputCols=blocks, dropLast=True).fit(placed)
-            out = encoder.transform(placed).drop(*indexed, *[f"_s_{c}" for c in known])
-        ready = out.withColumns({c: F.col(c).cast("double") for c in self.numeric_names})
-        assembler = VectorAssembler(inputCols=[*blocks, *self.numeric_names], outputCol="features")
-        return assembler.transform(ready).drop(*blocks)
+        """Adds ``features``: sparse one-hot blocks, then the scaled numbers (order of ``feature_names``).
+
+        The index of a value comes from a join with its column's vocabulary, so
+        no value passes the driver; missing and unknown values are 0 everywhere.
+        """
+        out, start, hot = self._numbers(df), 0, []
+        kept = out.columns
+        for i, (c, size) in enumerate((self.vocabulary.sizes if self.vocabulary else {}).items()):
+            values = self.vocabulary.table.where(F.col("column") == c).select(F.col("value").alias(f"_value{i}"), (F.col("index") + start).alias(f"_place{i}"))
+            out = out.join(values, F.col(f"`{c}`").cast("string") == F.col(f"_value{i}"), "left").drop(f"_value{i}")
+            hot.append(F.col(f"_place{i}"))
+            start += size
+        numbers = [F.col(f"`{c}`").cast("double") for c in self.numeric_names]
+        places = F.array_compact(F.array(*hot)) if hot else F.array().cast("array<int>")
+        indices = F.concat(places, F.array(*[F.lit(start + i) for i in range(len(numbers))]).cast("array<int>"))
+        values = F.concat(F.transform(places, lambda _: F.lit(1.0)), F.array(*numbers).cast("array<double>"))
+        return out.select(*[f"`{c}`" for c in kept], sparse_vectors(start + len(numbers))(indices, values).alias("features"))
 
     def scaler_table(self, spark: SparkSession) -> DataFrame:
         rows = [(c, m, s) for c, (m, s) in self.scaler.items()]
@@ -227,7 +274,7 @@ class FeatureModel:
     def save(self, spark: SparkSession, path: str) -> None:
         state = {
             "config": asdict(self.config),
-            "words": self.words,
+            "sizes": self.vocabulary.sizes if self.vocabulary else None,
             "scaler": self.scaler,
             "global_mean": self.global_mean,
             "lookups": list(self.lookups),
@@ -237,14 +284,17 @@ class FeatureModel:
         )
         for column, table in self.lookups.items():
             table.write.mode("overwrite").parquet(f"{path}/lookup-{column}")
+        if self.vocabulary:
+            self.vocabulary.table.write.mode("overwrite").partitionBy("column").parquet(f"{path}/vocabulary")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FeatureModel:
         state = json.loads(spark.read.text(f"{path}/state").first()["value"])
         cfg = {k: tuple(v) if isinstance(v, list) else v for k, v in state["config"].items()}
+        table = spark.read.schema("value string, index int, column string").parquet(f"{path}/vocabulary") if state["sizes"] is not None else None
         return cls(
             FeatureConfig(**cfg),
-            state["words"],
+            Vocabulary(table, state["sizes"]) if table is not None else None,
             {c: tuple(v) for c, v in state["scaler"].items()},
             state["global_mean"],
             {c: spark.read.parquet(f"{path}/lookup-{c}") for c in state["lookups"]},
@@ -266,12 +316,12 @@ def fit_features(df: DataFrame, config: FeatureConfig) -> FeatureModel:
     if config.interaction:
         rows = interaction(rows, *config.interaction)
     train = rows.where(F.col("split") == "train")
-    words = vocabulary(train if config.vocabulary == "train" else rows, config.one_hot, config.cap)
+    values = vocabulary(train if config.vocabulary == "train" else rows, config.one_hot)
     learned = {c: target_means(train, c, "label") for c in config.target_encode if c in rows.columns}
     lookups = {c: table for c, (table, _) in learned.items()}
     mean = next((m for _, m in learned.values()), None)
     scaler = scaler_state(log_numeric(train, config.log_numeric), config.numerical)
-    return FeatureModel(config, words, scaler, mean, lookups)
+    return FeatureModel(config, values, scaler, mean, lookups)
 
 
 def feature_set(df: DataFrame, model: FeatureModel, keys: tuple[str, ...] = ()) -> DataFrame:

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from tabforge.functions.numeric import half_even
 from tabforge.operators import cleaning as K
 from tabforge.operators import features as X
-from tabforge.operators.lookups import lookup_default
+from tabforge.operators.lookups import align_columns, lookup_default
 from tabforge.plans import trips as B
 from tabforge.session import scratch_path
 from tabforge.sources import tables as IO
 
 CONFIG = X.FeatureConfig(
     target="fare",
-    categorical=("travel_class", "booking_source", "seasonality"),
+    categorical=B.CATEGORIES,
     numerical=tuple(B.NUMERICAL),
     split_key="split_key",
     redundant=("source_name", "destination_name"),
@@ -24,20 +24,22 @@ CONFIG = X.FeatureConfig(
     log_numeric=("duration", "days_left"),
 )
 SCALED = ["duration", "days_left", "stopovers"]
-# The values of the three one-hot columns in the test tables.
-WORDS = {
-    "travel_class": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
-    "booking_source": ["F", "O", "P"],
-    "seasonality": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
-}
+WORDS = B.WORDS
+HOT = sorted(f"{c}_{v}" for c, values in WORDS.items() for v in values)
 
 
 def _model(spark, d):
     return X.fit_features(B.flights(spark, d), CONFIG)
 
 
+def aligned(rows, keep):
+    """Feature columns for all values that can occur: a small table need not hold each of them."""
+    return align_columns(rows, sorted([*HOT, *B.NUMERICAL, "route_te"]), keep)
+
+
 def _feature_set(spark, d):
-    return X.feature_set(B.flights(spark, d), _model(spark, d), ("trip_key",))
+    rows = X.feature_set(B.flights(spark, d), _model(spark, d), ("trip_key",))
+    return aligned(rows, ["trip_key", "split", "label"])
 
 
 def _rounded(df):
@@ -80,18 +82,27 @@ def _roundtrip(spark, d):
     flights = B.flights(spark, d)
     model = _model(spark, d)
     data, state = scratch_path(spark, "features"), scratch_path(spark, "feature-model")
-    IO.write_splits(X.feature_set(flights, model, ("trip_key",)), data)
+    IO.write_splits(aligned(X.feature_set(flights, model, ("trip_key",)), ["trip_key", "split", "label"]), data)
     model.save(spark, state)
     again = X.FeatureModel.load(spark, state)
     loaded = IO.load_splits(spark, data, ["train", "val"])
-    rebuilt = X.feature_set(flights, again, ("trip_key",)).where("split = 'test'")
+    rebuilt = aligned(X.feature_set(flights, again, ("trip_key",)).where("split = 'test'"), ["trip_key", "split", "label"])
     return _rounded(loaded.unionByName(rebuilt))
 
 
 def _vector(spark, d):
+    """The places of the ones among the one-hot features of each row, and the number of features."""
     rows = X.labelled(B.flights(spark, d), CONFIG)
     model = _model(spark, d)
-    return model.transform(rows).select("trip_key", "split", "label", vector_to_array("features").alias("features"))
+    out = model.transform(rows).select("trip_key", "split", half_even("label", 6).alias("label"), vector_to_array("features").alias("f"))
+    n_hot = sum(model.vocabulary.sizes.values())
+    ones = F.filter(F.sequence(F.lit(0), F.lit(n_hot - 1)), lambda i: F.get("f", i) == 1.0)
+    return out.select("trip_key", "split", "label", F.array_join(ones.cast("array<string>"), ",").alias("hot"), F.size("f").alias("n_features"))
+
+
+def _wide(spark, d):
+    rows = X.one_hot_wide(B.gaps(spark, d).select("trip_key", *WORDS, "fare"), list(WORDS), "fare")
+    return align_columns(rows, HOT, ["trip_key", "fare"])
 
 
 def queries():
@@ -102,9 +113,7 @@ def queries():
         "feat_interaction": lambda s, d: X.interaction(
             B.gaps(s, d).select("trip_key", "airline", "destination"), "airline", "destination", "route"
         ),
-        "feat_onehot_wide": lambda s, d: X.one_hot_wide(
-            B.gaps(s, d).select("trip_key", *WORDS, "fare"), list(WORDS), "fare"
-        ),
+        "feat_onehot_wide": _wide,
         "feat_onehot_vector": _vector,
         "feat_log_target": lambda s, d: B.flights(s, d).select(
             "trip_key", half_even(F.log1p("fare"), 8).alias("label")
@@ -154,8 +163,24 @@ def flow_sql(where: str = "") -> str:
     )
 
 
+def _vector_sql() -> str:
+    """The index of a value is its place among the values of its column, after those of the columns before."""
+    ctes, before = [], "0"
+    for c in WORDS:
+        ctes.append(f"v_{c} AS (SELECT v, row_number() OVER (ORDER BY v) - 1 + {before} AS at FROM (SELECT DISTINCT {c} AS v FROM rows WHERE {c} IS NOT NULL))")
+        before = f"{before} + (SELECT count(*) FROM v_{c})"
+    joins = " ".join(f"LEFT JOIN v_{c} ON rows.{c} = v_{c}.v" for c in WORDS)
+    places = ", ".join(f"v_{c}.at" for c in WORDS)
+    return (
+        f", {', '.join(ctes)} SELECT trip_key, split, round_even(label, 6) AS label, concat_ws(',', {places}) AS hot, "
+        f"CAST({before} + {len(B.NUMERICAL) + 1} AS INTEGER) AS n_features FROM rows {joins}"
+    )
+
+
 def oracles():
-    rows = f"WITH {ROWS_SQL} "
+    rows = f"WITH {ROWS_SQL}"
+    vectors = rows + _vector_sql()
+    rows += " "
     flights = f"WITH {B.FLIGHTS_SQL} "
     gaps = f"WITH {B.GAPS_SQL} "
     params = " UNION ALL ".join(
@@ -170,6 +195,7 @@ def oracles():
         "feat_drop_redundant": flights + "SELECT trip_key, source FROM flights",
         "feat_interaction": gaps + "SELECT trip_key, airline, destination, airline || '_' || destination AS route FROM gaps",
         "feat_onehot_wide": gaps + f"SELECT trip_key, {_hot()}, fare FROM gaps",
+        "feat_onehot_vector": vectors,
         "feat_log_target": flights + "SELECT trip_key, round_even(ln(1 + fare), 8) AS label FROM flights",
         "feat_split": flights + f"SELECT trip_key, {B.SPLIT_SQL} AS split FROM flights",
         "feat_log_numeric": gaps

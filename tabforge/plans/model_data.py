@@ -19,7 +19,7 @@ from tabforge.session import materialize
 FOLDS, STACK_FOLDS = 5, 3
 CONFIG = X.FeatureConfig(
     target="fare_signal",
-    categorical=("aircraft_type", "travel_class", "booking_source", "seasonality"),
+    categorical=B.CATEGORIES,
     numerical=tuple(B.NUMERICAL),
     split_key="split_key",
     redundant=("source_name", "destination_name"),

@@ -264,8 +264,7 @@ def _score_features(spark, d):
     flights = B.flights(spark, d)
     model = X.fit_features(flights, FQ.CONFIG)
     rows = flights.withColumn("split", B.split_of("split_key")).where("split = 'test'")
-    built = L.align_columns(model.transform_wide(rows), sorted(model.feature_names), keep=["trip_key"])
-    return FQ._rounded(built)
+    return FQ._rounded(FQ.aligned(model.transform_wide(rows), ["trip_key"]))
 
 
 def queries():

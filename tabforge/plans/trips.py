@@ -23,6 +23,17 @@ CATEGORICAL = [
     "booking_source",
     "seasonality",
 ]
+# The categories of the feature flow with the values that the test tables can hold.
+WORDS = {
+    "airline": [f"Brand#{i}" for i in range(1, 26)],
+    "source": [f"NATION_{i}" for i in range(25)],
+    "destination": [f"NATION_{i}" for i in range(25)],
+    "aircraft_type": ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"],
+    "travel_class": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+    "booking_source": ["F", "O", "P"],
+    "seasonality": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
+}
+CATEGORIES = tuple(WORDS)
 NUMERICAL = [
     "duration",
     "days_left",

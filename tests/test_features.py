@@ -68,7 +68,25 @@ def test_one_hot_wide(table):
 
 def test_vocabulary_cap(table):
     with pytest.raises(ValueError, match="too many values"):
-        X.vocabulary(table, ["airline"], cap=2)
+        X.vocabulary(table, ["airline"]).words(cap=2)
+
+
+def test_vocabulary_index_of_many_values(spark):
+    """Numbered in the order of the values across many ranges, and used without a value on the driver."""
+    df = spark.range(200_000).select(F.concat(F.lit("v"), F.col("id") * 7919 % 200_003).alias("c"), (F.col("id") % 3).cast("string").alias("k"), F.col("id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = X.vocabulary(df, ["c", "absent", "k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found.sizes == {"c": 200_000, "k": 3}
+    values = [r["value"] for r in found.table.where("column = 'c'").orderBy("index").collect()]
+    assert values == sorted(values) and len(set(values)) == 200_000
+    assert found.table.where("column = 'c'").agg(F.min("index"), F.max("index"), F.countDistinct("index")).first() == (0, 199_999, 200_000)
+    model = X.FeatureModel(X.FeatureConfig("y", ("c", "k"), (), "id", interaction=None), found, {}, None)
+    row = model.transform(df.where("id = 5")).first()
+    assert row["features"].size == 200_003 and row["features"].indices.tolist() == [values.index(row["c"]), 200_002]
+    assert X.vocabulary(df.where("false"), ["k"]).sizes == {"k": 0} and X.vocabulary(df, ["absent"]) is None
 
 
 def test_log_numeric_clips(spark):
