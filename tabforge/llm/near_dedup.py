@@ -23,6 +23,7 @@ from tabforge.llm.shingles import Shingler, mixed
 from tabforge.session import materialize
 
 _ROUND = 0x9FB21C651E98DF25
+SALT_ROWS = 2_000  # members of a bucket that meet their pivot in one task
 
 
 def fast_similarity_sketch(elements: np.ndarray, t: int) -> np.ndarray:
@@ -102,9 +103,15 @@ def star_links(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataF
     least pivot that it is linked to, or itself: nodes of one label are linked.
     """
     order = F.struct(F.xxhash64("node"), "node")
-    pivot = members.groupBy("bucket").agg(F.min_by(F.struct("node", "n"), order).alias("p"))
+    pivot = members.groupBy("bucket").agg(F.min_by(F.struct("node", "n"), order).alias("p"), F.ceil(F.count(F.lit(1)) / SALT_ROWS).alias("salts"))
+    pivot = pivot.select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), "salts", F.expr("p.node AS pivot"), F.expr("p.n AS m"))
+    # A large bucket meets its pivot in several tasks: a member takes the copy of the pivot that its hash says.
+    sizes = pivot.where("salt = 0 AND salts > 1").select("bucket", "salts")
+    salted = members.join(materialize(sizes, "near-salts"), "bucket", "left").withColumn(
+        "salt", F.coalesce(F.pmod(F.xxhash64("node", F.lit(7)), F.col("salts")), F.lit(0).cast("long"))
+    )
     pairs = (
-        members.join(pivot.selectExpr("bucket", "p.node AS pivot", "p.n AS m"), "bucket")
+        salted.drop("salts").join(pivot.drop("salts"), ["bucket", "salt"])
         .where(f"node != pivot AND 100 * least(n, m) >= {percent} * greatest(n, m)")
         .select(F.col("node").alias("a"), F.col("pivot").alias("b"))
         .distinct()
@@ -117,58 +124,84 @@ def star_links(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataF
 
 
 def block_links(left: DataFrame, sets: DataFrame, percent: int, block: int, shingles: int) -> DataFrame:
-    """Verified edges between members of a bucket with different labels, compared block against block.
+    """Edges between components of a bucket that verified links join, compared block against block.
 
     A bucket is dealt by hash into blocks of about ``block`` members or
-    ``shingles`` shingles, whichever is less; a task takes two blocks, counts
+    ``shingles`` shingles, whichever is less; a task takes two blocks and counts
     all common shingles as products of 0/1 matrices over the shingles that
-    occur twice, and returns only links that join labels. No pair is
-    written unless it is a link.
+    occur twice. First each block is compared with itself, then, under the
+    labels that this gives, with the others. A task returns a star per
+    component that it finds: fewer edges than its members, whatever the number
+    of links.
     """
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / shingles)).alias("blocks")
     dealt = left.join(left.groupBy("bucket").agg(blocks), "bucket").withColumn(
         "part", F.pmod(F.xxhash64("node", F.lit(99)), F.col("blocks"))
     )
-    member = F.struct("node", "component", "shingles")
-    packed = dealt.join(sets.select("node", "shingles"), "node").groupBy("bucket", "part").agg(F.collect_list(member).alias("one"))
+    dealt = materialize(dealt.select("bucket", "part", "node", "component"), "near-dealt")
+    member = F.struct("node", "shingles")
+    packed = dealt.join(sets.select("node", "shingles"), "node").groupBy("bucket", "part").agg(F.array_sort(F.collect_list(member)).alias("sets"))
     packed = materialize(packed, "near-blocks")
-    other = packed.select("bucket", F.col("part").alias("part2"), F.col("one").alias("two"))
-    pairs = packed.join(other, "bucket").where("part <= part2").select("one", "two")
+
+    def labelled(members: DataFrame) -> DataFrame:
+        """Blocks with the components of their members in the order of the nodes."""
+        ordered = F.array_sort(F.collect_list(F.struct("node", "component")))
+        return packed.join(members.groupBy("bucket", "part").agg(ordered.alias("labels")), ["bucket", "part"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                a, b = _linked(_block(batch.column(0)[i]), _block(batch.column(1)[i]), percent)
+                two = _block(batch.column(2)[i], batch.column(3)[i]) if batch.num_columns == 4 else None
+                a, b = _joined(_block(batch.column(0)[i], batch.column(1)[i]), two, percent)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return pairs.mapInArrow(compare, "a long, b long")
+    within = materialize(labelled(dealt).select("sets", "labels").mapInArrow(compare, "a long, b long"), "near-edges")
+    merged = within.groupBy(F.col("a").alias("component")).agg(F.min("b").alias("least"))
+    several = dealt.join(left.groupBy("bucket").agg(blocks).where("blocks > 1").select("bucket"), "bucket", "left_semi")
+    relabelled = several.join(merged, "component", "left").withColumn("component", F.coalesce("least", "component"))
+    one = labelled(relabelled)
+    other = one.select("bucket", F.col("part").alias("part2"), F.col("sets").alias("sets2"), F.col("labels").alias("labels2"))
+    pairs = one.join(other, "bucket").where("part < part2").select("sets", "labels", "sets2", "labels2")
+    return within.union(pairs.mapInArrow(compare, "a long, b long"))
 
 
-def _block(members: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Nodes, components, set sizes and all shingles, one set after the other."""
-    nodes, components, sets = members.values.flatten()
-    sizes = np.diff(sets.offsets.to_numpy())
-    return nodes.to_numpy(), components.to_numpy(), sizes, sets.flatten().to_numpy()
+def _block(members: pa.ListScalar, labels: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Components, set sizes and all shingles, one set after the other."""
+    _, sets = members.values.flatten()
+    return labels.values.flatten()[1].to_numpy(), np.diff(sets.offsets.to_numpy()), sets.flatten().to_numpy()
 
 
-def _linked(one: tuple, two: tuple, percent: int, width: int = 8192) -> tuple[list[int], list[int]]:
-    """Links between members of two blocks, at most one for each pair of components that they join."""
-    known, place, times = np.unique(np.concatenate([one[3], two[3]]), return_inverse=True, return_counts=True)
+def _joined(one: tuple, two: tuple | None, percent: int, width: int = 8192) -> tuple[list[int], list[int]]:
+    """``(component, least component it is joined with)`` for links between members of two blocks, or of one."""
+    labels, sizes, shingles = one if two is None else (np.concatenate(x) for x in zip(one, two, strict=True))
+    n = len(labels)
+    rows_at, columns_at = (slice(0, n), slice(0, n)) if two is None else (slice(0, len(one[0])), slice(len(one[0]), n))
+    _, place, times = np.unique(shingles, return_inverse=True, return_counts=True)
     column = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[place]
-    rows = np.repeat(np.arange(len(one[0]) + len(two[0])), np.concatenate([one[2], two[2]]))
+    rows = np.repeat(np.arange(n), sizes)
     rows, column = rows[column >= 0], column[column >= 0]
-    common = np.zeros((len(one[0]), len(two[0])), np.float32)
+    common = np.zeros((rows_at.stop - rows_at.start, columns_at.stop - columns_at.start), np.float32)
     for start in range(0, int(column.max(initial=-1)) + 1, width):
         some = (column >= start) & (column < start + width)
-        bits = np.zeros((len(one[0]) + len(two[0]), width), np.float32)
+        bits = np.zeros((n, width), np.float32)
         bits[rows[some], column[some] - start] = 1
-        common += bits[: len(one[0])] @ bits[len(one[0]) :].T
+        common += bits[rows_at] @ bits[columns_at].T
     common = common.astype(np.int64)
-    near = 100 * common >= percent * (one[2][:, None] + two[2][None, :] - common)
-    x, y = np.nonzero(near & (one[1][:, None] != two[1][None, :]))
-    joined = np.sort(np.stack([one[1][x], two[1][y]]), axis=0)
-    _, first = np.unique(joined, axis=1, return_index=True)
-    return one[0][x[first]].tolist(), two[0][y[first]].tolist()
+    near = 100 * common >= percent * (sizes[rows_at, None] + sizes[None, columns_at] - common)
+    x, y = np.nonzero(near)
+    names, label = np.unique(labels, return_inverse=True)
+    touches = np.eye(len(names), dtype=bool)
+    a, b = label[rows_at][x], label[columns_at][y]
+    touches[a, b] = touches[b, a] = True
+    least = np.arange(len(names))
+    while True:  # each label takes the least of those it touches, until nothing changes
+        lower = np.where(touches, least[None, :], len(names)).min(1)
+        lower = lower[lower]
+        if np.array_equal(lower, least):
+            break
+        least = lower
+    moved = np.flatnonzero(least != np.arange(len(names)))
+    return names[moved].tolist(), names[least[moved]].tolist()
 
 
 def link_classes(
