@@ -24,8 +24,19 @@ _SLACK = 1e-6  # the chord of almost equal vectors is only this exact
 
 
 def dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """All products of rows, each summed in the same order wherever it stands, so that equal vectors tie exactly."""
-    return np.einsum("ij,kj->ik", a, b)
+    """All products of rows, each summed from the first component to the last: the same double on any machine and engine."""
+    total = np.zeros((len(a), len(b)))
+    for x, y in zip(a.T, b.T, strict=True):
+        total += x[:, None] * y[None, :]
+    return total
+
+
+def lengths(a: np.ndarray) -> np.ndarray:
+    """Euclidean lengths of rows, summed in the same order."""
+    total = np.zeros(len(a))
+    for x in a.T:
+        total += x * x
+    return np.sqrt(total)
 
 
 class Tree:
@@ -34,7 +45,8 @@ class Tree:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf: int = 64, seed: int = 0):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        self.norms = np.sqrt(np.einsum("ij,ij->i", self.vectors, self.vectors))
+        self.repeats = np.array(len(np.unique(ids)) < len(ids))
+        self.norms = lengths(self.vectors)
         unit = self.vectors / self.norms[:, None]
         rng, nodes, rows = np.random.default_rng(seed), [], []
         todo = [(np.arange(len(ids)), -1, 0)]
@@ -74,13 +86,13 @@ class Tree:
         return tree
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, relax: float) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and cosines (-inf: none) of the k best per query, best first, ties to the smaller id; the query's own id is left out.
+        """Ids and cosines (-inf: none) of the k best different ids per query, best first, ties to the smaller id; the query's own id is left out.
 
         First every query goes down to the leaf on its side, which gives a
         distance to beat; then the tree is walked once for all queries, each
         leaving out the subtrees that its bound excludes.
         """
-        norms = np.sqrt(np.einsum("ij,ij->i", queries, queries))
+        norms = lengths(queries)
         unit, points = queries / norms[:, None], self.vectors / self.norms[:, None]
         best, score = np.full((len(queries), k), -1), np.full((len(queries), k), -np.inf)
         home = np.full(len(queries), -1)
@@ -91,6 +103,10 @@ class Tree:
             found[query_ids[at][:, None] == self.ids[rows][None, :]] = -np.inf
             ids = np.concatenate([best[at], np.broadcast_to(self.ids[rows], found.shape)], axis=1)
             both = np.concatenate([score[at], found], axis=1)
+            if self.repeats:  # an id counts once, with its best score
+                by_id = np.lexsort((-both, ids), axis=1)
+                ids, both = np.take_along_axis(ids, by_id, 1), np.take_along_axis(both, by_id, 1)
+                both[:, 1:][ids[:, 1:] == ids[:, :-1]] = -np.inf
             order = np.lexsort((ids, -both), axis=1)[:, :k]
             best[at], score[at] = np.take_along_axis(ids, order, 1), np.take_along_axis(both, order, 1)
 

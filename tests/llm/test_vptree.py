@@ -58,6 +58,22 @@ def test_ties_copies_and_vectors_that_take_no_part(spark):
     assert {f[0] for f in found} == {1, 3, 200, 1002, 3000}
 
 
+def test_repeated_ids_count_once(spark):
+    rng = np.random.default_rng(1)
+    rows = [(0, [1.0, 0.0, 0.1])] + [(7, [1.0, 0.01 * i, 0.0]) for i in range(6)] + [(i, rng.normal(size=3).tolist()) for i in range(10, 16)]
+    rows += [(8, rng.normal(size=3).tolist()) for _ in range(300)]
+    found = search(spark, rows, [rows[0], rows[1], rows[2]], shard_rows=10_000)
+    assert [f[1] for f in found if f[0] == 0] == [1, 2, 3, 4, 5]
+    assert len({f[2] for f in found if f[0] == 0}) == 5
+    best = {}
+    for q, v in (rows[0], rows[1], rows[2]):
+        for _, _, i, s in brute_force(rows, [(q, v)], 10**6):
+            best[q, i] = max(s, best.get((q, i), -2))
+    for q in (0, 7):
+        top = sorted(((-s, i) for (own, i), s in best.items() if own == q))[:5]
+        assert [(f[2], f[3]) for f in found if f[0] == q] == [(i, pytest.approx(-s, abs=1e-14)) for s, i in top]
+
+
 def test_fewer_candidates_and_empty_tables(spark):
     rows = [(0, [1.0, 0.0]), (50, [0.0, 1.0]), (51, [1.0, 1.0])]
     assert len(search(spark, rows, rows[:2])) == 4
