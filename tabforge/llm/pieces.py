@@ -6,162 +6,154 @@ start. So a text may be cut at such blanks, and its ids are those of its pieces.
 Natural text repeats its words, so a batch is cut and its pieces numbered with
 vectorised Arrow functions, the library gets the pieces not seen lately, joined
 to long texts, and the ids of the documents are gathered from the pieces' ids.
+Texts in which some blanks do not stand alone are cut by a regular expression.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+import sys
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+Coded = tuple[np.ndarray, np.ndarray]  # ids of several pieces, one after the other, and how many each has
+
+_SPACES = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
+
 
 def lone_blank(also: str = "") -> re.Pattern:
     """Blanks between two characters that are neither white space nor in ``also``."""
     return re.compile(rf"(?<=[^\s{also}]) (?=[^\s{also}])")
 
 
+def other_blank(also: str = "") -> str:
+    """A pattern (RE2) of the blanks that do not stand alone between two such characters."""
+    near = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in _SPACES + also) + "]"
+    return rf"\A | \z| {near}|{near} "
+
+
 class Memory:
-    """Ids of pieces in two generations of ``size`` / 2: what is used again moves to the younger, the older is dropped when that is full."""
+    """Ids of pieces under the numbers of the pieces; forgotten as a whole between batches once there are ``size`` of them."""
 
     def __init__(self, size: int):
-        self.size, self.young, self.old = max(1, size // 2), {}, {}
+        self.size = size
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.ids, self.counts = np.empty(0, np.uint32), np.empty(0, np.int64)
 
     def __len__(self) -> int:
-        return len(self.young) + len(self.old)
-
-    def look_up(self, pieces: list[str]) -> tuple[list[str], list[bytes | None]]:
-        """The pieces that are not known, in order, and for each piece its ids or None."""
-        found = list(map(self.young.get, pieces))
-        new, again = [], {}
-        for i, p in enumerate(pieces):
-            if found[i] is None:
-                ids = found[i] = self.old.get(p)
-                if ids is None:
-                    new.append(p)
-                else:
-                    again[p] = ids
-        self.add(again.keys(), again.values())
-        return new, found
-
-    def add(self, pieces: Iterable[str], ids: Iterable[bytes]) -> None:
-        for p, i in zip(pieces, ids, strict=True):
-            if len(self.young) >= self.size:
-                self.old, self.young = self.young, {}
-            self.young[p] = i
+        return len(self.numbers)
+
+    def look_up(self, pieces: list[str]) -> np.ndarray:
+        """The number of each piece, -1 for one that is not known."""
+        return np.fromiter(map(self.numbers.get, pieces, [-1] * len(pieces)), np.int64, len(pieces))
+
+    def add(self, pieces: list[str], coded: Coded) -> np.ndarray:
+        """The numbers that new pieces get."""
+        given = range(len(self.counts), len(self.counts) + len(pieces))
+        self.numbers.update(zip(pieces, given, strict=True))
+        self.ids, self.counts = np.concatenate([self.ids, coded[0]]), np.concatenate([self.counts, coded[1]])
+        return np.array(given, np.int64)
 
 
 class PieceEncoder:
-    """Ids of whole texts. ``encode(pieces, first)`` gives the ids of each piece as little-endian u32 bytes.
+    """Ids of whole texts. ``encode(pieces, first)`` gives the ids of pieces.
 
     ``first`` says whether the pieces stand at the start of a text or after a
     lone blank; ``blanks`` are characters that the tokenizer takes for a blank.
-    At most ``remember`` pieces are kept between batches, and the library gets
+    About ``remember`` pieces are kept between batches, and the library gets
     at most ``at_once`` of them at a time.
     """
 
-    def __init__(self, encode: Callable[[list[str], bool], list[bytes]], blanks: str = "", remember: int = 250_000, at_once: int = 40_000):
-        self.encode, self.blanks, self.at_once = encode, blanks, at_once
-        self.cut = lone_blank(blanks).split
-        # Pieces after a blank, pieces at the start of a text, and both for texts cut by rule.
+    def __init__(self, encode: Callable[[list[str], bool], Coded], blanks: str = "", remember: int = 250_000, at_once: int = 40_000):
+        self.encode, self.at_once = encode, at_once
+        self.cut, self.odd = lone_blank(blanks).split, other_blank(blanks)
         self.later, self.first = Memory(remember), Memory(remember)
-        self.rare_later, self.rare_first = Memory(remember), Memory(remember)
-
-    def is_odd(self, piece: str) -> bool:
-        """Whether cutting at the blanks next to this piece was wrong, as they do not stand alone."""
-        return not piece or piece[0].isspace() or piece[-1].isspace() or piece[0] in self.blanks or piece[-1] in self.blanks
-
-    def _ids(self, pieces: list[str], memory: Memory, new: list[str], found: list[bytes | None]) -> list[bytes]:
-        """Ids of ``pieces``: those ``found`` in the memory, and those of the ``new`` ones in their order."""
-        if not new:
-            return found
-        first = memory is self.first or memory is self.rare_first
-        fresh: list[bytes] = []
-        for i in range(0, len(new), self.at_once):
-            fresh += self.encode(new[i : i + self.at_once], first)
-        memory.add(new, fresh)
-        rest = iter(fresh)
-        return [next(rest) if f is None else f for f in found]
+
+    def _numbers(self, pieces: list[str], memory: Memory) -> np.ndarray:
+        numbers = memory.look_up(pieces)
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            wanted = pieces if len(new) == len(pieces) else [pieces[i] for i in new]
+            parts = [self.encode(wanted[i : i + self.at_once], memory is self.first) for i in range(0, len(wanted), self.at_once)]
+            numbers[new] = memory.add(wanted, (np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])))
+        return numbers
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch of strings, and where each text's ids start (one entry more than texts)."""
+        for memory in (self.later, self.first):
+            if len(memory) >= memory.size:
+                memory.forget()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        filled = np.flatnonzero(pc.greater(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
-        split = pc.split_pattern(texts.take(pa.array(filled)), " ")
-        starts, flat = split.offsets.to_numpy(), split.flatten()
-        starts = starts - starts[0] if len(starts) else np.zeros(1, np.int64)
-        coded = flat.dictionary_encode()
-        number, pieces = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
-        new, seen = self.later.look_up(pieces)
-        if any(map(self.is_odd, new)):
-            return self._with_odd(texts.to_pylist())
-        heads = flat.take(pa.array(starts[:-1])).dictionary_encode()
-        number[starts[:-1]] = heads.indices.to_numpy() + len(pieces)
-        openings = heads.dictionary.to_pylist()
-        found = self._ids(pieces, self.later, new, seen) + self._ids(openings, self.first, *self.first.look_up(openings))
-        return gathered(number, found, starts, filled, len(texts))
-
-    def _with_odd(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for a batch in which some blanks do not stand alone: every text is cut by rule."""
-        number, starts, filled, found, places = [], [0], [], [], {}
-        split = [self.cut(t) if t else [] for t in texts]
-        for first in (True, False):
-            some = list(dict.fromkeys(p for s in split for p in (s[:1] if first else s[1:])))
-            places.update({(p, first): len(found) + i for i, p in enumerate(some)})
-            known = self.rare_first if first else self.rare_later
-            found += self._ids(some, known, *known.look_up(some))
-        for i, s in enumerate(split):
-            if s:
-                filled.append(i)
-                number += [places[p, j == 0] for j, p in enumerate(s)]
-                starts.append(len(number))
-        return gathered(np.array(number, np.int64), found, np.array(starts), np.array(filled, np.int64), len(texts))
-
-
-def gathered(number: np.ndarray, found: list[bytes], starts: np.ndarray, filled: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all pieces ``number`` in order, and the starts of ``n`` texts of which ``filled`` have pieces."""
-    pool = np.frombuffer(b"".join(found), "<u4")
-    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-    firsts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else sizes
-    counts = sizes[number]
-    ends = np.cumsum(counts)
-    total = int(ends[-1]) if len(ends) else 0
-    ids = pool[np.repeat(firsts[number] - ends + counts, counts) + np.arange(total)]
-    lengths = np.zeros(n, np.int64)
-    ends = np.concatenate([[0], ends])
-    lengths[filled] = np.diff(ends[starts]) if len(filled) else 0
-    return ids, np.concatenate([[0], np.cumsum(lengths)])
+        filled = pc.greater(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
+        even_at, odd_at = np.flatnonzero(filled & ~odd), np.flatnonzero(filled & odd)
+        even = pc.split_pattern(texts.take(pa.array(even_at)), " ")
+        cut = [self.cut(t) for t in texts.take(pa.array(odd_at)).to_pylist()]
+        flat = pa.concat_arrays([even.flatten(), pa.array([p for c in cut for p in c], pa.large_string())])
+        sizes = np.concatenate([np.diff(even.offsets.to_numpy()), np.fromiter(map(len, cut), np.int64, len(cut))])
+        heads_at = np.cumsum(sizes) - sizes
+        coded, heads = flat.dictionary_encode(), flat.take(pa.array(heads_at)).dictionary_encode()
+        later = self._numbers(coded.dictionary.to_pylist(), self.later)
+        first = self._numbers(heads.dictionary.to_pylist(), self.first)
+        number = later[coded.indices.to_numpy()]
+        number[heads_at] = first[heads.indices.to_numpy()] + len(self.later.counts)
+        counts = np.concatenate([self.later.counts, self.first.counts])
+        # The texts with odd blanks were cut last; the ids are gathered in the order of the batch.
+        at = np.concatenate([even_at, odd_at])
+        if len(odd_at) and len(even_at):
+            order = np.argsort(at, kind="stable")
+            number, sizes, at = number[stretches(heads_at[order], sizes[order])], sizes[order], at[order]
+        pool = pa.array(np.concatenate([self.later.ids, self.first.ids]))
+        coded_pieces = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)])), pool)
+        gathered = coded_pieces.take(pa.array(number))
+        ends = gathered.offsets.to_numpy()[np.concatenate([[0], np.cumsum(sizes)])]
+        lengths = np.zeros(len(texts), np.int64)
+        lengths[at] = np.diff(ends)
+        return gathered.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lengths)])
+
+
+def stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places ``start``, ``start + 1``, .. of all stretches, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+def flattened(lists: list[list[int]]) -> Coded:
+    """Lists of ids as one array and their lengths."""
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter((i for x in lists for i in x), np.uint32, int(counts.sum())), counts
 
 
 def joined_encoder(
     encode_texts: Callable[[list[str]], list[list[int]]],
     lengths: np.ndarray,
-    size: Callable[[str], int],
+    size: Callable[[pa.Array], pa.Array] = pc.binary_length,
     lead: str = " ",
     group: int = 2000,
-) -> Callable[[list[str], bool], list[bytes]]:
+) -> Callable[[list[str], bool], Coded]:
     """An ``encode`` for ``PieceEncoder`` that sends many pieces as one text.
 
     ``lengths`` is the length of each id's part of the text and ``size`` that of
-    a piece, both in the same unit and with the blank in front of a later piece;
+    pieces, both in the same unit and with the blank in front of a later piece;
     where the sums meet, the ids of the next piece begin. ``lead`` starts such a
     text, unless the tokenizer adds a blank itself. Pieces at the start of a
     text go one by one.
     """
 
-    def encode(pieces: list[str], first: bool) -> list[bytes]:
+    def encode(pieces: list[str], first: bool) -> Coded:
         if first:
-            return [np.array(x, "<u4").tobytes() for x in encode_texts(pieces)]
-        found: list[bytes] = []
+            return flattened(encode_texts(pieces))
         groups = [pieces[i : i + group] for i in range(0, len(pieces), group)]
-        for some, ids in zip(groups, encode_texts([lead + " ".join(g) for g in groups]), strict=True):
-            flat = np.array(ids, "<u4")
-            met = np.cumsum(lengths[flat])
-            ends = np.searchsorted(met, np.cumsum(np.fromiter(map(size, some), np.int64, len(some)) + 1)) + 1
-            raw, cuts = flat.tobytes(), (4 * np.concatenate([[0], ends])).tolist()
-            found += [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-        return found
+        ids = np.concatenate([np.array(x, np.uint32) for x in encode_texts([lead + " ".join(g) for g in groups])])
+        # Each group begins with a blank of its own, so the lengths of all groups run on.
+        ends = np.cumsum(size(pa.array(pieces, pa.large_string())).to_numpy() + 1)
+        met = np.cumsum(lengths[ids])
+        return ids, np.diff(np.searchsorted(met, ends) + 1, prepend=0)
 
     return encode

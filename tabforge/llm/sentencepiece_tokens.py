@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
@@ -21,7 +22,7 @@ from sentencepiece import sentencepiece_model_pb2 as proto
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
 from tabforge.llm.columns import without
-from tabforge.llm.pieces import PieceEncoder, joined_encoder
+from tabforge.llm.pieces import Coded, PieceEncoder, flattened, joined_encoder
 
 MARK = "▁"
 # Model and piece types of the protobuf.
@@ -104,7 +105,7 @@ class Codec:
         plain = norm.name == "identity" and not norm.precompiled_charsmap and not norm.remove_extra_whitespaces
         if plain and model.trainer_spec.byte_fallback:
             lengths = np.array([1 if p.type == BYTE else len(p.piece.replace(MARK, " ").encode()) for p in model.pieces])
-            encode = joined_encoder(self._library_ids, lengths, lambda p: len(p.replace(MARK, " ").encode()), lead="" if self.prefix else " ")
+            encode = joined_encoder(self._library_ids, lengths, lambda p: pc.binary_length(pc.replace_substring(p, MARK, " ")), lead="" if self.prefix else " ")
         else:
             encode = self._one_by_one
         self.encoder = PieceEncoder(lambda pieces, first: self._compared(pieces, first, encode(pieces, first)), blanks=MARK, remember=120_000, at_once=20_000)
@@ -112,20 +113,23 @@ class Codec:
     def _library_ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _one_by_one(self, pieces: list[str], first: bool) -> list[bytes]:
+    def _one_by_one(self, pieces: list[str], first: bool) -> Coded:
         lead = "" if first or self.prefix else " "
-        return [np.array(x, "<u4").tobytes() for x in self._library_ids([lead + p for p in pieces])]
+        return flattened(self._library_ids([lead + p for p in pieces]))
 
-    def _compared(self, pieces: list[str], first: bool, found: list[bytes]) -> list[bytes]:
-        """The library's ids, marked where sentencepiece itself encodes the piece otherwise."""
-        lead = "" if first or self.prefix else " "
-        expected = [np.array(x, "<u4").tobytes() for x in self.truth.encode([lead + p for p in pieces], num_threads=self.threads)]
-        return [own if own == other else self._marked(own) for own, other in zip(found, expected, strict=True)]
+    def _compared(self, pieces: list[str], first: bool, found: Coded) -> Coded:
+        """The library's ids, with ``DIFFERS`` behind those of a piece that sentencepiece itself encodes otherwise.
 
-    @staticmethod
-    def _marked(ids: bytes) -> bytes:
-        """``ids`` with ``DIFFERS`` behind them, which goes through the memory of pieces and is taken out of the texts."""
-        return ids + np.uint32(DIFFERS).astype("<u4").tobytes()
+        The mark goes through the memory of pieces and is taken out of the texts.
+        """
+        lead = "" if first or self.prefix else " "
+        ids, counts = found
+        expected, sizes = flattened(self.truth.encode([lead + p for p in pieces], num_threads=self.threads))
+        if np.array_equal(counts, sizes) and np.array_equal(ids, expected):
+            return found
+        own, other = np.split(ids, np.cumsum(counts)[:-1]), np.split(expected, np.cumsum(sizes)[:-1])
+        differs = np.array([not np.array_equal(a, b) for a, b in zip(own, other, strict=True)])
+        return np.insert(ids, np.cumsum(counts)[differs], np.uint32(DIFFERS)), counts + differs
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of a batch, where each text's ids start, and whether all of its pieces agree with sentencepiece."""

@@ -9,6 +9,7 @@ import pytest
 from sentencepiece import SentencePieceProcessor
 from sentencepiece import sentencepiece_model_pb2 as proto
 
+from tabforge.llm.pieces import flattened
 from tabforge.llm import sentencepiece_tokens as st
 from tests.llm.data import awkward_rows, documents, sentence
 
@@ -55,7 +56,7 @@ def test_ids_and_texts_are_those_of_the_rebuilt_library():
     wrong, right = own.library.token_to_id("▁to"), own.library.token_to_id("▁the")
     given_ids = own._library_ids
     changed = lambda texts: [[wrong if i == right else i for i in x] for x in given_ids(texts)]
-    own.encoder.encode = lambda pieces, first: own._compared(pieces, first, [np.array(x, "<u4").tobytes() for x in changed(pieces)])
+    own.encoder.encode = lambda pieces, first: own._compared(pieces, first, flattened(changed(pieces)))
     texts = ["the end of the day", "nothing here", None, "in the", ""]
     ids, starts, agrees = own.encode(pa.array(texts))
     assert agrees.tolist() == [False, True, True, False, True]

@@ -70,7 +70,7 @@ class Kept(io.BytesIO):
 
 
 def test_memory_of_pieces_is_bounded():
-    encoder = PieceEncoder(lambda pieces, first: [np.array([len(p)], "<u4").tobytes() for p in pieces], remember=60)
+    encoder = PieceEncoder(lambda pieces, first: (np.array([len(p) for p in pieces], np.uint32), np.ones(len(pieces), np.int64)), remember=60)
     for i in range(20):
         ids, starts = encoder(pa.array([" ".join(f"w{i}x{j}" for j in range(30)), None, ""]))
         assert len(ids) == 30 and starts.tolist() == [0, 30, 30, 30]
