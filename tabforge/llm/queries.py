@@ -223,9 +223,12 @@ WITH v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), n AS (
+  SELECT *, sqrt(list_reduce(list_transform(v, lambda x: x * x), lambda s, x: s + x)) AS n FROM v
 ), p AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(c.v, c.v))) AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+  SELECT q.vec_id AS query_id, c.vec_id,
+    max(list_reduce(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]), lambda s, x: s + x) / (q.n * c.n)) AS score
+  FROM n q JOIN n c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v) GROUP BY q.vec_id, c.vec_id
 ), r AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM p
 )
