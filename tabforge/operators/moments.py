@@ -39,9 +39,9 @@ def product_sums(rows: DataFrame, by: list[str], features: str | list[str] = "fe
     cell and gives one row per matrix row; these are added exactly. The driver
     gets the matrices, whose size depends on the features and cells alone.
     """
-    x = vector_to_array(features) if isinstance(features, str) else F.array(*[F.col(f).cast("double") for f in features])
+    x = F.when(F.col(features).isNotNull(), vector_to_array(features)) if isinstance(features, str) else F.array(*[F.col(f).cast("double") for f in features])
     slim = rows.select(*[F.col(c).cast("long").alias(f"_b{i}") for i, c in enumerate(by)], x.alias("_x"), F.col(label).cast("double").alias("_y"))
-    slim = slim.where("_y IS NOT NULL AND NOT isnan(_y) AND NOT exists(_x, v -> v IS NULL OR isnan(v))")
+    slim = slim.where("_x IS NOT NULL AND _y IS NOT NULL AND NOT isnan(_y) AND NOT exists(_x, v -> v IS NULL OR isnan(v))")
     keys = [f"_b{i}" for i in range(len(by))]
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tabforge.functions.hashing import bucket
 from tabforge.functions.numeric import half_even
+from tabforge.operators import boosting as G
 from tabforge.operators import evaluation as E
 from tabforge.operators import features as X
 from tabforge.operators import interpretation as I
@@ -29,6 +30,8 @@ from tabforge.streaming.scoring import file_stream, start_scoring
 TREE = {"max_depth": 6, "min_leaf": 4}
 FOREST = {"trees": 12, "max_depth": 7, "min_leaf": 4, "features": "0.7"}
 BOOST = {"trees": 15, "rate": 0.2, "max_depth": 4}
+EARLY = G.BoostingConfig(rounds=500, rate=0.7, max_depth=2, patience=2)
+STUMP = G.BoostingConfig(rounds=1, rate=0.3, max_depth=1, rows=1.0, columns=1.0, bins=256)
 RIDGE_ALPHAS = [0.1, 1.0, 10.0, 100.0]
 LASSO_ALPHAS = [0.01, 0.1, 1.0, 10.0]
 SHARES = [0.1, 0.2, 0.4, 0.6, 0.8, 1.0]
@@ -85,10 +88,29 @@ def _line(name):
 
 
 def _early_stop(spark, d):
-    stopped = M.fit_gbt_early_stop(split(spark, d, "train"), split(spark, d, "val"), **{**BOOST, "trees": 20})
-    return _metrics(spark, d, "gbt_early_stop", stopped.model).withColumn(
-        "best_iteration", F.lit(stopped.best_iteration)
-    )
+    """Boosting that its patience ends, long before the last of its rounds."""
+    stopped = G.fit_boosting(split(spark, d, "train"), split(spark, d, "val"), EARLY)
+    found = _metrics(spark, d, "boosting_early_stop", stopped)
+    return found.withColumns({"best_iteration": F.lit(stopped.best_iteration), "rounds": F.lit(len(stopped.losses))})
+
+
+def _boosting_stump(spark, d):
+    """One round on one feature: the split and the leaf weights have a closed form."""
+    rows = labelled(spark, d).where("split = 'train'").select("trip_key", "duration", F.col("fare_signal").alias("label"))
+    rows = VectorAssembler(inputCols=["duration"], outputCol="features").transform(rows)
+    tree = G.fit_boosting(rows, rows.where("false"), STUMP).trees[0]
+    row = (tree.bound[0], tree.weight[tree.left[0]], tree.weight[tree.right[0]], tree.gain[0])
+    out = spark.createDataFrame([row], "bound double, left_weight double, right_weight double, gain double")
+    return out.select("bound", *[half_even(c, n).alias(c) for c, n in (("left_weight", 6), ("right_weight", 6), ("gain", 1))])
+
+
+def _tree_line(spark, d):
+    """Leaves of a least-squares tree on one feature whose minimum split size ends it after the root."""
+    rows = labelled(spark, d).where("split = 'train'").select("trip_key", "duration", F.col("fare_signal").alias("label"))
+    rows = VectorAssembler(inputCols=["duration"], outputCol="features").transform(rows)
+    tree = G.fit_regression_tree(rows, 20, min_split=int(0.6 * rows.count()), bins=STUMP.bins).trees[0]
+    leaves = [(i, w) for i, w in enumerate(w for f, w in zip(tree.feature, tree.weight, strict=True) if f < 0)]
+    return spark.createDataFrame(leaves, "leaf int, mean double").select("leaf", half_even("mean", 6).alias("mean"))
 
 
 def _stacking(spark, d):
@@ -276,6 +298,8 @@ def queries():
         "fit_forest": _fit_metrics("forest"),
         "fit_gbt": _fit_metrics("gbt"),
         "fit_gbt_early_stop": _early_stop,
+        "boosting_stump": _boosting_stump,
+        "tree_min_split": _tree_line,
         "fit_stacking": _stacking,
         "grid_search": _ridge_search,
         "random_search": _random_search,
@@ -351,6 +375,11 @@ def oracles():
         f"WITH {B.SIGNAL_SQL}, m AS (SELECT regr_slope(ln(1 + fare_signal), duration) AS s, regr_intercept(ln(1 + fare_signal), duration) AS b FROM labelled WHERE split = 'train') "
         "SELECT trip_key, round_even(exp(b + s * duration) - 1, 2) AS predicted FROM labelled, m WHERE split = 'test'"
     )
+    stump_rows = (
+        f"WITH {B.SIGNAL_SQL}, t AS (SELECT duration AS x, fare_signal AS y FROM labelled WHERE split = 'train'), "
+        "s AS (SELECT x, count(*) AS n, sum((SELECT avg(y) FROM t) - y) AS g FROM t GROUP BY x), "
+        "c AS (SELECT x, sum(g) OVER (ORDER BY x) AS gl, sum(n) OVER (ORDER BY x) AS nl, sum(g) OVER () AS g, sum(n) OVER () AS n FROM s) "
+    )
     points = ", ".join(f"({a}::DOUBLE)" for a in PATH_ALPHAS)
     cells = (
         f"WITH {B.SIGNAL_SQL}, r AS (SELECT duration AS x, fare_signal AS y, split, {B.bucket_sql('split_key', 'fold-42', FOLDS)} AS fold, "
@@ -383,6 +412,13 @@ def oracles():
     )
     sample = "SELECT * FROM scored WHERE model = 'duration_line' AND split = 'test' ORDER BY md5(trip_key || '|42') LIMIT 3000"
     return {
+        "boosting_stump": stump_rows + "SELECT x AS bound, round_even(-0.3::DOUBLE * gl / (nl + 1), 6) AS left_weight, "
+        "round_even(-0.3::DOUBLE * (g - gl) / (n - nl + 1), 6) AS right_weight, "
+        "round_even((gl * gl / (nl + 1) + (g - gl) * (g - gl) / (n - nl + 1) - g * g / (n + 1)) / 2, 1) AS gain "
+        "FROM c WHERE nl < n ORDER BY gl * gl / (nl + 1) + (g - gl) * (g - gl) / (n - nl + 1) DESC, x LIMIT 1",
+        "tree_min_split": stump_rows + ", b AS (SELECT * FROM c WHERE nl < n ORDER BY gl * gl / nl + (g - gl) * (g - gl) / (n - nl) DESC, x LIMIT 1) "
+        "SELECT CAST(leaf AS INTEGER) AS leaf, round_even(m, 6) AS mean FROM (SELECT 0 AS leaf, avg(y) AS m FROM t, b WHERE t.x <= b.x "
+        "UNION ALL SELECT 1, avg(y) FROM t, b WHERE t.x > b.x)",
         "regularization_path_line": path_line,
         "learning_curve_line": curve_line,
         "linear_search_line": search_line,
