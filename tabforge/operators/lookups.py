@@ -68,10 +68,6 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, by: list[str] | None = None)
     return df.withColumn("_h", digest).orderBy("_h").limit(n).drop("_h")
 
 
-def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
-    return df.orderBy(*order).limit(n)
-
-
 def leaderboard(metrics: DataFrame, metric: str = "r2") -> DataFrame:
     """Rank of the models within each split (one row per model and split)."""
     place = Window.partitionBy("split").orderBy(F.col(metric).desc_nulls_last(), "model")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import warnings
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -321,7 +320,3 @@ def ratios_from(
         F.col("cls_low.g").alias("cheapest_class"),
         half_even(F.try_divide(F.col("cls_top.m"), F.col("cls_low.m")), 4).alias("class_multiple"),
     )
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
