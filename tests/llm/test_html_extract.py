@@ -99,3 +99,30 @@ def test_formulas_pictures_and_fallbacks_in_the_article():
         "Drawn words",
         "Last.",
     ]
+
+
+INSIDE = [
+    '<article><h1>T</h1><p>The first paragraph of the page.</p><p>Another one that ends it.</p><div class="comments"><p>Nice post, I think.</p><p>Me too!</p></div></article>',
+    '<main><h1>T</h1><p>The first paragraph of the page.</p><p>Another one that ends it.</p><section id="comments"><p>Nice post, I think.</p><p>Me too!</p></section></main>',
+    '<article><h1>T</h1><div class="advert"><p>Buy one, get one free.</p></div><p>The first paragraph of the page.</p><div class="share-bar"><a href="/s">Share</a></div><p>Another one that ends it.</p></article>',
+    '<div class="content"><h1>T</h1><p>The first paragraph of the page.</p><p>Another one that ends it.</p><ol class="comments"><li>I was there, and it was not like this at all.</li><li>So was I.</li></ol></div>',
+]
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    """Fitted as the query does it: written layouts and pages of the table, all of which look alike."""
+    return hx.fit_extractor(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+
+
+@pytest.mark.parametrize("page", INSIDE)
+def test_comments_and_adverts_inside_the_article(fitted, page):
+    assert text_of(fitted, page) == "T\nThe first paragraph of the page.\nAnother one that ends it."
+
+
+def test_very_long_page(model):
+    paragraphs = [f"This is paragraph number {i} of a very long article about nothing." for i in range(20_000)]
+    page = PAGE.replace("<article>", "<article>" + "".join(f"<p>{p}</p>" for p in paragraphs))
+    assert text_of(model, page).split("\n")[:20_000] == paragraphs
+    one_block = "<article><p>" + "word " * 400_000 + "</p></article>"
+    assert len(text_of(model, one_block)) == 1_999_999
