@@ -155,7 +155,7 @@ def byte_level_encoder(tokenizer: str, special_as_text: bool = True) -> Callable
 
     if wide:  # an added token can take in blanks, so no text may be cut at one
         return whole
-    return PieceEncoder(joined_encoder(encode, lengths))
+    return PieceEncoder(joined_encoder(encode, lengths), remember=1_000_000)
 
 
 def write_token_files(
