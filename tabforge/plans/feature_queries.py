@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabforge.functions.numeric import half_even
 from tabforge.operators import cleaning as K
 from tabforge.operators import features as X
+from tabforge.operators.digests import compare_tables, table_digest
 from tabforge.operators.lookups import align_columns, lookup_default
 from tabforge.plans import trips as B
 from tabforge.session import scratch_path
@@ -100,6 +101,23 @@ def _vector(spark, d):
     return out.select("trip_key", "split", "label", F.array_join(ones.cast("array<string>"), ",").alias("hot"), F.size("f").alias("n_features"))
 
 
+DIGESTED = ["trip_key", "source", "days_left", "departure_hour"]
+
+
+def _split_digests(spark, d):
+    """Numbers of rows and digests of the splits: disjoint ones add up to the whole table."""
+    rows = X.labelled(B.flights(spark, d), CONFIG)
+    return table_digest(rows, DIGESTED, ["split"], portable=True)
+
+
+def _roundtrip_digest(spark, d):
+    """Whether each split comes back from its files as it was."""
+    rows = X.labelled(B.flights(spark, d), CONFIG).select("split", *DIGESTED, "fare", "label")
+    path = scratch_path(spark, "digest-splits")
+    IO.write_splits(rows, path)
+    return compare_tables(rows, IO.load_splits(spark, path, ["train", "val", "test"]))
+
+
 def _wide(spark, d):
     rows = X.one_hot_wide(B.gaps(spark, d).select("trip_key", *WORDS, "fare"), list(WORDS), "fare")
     return align_columns(rows, HOT, ["trip_key", "fare"])
@@ -115,6 +133,8 @@ def queries():
         ),
         "feat_onehot_wide": _wide,
         "feat_onehot_vector": _vector,
+        "split_digests": _split_digests,
+        "roundtrip_digest": _roundtrip_digest,
         "feat_log_target": lambda s, d: B.flights(s, d).select(
             "trip_key", half_even(F.log1p("fare"), 8).alias("label")
         ),
@@ -177,6 +197,11 @@ def _vector_sql() -> str:
     )
 
 
+def _hash_sql(columns: list[str]) -> str:
+    text = " || '|' || ".join(f"coalesce('=' || CAST({c} AS VARCHAR), '-')" for c in columns)
+    return f"CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT)"
+
+
 def oracles():
     rows = f"WITH {ROWS_SQL}"
     vectors = rows + _vector_sql()
@@ -196,6 +221,11 @@ def oracles():
         "feat_interaction": gaps + "SELECT trip_key, airline, destination, airline || '_' || destination AS route FROM gaps",
         "feat_onehot_wide": gaps + f"SELECT trip_key, {_hot()}, fare FROM gaps",
         "feat_onehot_vector": vectors,
+        "split_digests": rows + "SELECT split, c AS \"column\", count(*) AS rows, CAST(sum(h) % 4503599627370496 AS BIGINT) AS total, bit_xor(h) AS parity FROM ("
+        + " UNION ALL ".join(f"SELECT split, '{name}' AS c, {_hash_sql(cs)} AS h FROM (SELECT * EXCLUDE (days_left), raw_days AS days_left FROM rows)" for name, cs in [*[(c, [c]) for c in DIGESTED], ("row", DIGESTED)])
+        + ") GROUP BY split, c",
+        "roundtrip_digest": flights + "SELECT c AS \"column\", (SELECT count(*) FROM flights) AS rows, (SELECT count(*) FROM flights) AS other_rows, true AS same FROM (VALUES "
+        + ", ".join(f"('{c}')" for c in ["split", *DIGESTED, "fare", "label", "row"]) + ") t(c)",
         "feat_log_target": flights + "SELECT trip_key, round_even(ln(1 + fare), 8) AS label FROM flights",
         "feat_split": flights + f"SELECT trip_key, {B.SPLIT_SQL} AS split FROM flights",
         "feat_log_numeric": gaps

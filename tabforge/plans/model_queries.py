@@ -169,8 +169,7 @@ def _random_search(spark, d):
 
 def _tune(spark, d):
     train, val = split(spark, d, "train"), split(spark, d, "val")
-    points = [{**p, "max_depth": min(p["max_depth"], 5)} for p in U.boosting_draws(2, (5, 12))]
-    found = U.tune_random(train, val, points)
+    found = U.tune_random(train, val, U.boosting_draws(2, (5, 12)))
     params = F.lit(str(found.params))
     return _metrics(spark, d, "gbt_tuned", found.model).withColumn("params", params)
 
