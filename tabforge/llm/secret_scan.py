@@ -1,16 +1,19 @@
 """Secret scans in DataFrame functions only: fixed patterns, and a battery of randomness tests.
 
 Next to the patterns, every run of 20 or more key characters is tested. Its
-encoding is inferred from its characters. As a guard it must look random: the
-chi-squared test of a uniform alphabet, the runs test around the middle of the
-alphabet and the lag-one serial correlation must not reject that. As evidence it
-must look unlike text: its letters and the changes between upper case, lower case and
+encoding is inferred from its characters. Over the alphabet of that encoding
+three tests ask whether it is random: chi-squared for a uniform alphabet, runs
+around the middle of the alphabet and lag-one serial correlation. Bonferroni's
+correction joins their p-values to one. A run stays a candidate unless that one rejects
+randomness under the rule below. The alternative is text, and a secret must also
+differ from it: its letters and the changes between upper case, lower case and
 digits are compared with what words give, and both combine by Fisher's method.
 The encoding says which property of the letters is compared: that all are a to f
 in hex, how rare they are in base32 and lower case, else how often they repeat
 (the chi-squared statistic again, as index of coincidence). Short runs
-carry little evidence, so false discoveries are controlled by Benjamini and
-Hochberg's rule within each doubling of the length, over the whole corpus.
+carry little evidence, so false discoveries are controlled for both decisions by
+Benjamini and Hochberg's rule within each doubling of the length, over the whole
+corpus: first for runs called not random, then for the others called secrets.
 """
 
 from __future__ import annotations
@@ -129,14 +132,30 @@ def alphabet(value: Column) -> Column:
     return branch.otherwise(F.lit(ALPHABETS["mixed"]))
 
 
-def battery(value: Column, level: float = 0.001, changes: float = 0.25) -> Column:
-    """Struct of ``length`` and ``p``, the chance that words give a run as random as this; p is 1 for what fails a guard.
+def joint(*ps: Column) -> Column:
+    """The smallest of several p-values with Bonferroni's correction, which holds for tests of the same characters."""
+    return F.least(len(ps) * F.least(*ps), F.lit(1.0))
 
-    ``level`` is that of the three guards; ``changes`` the share of neighbours
-    of different class that text may have.
+
+def fisher(*ps: Column) -> Column:
+    """Fisher's method for two independent p-values."""
+    half = -sum((F.log(F.greatest(p, F.lit(1e-150))) for p in ps), F.lit(0.0))
+    return F.least((1 + half) * F.exp(-half), F.lit(1.0))
+
+
+def battery(value: Column, changes: float = 0.25) -> Column:
+    """Struct of ``length``, ``uniform``, ``runs`` and ``serial`` (p-values of the three tests), ``random`` (the three
+    joined: the chance that a random run looks as ordered as this) and ``text`` (the chance that words look as random).
+
+    ``changes`` is the share of neighbours of different class that text may
+    have. Runs under 16 characters prove nothing: all their p-values are 1.
     """
     core = F.rtrim(value, F.lit("="))
 
+    def tested(n: Column, *ps: Column) -> Column:
+        names = ("uniform", "runs", "serial", "random", "text")
+        return F.struct(n.cast("long").alias("length"), *[p.alias(name) for name, p in zip(names, ps, strict=True)])
+
     def tests(c: Column) -> Column:
         n = F.char_length(c).cast("double")
         letters = alphabet(c)
@@ -161,24 +180,24 @@ def battery(value: Column, level: float = 0.001, changes: float = 0.25) -> Colum
             total = F.aggregate(off, F.lit(0.0), lambda s, x: s + x * x)
             lag = F.aggregate(F.zip_with(F.slice(off, 1, F.size(at) - 1), F.slice(off, 2, F.size(at)), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
             serial_z = F.abs(lag) / F.greatest(total, F.lit(1e-9)) * F.sqrt(n)
-            random = (
-                (upper_tail(chi_z) >= level) & (2 * upper_tail(runs_z) >= level) & (2 * upper_tail(serial_z) >= level) & (ones > 0) & (ones < n)
-            )
+            p_uniform = upper_tail(chi_z)
+            # With all characters in one half of the alphabet there is one run and its chance is that of the split.
+            p_runs = F.when((ones > 0) & (ones < n), F.least(2 * upper_tail(runs_z), F.lit(1.0))).otherwise(F.pow(F.lit(2.0), 1 - n))
+            p_serial = F.least(2 * upper_tail(serial_z), F.lit(1.0))
 
             coincidence = (squares - n) / (n * (n - 1))
             variance = 2 / (n * (n - 1)) * (TEXT_SQUARES + 2 * (n - 2) * TEXT_CUBES - (2 * n - 3) * TEXT_SQUARES**2)
             p_repeats = upper_tail((TEXT_SQUARES - coincidence) / F.sqrt(F.greatest(variance, F.lit(1e-9))))
             p_letters = F.when(letters.isin(*HEXES), hex_letters(c)).when(letters.isin(*SINGLE), rare_letters(c)).otherwise(p_repeats)
             p_changes = upper_tail((class_changes(c) - 0.5 - changes * (n - 1)) / F.sqrt(changes * (1 - changes) * (n - 1)))
-            half = -F.log(F.greatest(p_letters, F.lit(1e-150))) - F.log(F.greatest(p_changes, F.lit(1e-150)))
             # A run of one case without digits cannot change class: its letters are all the evidence.
-            fisher = F.when(letters == ALPHABETS["lower"], p_letters).otherwise((1 + half) * F.exp(-half))
-            return F.struct(n.cast("long").alias("length"), F.when(random, F.least(fisher, F.lit(1.0))).otherwise(1.0).alias("p"))
+            p_text = F.when(letters == ALPHABETS["lower"], F.least(p_letters, F.lit(1.0))).otherwise(fisher(p_letters, p_changes))
+            return tested(n, p_uniform, p_runs, p_serial, joint(p_uniform, p_runs, p_serial), p_text)
 
         places = lambda a: F.transform(F.split(c, ""), lambda x: F.call_function("instr", a, x).cast("double"))
         return _let(letters, lambda a: _let(places(a), lambda at: with_places(a, at)))
 
-    short = F.struct(F.char_length(core).cast("long").alias("length"), F.lit(1.0).alias("p"))
+    short = tested(F.char_length(core), *[F.lit(1.0)] * 5)
     return F.when(F.char_length(core) >= 16, _let(core, tests)).otherwise(short)
 
 
@@ -208,6 +227,11 @@ _FROM = ALPHABETS["mixed"]
 _TO = "A" * 26 + "a" * 26 + "0" * 10 + "+" * 5
 
 
+def p_bin(p: Column) -> Column:
+    """The bin of a p-value: -10 log10, rounded down."""
+    return F.floor(-10 * F.log10(F.greatest(p, F.lit(1e-300)))).cast("int")
+
+
 def thresholds(candidates: DataFrame, fdr: float) -> dict[int, int]:
     """Least accepted bin of -10 log10 p for each doubling of the length, by Benjamini and Hochberg's rule on bins.
 
@@ -221,19 +245,26 @@ def thresholds(candidates: DataFrame, fdr: float) -> dict[int, int]:
     return {r["doubling"]: r["bin"] for r in passed.groupBy("doubling").agg(F.min("bin").alias("bin")).collect()}
 
 
+def limit_of(found: dict[int, int]) -> Callable[[Column], Column]:
+    """The least bin that passes for a doubling, above all bins where none does."""
+    limits = F.create_map(*[F.lit(x) for pair in found.items() for x in pair]) if found else F.create_map().cast("map<int,int>")
+    return lambda doubling: F.coalesce(F.try_element_at(limits, doubling), F.lit(2**31 - 1))
+
+
 def scan_secrets(
     docs: DataFrame,
     text_col: str = "text",
     carried: list[str] | None = None,
     fdr: float = 0.01,
-    level: float = 0.001,
+    level: float = 0.01,
     changes: float = 0.25,
 ) -> DataFrame:
     """The ``carried`` columns of ``docs`` (all, unless said otherwise) with ``base`` and ``spans``: sorted structs of start, kind_no and end (code points, end exclusive).
 
     ``base`` holds the three fixed kinds, ``spans`` also the runs that the
-    battery finds and that overlap no base span. Input columns of these names
-    are replaced. The rows with their candidates are stored once; only counts
+    battery finds and that overlap no base span. ``level`` is the false discovery
+    rate of runs called not random, ``fdr`` that of the others called secrets,
+    both per doubling of the length. Input columns of these names are replaced. The rows with their candidates are stored once; only counts
     of p-values leave their task. Null and empty texts have no spans; equal
     texts have equal spans; an empty table gives no rows.
     """
@@ -246,20 +277,24 @@ def scan_secrets(
     judged = F.transform(
         free,
         lambda r: _let(
-            battery(r["value"], level, changes),
+            battery(r["value"], changes),
             lambda t: F.struct(
                 r["start"].alias("start"),
                 r["end"].alias("end"),
                 F.floor(F.log2(F.greatest(t["length"], F.lit(1)))).cast("int").alias("doubling"),
-                F.floor(-10 * F.log10(F.greatest(t["p"], F.lit(1e-300)))).cast("int").alias("bin"),
+                p_bin(t["random"]).alias("ordered"),
+                p_bin(t["text"]).alias("bin"),
             ),
         ),
     )
     scanned = docs.withColumn("base", base_spans(text)).withColumn(tested, judged)
     stored = materialize(scanned.select(*[f"`{c}`" for c in kept], "base", tested), "secret-candidates")
-    least = thresholds(stored.select(F.explode(tested).alias("t")).select("t.doubling", "t.bin"), fdr)
-    limits = F.create_map(*[F.lit(x) for pair in least.items() for x in pair]) if least else F.create_map().cast("map<int,int>")
-    found = F.filter(tested, lambda t: t["bin"] >= F.coalesce(F.try_element_at(limits, t["doubling"]), F.lit(2**31 - 1)))
+    runs = stored.select(F.explode(tested).alias("t")).select("t.*")
+    ordered = limit_of(thresholds(runs.select("doubling", F.col("ordered").alias("bin")), level))
+    # What is not random counts as a candidate without any evidence.
+    bins = F.when(F.col("ordered") < ordered(F.col("doubling")), F.col("bin")).otherwise(0)
+    least = limit_of(thresholds(runs.select("doubling", bins.alias("bin")), fdr))
+    found = F.filter(tested, lambda t: (t["ordered"] < ordered(t["doubling"])) & (t["bin"] >= least(t["doubling"])))
     random = F.transform(found, lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind_no"), t["end"].alias("end")))
     return stored.withColumn("spans", F.array_sort(F.concat("base", random))).drop(tested)
 

@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tabforge.llm import secret_scan as ss
@@ -94,6 +96,67 @@ def test_contract_digest(spark, tmp_path):
         assert r["spans"].startswith(line) or "random" in r["spans"]
 
 
+def tail(z: float) -> float:
+    return 0.5 * math.erfc(z / math.sqrt(2))
+
+
+def plain_battery(value: str) -> dict[str, float]:
+    """The three tests and their joint p-value, in numpy."""
+    core = value.rstrip("=")
+    letters = next((a for a in list(ss.ALPHABETS.values())[:-1] if set(core) <= set(a)), ss.ALPHABETS["mixed"])
+    at = np.array([letters.index(c) + 1 for c in core], dtype=float)
+    n, size, df = len(at), len(letters), len(letters) - 1
+    counts = np.array([(at == k).sum() for k in range(1, size + 1)])
+    chi = (((counts - n / size) ** 2) / (n / size)).sum()
+    uniform = tail(((chi / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)))
+    high = at > size / 2
+    ones, turns = high.sum(), (high[1:] != high[:-1]).sum()
+    mean = 2 * ones * (n - ones) / n
+    runs = min(1.0, 2 * tail(abs(turns - mean) / math.sqrt(mean * (mean - 1) / (n - 1)))) if 0 < ones < n else 2.0 ** (1 - n)
+    off = at - at.mean()
+    serial = min(1.0, 2 * tail(abs((off[1:] * off[:-1]).sum()) / max((off * off).sum(), 1e-9) * math.sqrt(n)))
+    return {"uniform": uniform, "runs": runs, "serial": serial, "random": min(1.0, 3 * min(uniform, runs, serial))}
+
+
+def generated() -> list[str]:
+    rng = random.Random(5)
+    keys = ["".join(rng.choice(a) for _ in range(n)) for a in ss.ALPHABETS.values() for n in (16, 20, 33, 64, 200) for _ in range(4)]
+    return keys + [sentence(i, 9).replace(" ", "") for i in range(40)] + ["ab" * 20, "abcdefghijklmnopqrstuvwxyz", "0123456789" * 3]
+
+
+def test_battery_against_numpy(spark):
+    values = generated()
+    found = spark.createDataFrame([(v,) for v in values], "v string").select("v", ss.battery(F.col("v")).alias("t")).select("v", "t.*").collect()
+    for r in found:
+        for name, p in plain_battery(r["v"]).items():
+            assert abs(math.log(r[name] + 1e-12) - math.log(p + 1e-12)) < 0.25, (r["v"], name, r[name], p)
+    short = spark.createDataFrame([("abc",), ("",)], "v string").select(ss.battery(F.col("v")).alias("t")).select("t.*").collect()
+    assert all(r["random"] == r["text"] == 1.0 for r in short)
+
+
+def test_random_runs_are_rarely_called_ordered(spark):
+    """Of random runs about the stated share has a small joint p-value; ordered ones have the least."""
+    rng = random.Random(6)
+    keys = ["".join(rng.choice(ss.ALPHABETS[a]) for _ in range(40)) for a in ("hex", "base32", "base62") for _ in range(400)]
+    found = [r[0] for r in spark.createDataFrame([(v,) for v in keys], "v string").select(ss.battery(F.col("v"))["random"]).collect()]
+    assert np.mean(np.array(found) < 0.05) < 0.09 and np.mean(np.array(found) < 0.001) < 0.006
+    ordered = spark.createDataFrame([("ab" * 20,), ("a" * 40,), ("abcdefghij" * 4,)], "v string").select(ss.battery(F.col("v"))["random"])
+    assert max(r[0] for r in ordered.collect()) < 1e-3
+
+
+def test_thresholds_are_benjamini_and_hochberg(spark):
+    rng = random.Random(7)
+    rows = [(rng.randrange(4, 7), rng.choice([0, 0, 0, 1, 5, 12, 25, 40, 90])) for _ in range(600)]
+    expected = {}
+    for d in {d for d, _ in rows}:
+        bins = sorted((b for e, b in rows if e == d), reverse=True)
+        passed = [b for b in set(bins) if 10 ** (-b / 10) * len(bins) <= 0.01 * sum(x >= b for x in bins)]
+        if passed:
+            expected[d] = min(passed)
+    assert ss.thresholds(spark.createDataFrame(rows, "doubling int, bin int"), 0.01) == expected
+    assert ss.thresholds(spark.createDataFrame([], "doubling int, bin int"), 0.01) == {}
+
+
 def test_redaction(spark):
     row = (1, "x token=abcdefghij y " + "0123456789abcdef" * 2)
     found = ss.scan_secrets(documents(spark, [row, (2, None), (3, "clean")]))
