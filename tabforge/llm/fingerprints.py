@@ -11,6 +11,7 @@ text with words always has a sketch.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -76,29 +77,108 @@ def containment(one: str | Column, two: str | Column) -> Column:
     return F.when(F.size(one) == 0, 1.0).otherwise(F.size(F.array_intersect(one, two)) / F.size(one))
 
 
+CUTS = 4096
+
+
+def _order_cuts(docs: DataFrame, id_col: str, rows: int) -> tuple[list, dict, int, int]:
+    """Different order statistics of the ids, how many cuts fall on those that several do, and slices per gap and for nulls.
+
+    At most ``CUTS`` numbers reach the driver, whatever the size of the table.
+    """
+    n, filled = docs.agg(F.count(F.lit(1)), F.count(id_col)).first()
+    want = max(1, min(CUTS, math.ceil(filled / rows)))
+    shares = [i / want for i in range(want + 1)]
+    found = docs.agg(F.percentile_approx(id_col, shares, 20 * CUTS).alias("cuts")).first()["cuts"] or []
+    hits = Counter(found)
+    slices = max(1, math.ceil(filled / want / rows))
+    heavy = {cut: hit * slices for cut, hit in hits.items() if hit > 1}
+    return sorted(hits), heavy, slices, max(1, math.ceil((n - filled) / rows))
+
+
+def _bisect(cuts: Column, many: int, value: Column) -> Column:
+    """Number of the sorted ``cuts`` that are at most ``value``."""
+    steps = [2**k for k in reversed(range(many.bit_length()))]
+
+    def step(at: Column, width: Column) -> Column:
+        return F.when((at + width <= many) & (F.try_element_at(cuts, at + width) <= value), at + width).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
+
+
+def id_ranges(docs: DataFrame, id_col: str, order: str, rows: int = 2000) -> Column:
+    """Struct of ``coarse`` and ``fine``, ascending with (``id_col``, ``order``), nulls lowest: a range of about ``rows`` rows.
+
+    Coarse ranges lie between order statistics of the ids, so neither outliers
+    nor gaps matter to more than one of them. Beyond ``rows * CUTS`` rows they
+    are cut on by arithmetic between their own ends. An id that holds several
+    cuts, and null, are ranges of their own, cut by the hash ``order`` (a long).
+    """
+    cuts, heavy, slices, null_slices = _order_cuts(docs, id_col, rows)
+    value = F.col(id_col)
+    unit = F.col(order) / F.lit(2.0**64) + 0.5
+
+    def cell(share: Column, many: Column | int) -> Column:
+        return F.least(F.greatest(F.floor(share * many), F.lit(0)), F.lit(many) - 1 if isinstance(many, int) else many - 1).cast("int")
+
+    nulls = F.struct(F.lit(-1).alias("coarse"), cell(unit, null_slices).alias("fine"))
+    if not cuts:
+        return nulls
+    kind = docs.schema[id_col].dataType
+    ends = F.array(*[F.lit(c).cast(kind) for c in cuts])
+    weights = F.array(*[F.lit(heavy.get(c, 0)) for c in cuts])
+
+    def placed(at: Column) -> Column:
+        low, high = F.get(ends, at - 1), F.get(ends, at)
+        weight = F.when(value == low, F.get(weights, at - 1)).otherwise(0)
+        share = F.coalesce((value.cast("double") - low.cast("double")) / F.nullif(high.cast("double") - low.cast("double"), F.lit(0.0)), F.lit(0.0))
+        apart = F.struct((2 * at).alias("coarse"), cell(unit, F.greatest(weight, F.lit(1))).alias("fine"))
+        return F.when(weight > 0, apart).otherwise(F.struct((2 * at + 1).alias("coarse"), cell(share, slices).alias("fine")))
+
+    return F.when(value.isNull(), nulls).otherwise(_let(_bisect(ends, len(cuts), value), placed))
+
+
+def _heads(keyed: DataFrame, id_col: str, part: str, order: str) -> DataFrame:
+    """The first row of each range, and ``to``: the range before it, or the last of all for the lowest.
+
+    Ranges are ordered within their coarse range; only the coarse ones, 2 * CUTS
+    + 3 at most, meet in one window.
+    """
+    first = keyed.groupBy(F.col(f"{part}.coarse").alias("coarse"), F.col(f"{part}.fine").alias("fine")).agg(
+        F.max(F.struct(F.col(id_col).alias("id"), F.col(order).alias("hash"))).alias("top")
+    )
+    first = materialize(first, "next-heads")
+    everything = Window.partitionBy(F.lit(0))
+    tops = first.groupBy("coarse").agg(F.min("fine").alias("low"), F.max("fine").alias("high"))
+    # The row after the last of a range is the first of the range below; below the lowest comes the highest.
+    above = F.lead(F.struct("coarse", "low")).over(Window.orderBy("coarse"))
+    links = tops.select(F.col("coarse").alias("of"), F.coalesce(above, F.min(F.struct("coarse", "low")).over(everything)).alias("beyond"))
+    within = F.lead("fine").over(Window.partitionBy("coarse").orderBy("fine"))
+    near = first.withColumn("up", within).join(links, F.col("coarse") == F.col("of"))
+    to = F.when(F.col("up").isNotNull(), F.struct(F.col("coarse"), F.col("up").alias("fine"))).otherwise(
+        F.struct(F.col("beyond.coarse").alias("coarse"), F.col("beyond.low").alias("fine"))
+    )
+    return near.select(F.struct(F.struct("coarse", "fine").alias("part"), "top.id", "top.hash", to.alias("to")).alias("head"))
+
+
 def with_next(
     docs: DataFrame, carried: dict[str, Column], id_col: str = "doc_id", text_col: str = "text", rows: int = 2000
 ) -> DataFrame:
     """``docs`` with ``own`` and ``next``, structs of the ``carried`` expressions of a document and of the next one.
 
-    Next is the one that follows in descending ``id_col`` (null last; equal ids
-    by a hash of the text; identical rows in any order); after the last comes
-    the first. Documents are cut into ranges of ids of about ``rows`` rows by an
-    arithmetic rule that keeps their order, and the first row of each range is
-    copied to the end of the range before it. Each row is shuffled once and no
-    window is larger than a range. Ids crowded into one range cost spill, not
+    Next is the one that follows in descending ``id_col`` (a number; null last;
+    equal ids by a hash of the text; identical rows in any order); after the
+    last comes the first. Documents are cut into ranges of about ``rows`` rows at
+    order statistics of the ids, equal ids by the hash (``id_ranges``), and the
+    first row of each range is copied to the end of the range that it follows.
+    Each row is shuffled once and no window is larger than a range. Only rows
+    with the same id and text cannot be parted; they cost spill, not
     correctness. Input columns called own or next are replaced.
     """
     docs = docs.select(*without(docs, ["own", "next"]))
-    order, part, ghost, to, head = unused(docs, "next_order", "next_part", "next_ghost", "next_to", "next_head")
-    seen = docs.agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    lo, hi, ranges = seen["lo"] or 0, seen["hi"] or 0, max(1, math.ceil(seen["n"] / rows))
-    place = F.floor((F.col(id_col).cast("double") - float(lo)) * (ranges / (float(hi) - float(lo) + 1.0)))
-    keyed = docs.withColumn(part, F.coalesce(place, F.lit(-1))).withColumn(order, F.xxhash64(text_col))
-    first = keyed.groupBy(part).agg(F.max(F.struct(F.col(id_col).alias("id"), F.col(order).alias("hash"))).alias(head))
-    lowest = F.min(part).over(Window.partitionBy(F.lit(0)))
-    before = F.coalesce(F.lead(part).over(Window.orderBy(part)), lowest)
-    first = materialize(first.select(F.struct(F.col(part).alias("part"), f"{head}.*", before.alias("to")).alias(head)), "next-heads")
+    order, part, ghost, head = unused(docs, "next_order", "next_part", "next_ghost", "next_head")
+    hashed = docs.withColumn(order, F.xxhash64(text_col))
+    keyed = hashed.withColumn(part, id_ranges(docs, id_col, order, rows))
+    first = materialize(_heads(keyed, id_col, part, order).withColumnRenamed("head", head), "next-links")
     same = (
         (F.col(part) == F.col(f"{head}.part"))
         & F.col(id_col).eqNullSafe(F.col(f"{head}.id"))

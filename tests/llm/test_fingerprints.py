@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -42,6 +43,37 @@ def test_ranges_of_ids(spark):
     check(spark, [((i * 37) % 9001 - 4000, sentence(i % 50, 3 + i % 40)) for i in range(4500)])
 
 
+def sizes(spark, ids, rows):
+    docs = documents(spark, [(i, sentence(n, 3)) for n, i in enumerate(ids)]).withColumn("h", F.xxhash64("text"))
+    placed = docs.withColumn("at", fp.id_ranges(docs, "doc_id", "h", rows)).select("doc_id", "h", "at").collect()
+    in_order = sorted(placed, key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["h"]))
+    assert [r["at"] for r in in_order] == sorted(r["at"] for r in placed)  # ranges ascend with the rows
+    return sorted(Counter(r["at"] for r in placed).values())
+
+
+def test_ranges_are_bounded_for_any_ids(spark, monkeypatch):
+    """Far outliers, gaps, one id of a third of the rows and null ids leave no range much larger than asked for."""
+    outlier = [*range(3000), 10**18, -(10**18)]
+    crowded = [0] * 1500 + [None] * 1500 + list(range(1, 1500))
+    for ids in (outlier, crowded, [2**60 + i for i in range(3000)], [None] * 3000):
+        assert sizes(spark, ids, 100)[-1] <= 260
+    monkeypatch.setattr(fp, "CUTS", 16)  # an outlier reaches one coarse range of 16
+    assert sizes(spark, outlier, 20)[-1] <= 260 and sizes(spark, range(3000), 20)[-1] <= 60
+
+
+def test_next_across_outliers_and_crowded_ids(spark, monkeypatch):
+    rows = [(i, sentence(i, 12)) for i in range(300)] + [(10**18, "far above all"), (-(10**18), "far below all"), (None, "no id one"), (None, "no id two")]
+    rows += [(7, sentence(1000 + i, 6)) for i in range(200)]
+    docs = documents(spark, rows)
+    for cuts in (4096, 4):
+        monkeypatch.setattr(fp, "CUTS", cuts)
+        found = fp.with_next(docs, {"id": F.col("doc_id"), "hash": F.xxhash64("text")}, rows=8).select("own", "next").collect()
+        expected = sorted(((r["doc_id"] is not None, r["doc_id"] or 0, r["h"]) for r in docs.select("doc_id", F.xxhash64("text").alias("h")).collect()), reverse=True)
+        key = lambda s: (s["id"] is not None, s["id"] or 0, s["hash"])
+        assert len(found) == len(rows)
+        assert {(key(r["own"]), key(r["next"])) for r in found} == {(a, expected[(i + 1) % len(expected)]) for i, a in enumerate(expected)}
+
+
 def test_empty_and_single(spark):
     assert fp.compare_with_edits(documents(spark, [])).count() == 0
     check(spark, [(5, "just one document with words")])
