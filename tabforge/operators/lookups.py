@@ -78,3 +78,30 @@ def champion(runs: DataFrame, metric: str = "test_r2") -> DataFrame:
     """The run with the highest value of ``metric`` in a long run log."""
     scored = runs.where(F.col("metric") == metric)
     return scored.orderBy(F.col("value").desc_nulls_last(), "model").limit(1)
+
+
+def champion_event(runs: DataFrame, metric: str, alias: str, at: Column) -> DataFrame:
+    """One line for an append-only alias log: the champion by ``metric`` gets ``alias`` at time ``at``."""
+    return champion(runs, metric).select("model", F.lit(alias).alias("alias"), at.alias("at"))
+
+
+def alias_timeline(events: DataFrame) -> DataFrame:
+    """Who held which alias when, from a log of (model, alias, at).
+
+    Each registration of a model is its next version. A version holds its alias
+    from ``at`` until the next event of that alias (null: still does). Of events
+    at the same time the last by model name wins. An event without a model only
+    takes the alias away; repeated lines count once.
+    """
+    once = events.select("model", "alias", "at").distinct()
+    version = F.row_number().over(Window.partitionBy("model").orderBy("at", "alias"))
+    until = F.lead("at").over(Window.partitionBy("alias").orderBy("at", F.col("model").asc_nulls_first()))
+    held = once.withColumns({"version": version, "valid_until": until}).where(F.col("model").isNotNull())
+    lasting = F.col("valid_until").isNull() | (F.col("valid_until") > F.col("at"))
+    return held.where(lasting).select("alias", "model", "version", F.col("at").alias("valid_from"), "valid_until")
+
+
+def alias_holders(timeline: DataFrame, at: Column) -> DataFrame:
+    """The version that holds each alias at a time."""
+    open_end = F.col("valid_until").isNull() | (F.col("valid_until") > at)
+    return timeline.where((F.col("valid_from") <= at) & open_end).select("alias", "model", "version")

@@ -237,6 +237,14 @@ def _run_log(spark, d):
     return IO.read_parquet(spark, path)
 
 
+def _alias_timeline(spark, d):
+    """The champion by each split in turn, appended to a stored alias log."""
+    path, runs = scratch_path(spark, "alias-log"), _run_log(spark, d)
+    for at, split in enumerate(("train", "val", "test"), 1):
+        L.champion_event(runs, f"{split}_r2", "champion", F.lit(at)).write.mode("append").parquet(path)
+    return L.alias_timeline(IO.read_parquet(spark, path))
+
+
 def _run_lines(spark, d):
     return _run_log(spark, d).select("model", "model_type", "metric", "value", F.to_json("params").alias("params"))
 
@@ -330,6 +338,8 @@ def queries():
         "actual_vs_predicted": _actual,
         "leaderboard": lambda s, d: L.leaderboard(_simple_metrics(s, d)),
         "champion_run": lambda s, d: L.champion(_run_log(s, d)).select("model", "metric", "value"),
+        "champion_alias": lambda s, d: L.alias_holders(_alias_timeline(s, d), F.lit(2)),
+        "champion_timeline": _alias_timeline,
         "run_log": _run_lines,
         "validate_rows": _validate,
         "score_features": _score_features,
@@ -410,6 +420,12 @@ def oracles():
         "round_even(avg(v.r2), 8) AS val_r2_mean, round_even(stddev_pop(v.r2), 8) AS val_r2_std FROM a JOIN v USING (share, fold) GROUP BY share"
     )
     sample = "SELECT * FROM scored WHERE model = 'duration_line' AND split = 'test' ORDER BY md5(trip_key || '|42') LIMIT 3000"
+    event = "SELECT * FROM (SELECT model, 'champion' AS alias, {at} AS since FROM ({rows}) WHERE split = '{split}' ORDER BY r2 DESC NULLS LAST, model LIMIT 1)"
+    log = " UNION ALL ".join(event.format(at=at, rows=by_split, split=split) for at, split in enumerate(("train", "val", "test"), 1))
+    timeline = (
+        "SELECT alias, model, CAST(row_number() OVER (PARTITION BY model ORDER BY since) AS INTEGER) AS version, "
+        f"since AS valid_from, lead(since) OVER (ORDER BY since) AS valid_until FROM ({log})"
+    )
     return {
         "boosting_stump": stump_rows + "SELECT x AS bound, round_even(-0.3::DOUBLE * gl / (nl + 1), 6) AS left_weight, "
         "round_even(-0.3::DOUBLE * (g - gl) / (n - nl + 1), 6) AS right_weight, "
@@ -450,6 +466,9 @@ def oracles():
         + f"SELECT *, CAST(row_number() OVER (PARTITION BY split ORDER BY r2 DESC, model) AS INTEGER) AS rank FROM ({by_split})",
         "champion_run": scored
         + f"SELECT model, 'test_r2' AS metric, r2 AS value FROM ({by_split}) WHERE split = 'test' ORDER BY r2 DESC, model LIMIT 1",
+        "champion_alias": scored
+        + f"SELECT alias, model, version FROM ({timeline}) WHERE valid_from = 2",
+        "champion_timeline": scored + timeline,
         "run_log": scored
         + f"SELECT model, 'closed_form' AS model_type, split || '_' || metric AS metric, value, '{{\"label\":\"fare_signal\"}}' AS params FROM ({long})",
         "validate_rows": f"WITH {B.GAPS_SQL} SELECT trip_key, concat_ws(',', {reasons}) AS reasons, "

@@ -163,3 +163,22 @@ def test_diagnosis_leaderboard_and_champion(spark):
     assert (ranks["c", "val"], ranks["a", "val"], ranks["a", "train"]) == (1, 2, 1)
     runs = E.run_log(metrics, F.create_map(F.lit("k"), F.lit("v")), F.lit("t"))
     assert L.champion(runs, "val_r2").first()["model"] == "c"
+
+
+def test_alias_timeline_before_and_after_a_new_champion(spark):
+    rows = [(m, s, r, 0.0, 0.0, 0.0) for m, s, r in (("a", "val", 0.8), ("b", "val", 0.9), ("a", "test", 0.7), ("b", "test", 0.6))]
+    metrics = spark.createDataFrame(rows, "model string, split string, r2 double, mae double, rmse double, mape double")
+    runs = E.run_log(metrics, F.create_map(F.lit("k"), F.lit("v")), F.lit("t"))
+    events = L.champion_event(runs, "val_r2", "champion", F.lit(1)).union(L.champion_event(runs, "test_r2", "champion", F.lit(5)))
+    more = [("b", "champion", 9), ("b", "champion", 9), ("a", "shadow", 5), (None, "shadow", 7), ("a", "tied", 6), ("c", "tied", 6)]
+    timeline = L.alias_timeline(events.union(spark.createDataFrame(more, "model string, alias string, at int")))
+
+    def at(t):
+        return {r["alias"]: (r["model"], r["version"]) for r in L.alias_holders(timeline, F.lit(t)).collect()}
+
+    assert at(0) == {}
+    assert at(1) == at(4) == {"champion": ("b", 1)}
+    assert at(5) == {"champion": ("a", 1), "shadow": ("a", 2)}
+    assert at(8) == {"champion": ("a", 1), "tied": ("c", 1)}
+    assert at(9) == {"champion": ("b", 2), "tied": ("c", 1)}
+    assert L.alias_timeline(spark.createDataFrame([], "model string, alias string, at int")).count() == 0
