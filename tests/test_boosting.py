@@ -125,3 +125,23 @@ def test_missing_rows_constant_features_and_empty_tables(spark):
     empty = G.fit_boosting(df.where("false"), df, G.BoostingConfig(rounds=2), "id")
     assert (empty.start, empty.trees) == (0.0, []) and G.fit_regression_tree(df.where("false")).trees == []
     assert math.isclose(G.leaf_weight(5.0, 2.0, 1.0, 2.0), -1.0) and G.leaf_weight(0.5, 2.0, 1.0, 2.0) == 0.0
+
+
+def test_rows_are_kept_as_bins_that_lead_to_the_same_leaves(spark):
+    df, x, _ = table(spark, 200, 6)
+    gap = df.select("id", F.when(F.col("id") % 9 == 0, F.array(F.lit(float("nan")), "b", "c")).otherwise(F.array("a", "b", "c")).alias("_x"))
+    bounds = [np.unique(x[:, f])[:-1] for f in range(3)]
+    tree = G.Tree()
+    left, right = tree.split(0, 0, float(bounds[0][3]), 1.0)
+    tree.split(right, 2, float(bounds[2][5]), 1.0)
+    for many in (bounds, [*bounds[:2], np.linspace(-9, 9, 200)]):
+        rows = G.binned(gap, many).collect()
+        width = np.dtype(G._code_type(many)).itemsize
+        assert len(rows) == 200 and {len(r["_x"]) for r in rows} == {3 * width}
+        codes = np.array([np.frombuffer(r["_x"], G._code_type(many)) for r in rows])
+        values = np.array([[np.nan if r["id"] % 9 == 0 else x[r["id"], 0], *x[r["id"], 1:]] for r in rows])
+        single = G.Tree()
+        single.split(0, 0, float(many[0][3]), 1.0)
+        grown = tree if many is bounds else single
+        assert (G._on_codes(grown, many).nodes_of(codes) == grown.nodes_of(values)).all()
+        assert (codes[:, 0] == -1).sum() == 23
