@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tabforge.functions.numeric import half_even, not_nan
 from tabforge.operators.lookups import align_outer
-from tabforge.operators.ranks import running_total, with_ranks
+from tabforge.operators.ranks import running_totals, with_ranks
 from tabforge.session import materialize
 
 BAR_WIDTH = 20
@@ -150,30 +150,36 @@ def _spearman(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
 
 
 def _spearman_of_complete_rows(data: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """All pairs at once: rows as (pair, x, y), one count, one running total and one rank table for all sides."""
-
-    def entry(i: int, a: str, b: str) -> Column:
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        return F.when(x.isNotNull() & y.isNotNull(), F.struct(F.lit(i).alias("pair"), x.alias("x"), y.alias("y")))
-
-    entries = F.array_compact(F.array(*[entry(i, *p) for i, p in enumerate(pairs)]))
-    rows = data.select(F.explode(entries).alias("e")).select("e.*")
-    sides = [F.struct(F.concat("pair", F.lit(f":{s}")).alias("series"), F.col(s).alias("value")) for s in ("x", "y")]
-    values = rows.select(F.explode(F.array(*sides)).alias("e")).select("e.*")
-    cells = materialize(values.groupBy("series", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts")
-    upto = running_total(cells, "series", "value", "n", "upto")
-    ranks = materialize(upto.select("series", "value", (F.col("upto") - (F.col("n") - 1) / 2).alias("rank")), "ranks")
-    for side in ("x", "y"):
-        own = ranks.select(F.col("series").alias("_s"), F.col("value").alias("_v"), F.col("rank").alias(f"rank_{side}"))
-        rows = rows.join(own, (F.concat("pair", F.lit(f":{side}")) == F.col("_s")) & (F.col(side) == F.col("_v"))).drop("_s", "_v")
-
-    def correlation(x: str, y: str) -> Column:  # null without spread, where corr() itself divides by zero
-        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-    found = rows.groupBy("pair").agg(correlation("rank_x", "rank_y").alias("r"))
-    names = F.array(*[F.struct(F.lit(i).alias("_pair"), F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b")) for i, (a, b) in enumerate(pairs)])
-    listed = data.sparkSession.range(1).select(F.explode(names).alias("e")).select("e.*")
-    return listed.join(found, F.col("_pair") == F.col("pair"), "left").select("feature_a", "feature_b", "r")
+    """All pairs in one pass over the rows, each of which stays one row.
+
+    A value has one rank per partner of its column: its place among the rows
+    that know both. One count by (column, value) gives all of them, and a row
+    takes them from a table per column.
+    """
+    columns = sorted({c for p in pairs for c in p})
+    partners = {c: sorted({d for p in pairs if c in p for d in p if d != c or p == (c, c)}) for c in columns}
+    place = {c: i for i, c in enumerate(columns)}
+    numbers = data.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    known = F.array(*[F.col(f"v{i}").isNotNull() for i in range(len(columns))])
+    entry = [F.when(F.col(f"v{i}").isNotNull(), F.struct(F.lit(i).alias("column"), F.col(f"v{i}").alias("value"), known.alias("known"))) for i in range(len(columns))]
+    long = numbers.select(F.explode(F.array_compact(F.array(*entry))).alias("e")).select("e.*")
+    counts = [F.count_if(F.get("known", F.lit(i))).alias(f"n{i}") for i in range(len(columns))]
+    cells = materialize(long.groupBy("column", "value").agg(*counts), "value-counts")
+    upto = running_totals(cells, "column", "value", {f"upto{i}": f"n{i}" for i in range(len(columns))})
+    ranks = [(F.col(f"upto{i}") - (F.col(f"n{i}") - 1) / 2).alias(f"r{i}") for i in range(len(columns))]
+    tables = materialize(upto.select("value", *ranks, "column"), "ranks", partition_by=["column"])
+    sizes = {r["column"]: r["n"] for r in cells.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = numbers
+    # The column with most values first: a table that has to be shuffled meets rows without ranks.
+    for i in sorted(place.values(), key=lambda i: -sizes.get(i, 0)):
+        mine = [F.col(f"r{place[d]}").alias(f"r{i}_{place[d]}") for d in partners[columns[i]]]
+        rows = rows.join(tables.where(F.col("column") == i).select(F.col("value").alias("_v"), *mine), F.col(f"v{i}") == F.col("_v"), "left").drop("_v", f"v{i}")
+    sides = [(f"r{place[a]}_{place[b]}", f"r{place[b]}_{place[a]}") for a, b in pairs]
+    names = [F.struct(F.lit(x).alias("_x"), F.lit(y).alias("_y"), F.lit(a).alias("_a"), F.lit(b).alias("_b")) for (x, y), (a, b) in zip(sides, pairs, strict=True)]
+    listed = data.sparkSession.range(1).select(F.explode(F.array(*names)).alias("e")).select("e.*")
+    found = correlations(rows, sides)
+    both = (F.col("_x") == F.col("feature_a")) & (F.col("_y") == F.col("feature_b"))
+    return listed.join(found, both).select(F.col("_a").alias("feature_a"), F.col("_b").alias("feature_b"), "r")
 
 
 def corr_spearman(df: DataFrame, columns: list[str], target: str, digits: int = 3) -> DataFrame:

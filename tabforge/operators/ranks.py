@@ -20,10 +20,15 @@ def running_total(cells: DataFrame, group: str, order: str, weight: str, out: st
     of their own. The cut points are collected as plain numbers: they are few,
     and they must not change if a stage is run again.
     """
+    return running_totals(cells, group, order, {out: weight})
+
+
+def running_totals(cells: DataFrame, group: str, order: str, weights: dict[str, str]) -> DataFrame:
+    """``running_total`` of several columns at once, by the name of the sum."""
     chunks = min(MAX_CHUNKS, cells.count() // ROWS_PER_CHUNK + 1)
     if chunks == 1:
         within = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return cells.withColumn(out, F.sum(weight).over(within))
+        return cells.withColumns({out: F.sum(weight).over(within) for out, weight in weights.items()})
     probs = [i / chunks for i in range(1, chunks)]
     cuts = {
         row[0]: sorted(set(row[1]))
@@ -36,16 +41,16 @@ def running_total(cells: DataFrame, group: str, order: str, weight: str, out: st
         chunk = F.when(F.col(group) == name, below).otherwise(chunk)
     placed = cells.withColumn("_chunk", chunk)
     before = Window.partitionBy("_g").orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
-    totals = placed.groupBy(F.col(group).alias("_g"), F.col("_chunk").alias("_i")).agg(F.sum(weight).alias("_t"))
-    offsets = materialize(
-        totals.withColumn("_offset", F.coalesce(F.sum("_t").over(before), F.lit(0))).drop("_t"), "chunk-offsets"
-    )
+    sums = [F.sum(weight).alias(f"_t_{out}") for out, weight in weights.items()]
+    totals = placed.groupBy(F.col(group).alias("_g"), F.col("_chunk").alias("_i")).agg(*sums)
+    below = [F.coalesce(F.sum(f"_t_{out}").over(before), F.lit(0)).alias(f"_offset_{out}") for out in weights]
+    offsets = materialize(totals.select("_g", "_i", *below), "chunk-offsets")
     within = Window.partitionBy(group, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        placed.withColumn("_part", F.sum(weight).over(within))
+        placed.withColumns({f"_part_{out}": F.sum(weight).over(within) for out, weight in weights.items()})
         .join(offsets, (F.col(group) == F.col("_g")) & (F.col("_chunk") == F.col("_i")))
-        .withColumn(out, F.col("_part") + F.col("_offset"))
-        .drop("_part", "_offset", "_chunk", "_g", "_i")
+        .withColumns({out: F.col(f"_part_{out}") + F.col(f"_offset_{out}") for out in weights})
+        .drop(*[f"_{kind}_{out}" for kind in ("part", "offset") for out in weights], "_chunk", "_g", "_i")
     )
 
 

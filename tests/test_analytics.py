@@ -129,3 +129,16 @@ def test_each_request_rule(spark):
     checked = V.validate(spark.createDataFrame([tuple(r[k] for k in good) for r in rows], schema), V.REQUEST_RULES)
     assert [r["reasons"] for r in checked.collect()] == [[], *[[k] for k in bad], ["duration"]]
     assert V.accepted(checked).count() == 1 and V.rejected(checked).count() == 10
+
+
+def test_rank_correlation_with_gaps_keeps_one_row_per_row(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    p = pd.DataFrame(rng.integers(0, 9, (300, 4)).astype(float), columns=list("abcd"))
+    for c in "abd":
+        p.loc[rng.random(300) < 0.3, c] = np.nan
+    seen, real = [], C.correlations
+    monkeypatch.setattr(C, "correlations", lambda rows, pairs: seen.append(rows.count()) or real(rows, pairs))
+    want = p.corr(method="spearman")
+    for r in C.corr_spearman(spark.createDataFrame(p), list("abc"), "d", 6).collect():
+        assert r["r"] == pytest.approx(want.loc[r["feature_a"], r["feature_b"]], abs=2e-6)
+    assert seen == [300, 300]
