@@ -182,3 +182,57 @@ def test_alias_timeline_before_and_after_a_new_champion(spark):
     assert at(8) == {"champion": ("a", 1), "tied": ("c", 1)}
     assert at(9) == {"champion": ("b", 2), "tied": ("c", 1)}
     assert L.alias_timeline(spark.createDataFrame([], "model string, alias string, at int")).count() == 0
+
+
+def test_fits_of_a_large_search_run_one_after_the_other(train, monkeypatch):
+    running, most = [], []
+
+    class Estimator:
+        def getParam(self, name):
+            return name
+
+        def fit(self, rows, params):
+            running.append(1)
+            most.append(len(running))
+            model = DecisionTreeRegressor(maxDepth=params["maxDepth"]).fit(rows)
+            running.pop()
+            return model
+
+    monkeypatch.setattr(U, "SIDE_BY_SIDE", 10)
+    found = U.grid_search(train, Estimator(), U.grid({"maxDepth": [1, 3]}), 3)
+    assert max(most) == 1 and len(most) == 7 and found.params == {"maxDepth": 3}
+    with pytest.raises(ValueError, match="no rows"):
+        U.grid_search(train, DecisionTreeRegressor(), [{"maxDepth": 1}], 4)
+
+
+def test_tree_fits_read_small_tasks(spark, train):
+    class Estimator:
+        def fit(self, rows, params):
+            return rows.sparkSession.conf.get("spark.sql.files.maxPartitionBytes")
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    assert M.fit_trees(Estimator(), train) == str(M.TASK_BYTES) != before
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_tuning_fits_a_candidate_once(train, val, monkeypatch):
+    fits, real = [], M.fit_gbt
+    monkeypatch.setattr(M, "fit_gbt", lambda t, trees=300, *a, **k: fits.append(trees) or real(t, trees, *a, **k))
+    found = U.tune_random(train, val, [{"trees": 2, "rate": 0.1, "max_depth": 2}, {"trees": 5, "rate": 0.3, "max_depth": 2}])
+    assert fits == [2, 5] and found.model.getNumTrees == 5
+
+
+def test_only_named_models_are_fitted(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from pyspark.ml.linalg import Vectors
+
+    from tabforge.plans import model_queries as Q
+
+    fitted = []
+    monkeypatch.setattr(Q, "_fit", lambda s, d, name: fitted.append(name) or SimpleNamespace(coefficients=Vectors.dense(2.0, 1.0)))
+    monkeypatch.setattr(Q, "training_table", lambda s, d: (None, SimpleNamespace(feature_names=["a", "b"])))
+    two = Q.queries()["importance_side_by_side"](spark, "").collect()
+    assert [(r["linear_feature"], r["lasso_feature"]) for r in two] == [("a", "a"), ("b", "b")] and fitted == ["linear", "lasso"]
+    fitted.clear()
+    assert Q.queries()["importance_agreement"](spark, "").count() == 2 and fitted == ["linear", "forest", "gbt"]
