@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,3 +39,10 @@ def hash_unit(seed: int, *keys: str | Column) -> Column:
     """A number in [0, 1) from md5 of the seed and the keys (null: the word null); the same in any engine."""
     text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string") if isinstance(k, str) else k.cast("string"), F.lit("null")) for k in keys])
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / F.lit(float(2**52))
+
+
+def sliced(batches: Iterator, rows: int = 500) -> Iterator:
+    """The same rows in small batches, as what is made of them in Python is much larger than they are."""
+    for batch in batches:
+        for i in range(0, len(batch), rows):
+            yield batch.slice(i, rows)

@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabforge.llm.columns import sliced
 from tabforge.llm.components import connected_components
 from tabforge.llm.shingles import Shingler, mixed
 from tabforge.session import materialize
@@ -52,7 +53,7 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, k: int, bands:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(k)
-        for batch in batches:
+        for batch in sliced(batches):
             sizes, keys, found = [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingles(text)
@@ -77,7 +78,7 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(k)
-        for batch in batches:
+        for batch in sliced(batches):
             found = [shingles(t).view(np.int64) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))],

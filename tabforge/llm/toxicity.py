@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.columns import hash_unit, without
+from tabforge.llm.columns import hash_unit, sliced, without
 from tabforge.session import materialize
 
 # Lists of terms that may stand for each other; a term belongs to one list.
@@ -109,13 +109,6 @@ def training_labels(labels: DataFrame, id_col: str, label_col: str, max_rows: in
     return materialize(usable.where(hash_unit(seed, "label_id") < share), "toxicity-labels")
 
 
-def sliced(batches: Iterator, rows: int = 500) -> Iterator:
-    """The same rows in small batches, as what is made of them in Python is much larger than they are."""
-    for batch in batches:
-        for i in range(0, len(batch), rows):
-            yield batch.slice(i, rows)
-
-
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents per feature and label in each batch of (label, text)."""
     features = Features()
