@@ -70,20 +70,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/{name}.parquet", SCHEMAS[name])
 
 
+def booked_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders with their customers, stored."""
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    kept = ("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "c_name", "c_nationkey", "c_mktsegment")
+    return materialize(joined.select(*kept), "orders")
+
+
 def joined_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys, categories, numbers and the two timestamps, joined from the star schema.
 
     Joins carry no hints: the dimension tables are broadcast when their size
-    allows it and shuffled otherwise.
+    allows it and shuffled otherwise. The customers are joined to the orders,
+    which are stored so that their size is known: the many more lines are never
+    moved by the key of a customer, and names of nations are added at the end.
     """
-    line, orders, customer, supplier, part, nation = (
-        table(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "supplier", "part", "nation")
-    )
+    line, supplier, part, nation = (table(spark, sf_dir, n) for n in ("lineitem", "supplier", "part", "nation"))
     origin = nation.select(F.col("n_nationkey").alias("_sn"), F.col("n_name").alias("source"))
     goal = nation.select(F.col("n_nationkey").alias("_cn"), F.col("n_name").alias("destination"))
     joined = (
-        line.join(orders, line.l_orderkey == orders.o_orderkey)
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        line.join(booked_orders(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(origin, F.col("s_nationkey") == F.col("_sn"))

@@ -11,6 +11,7 @@ from tabforge.operators import models as M
 from tabforge.operators import scoring as V
 from tabforge.plans import model_data
 from tabforge.plans import trips as B
+from tabforge.session import setting
 from tabforge.sources import tables as IO
 from tabforge.streaming.scoring import file_stream, start_scoring
 
@@ -103,3 +104,21 @@ def test_model_quality_on_the_signal_label(spark):
     model = M.fit_linear(table.where("split = 'train'"))
     scored = metrics_by_split(M.predict_splits(model, table, "linear"))
     assert scored.agg(F.min("r2")).first()[0] > 0.94
+
+
+def test_lines_are_not_moved_by_their_customer(spark):
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", -1):
+        plan = _plan(B.joined_trips(spark, SF))
+    assert "SortMergeJoin" in plan and "hashpartitioning(l_partkey" in plan
+    assert "hashpartitioning(o_custkey" not in plan
+
+
+def test_splits_are_written_side_by_side(spark, monkeypatch):
+    from tabforge import session
+
+    seen, real = [], session.setting
+    monkeypatch.setattr(session, "setting", lambda s, name, value: seen.append((name, value)) or real(s, name, value))
+    rows = spark.range(30).withColumn("split", F.concat(F.lit("s"), F.col("id") % 3))
+    out = session.materialize(rows, "sides", ["split"], 2**20, open_files=3)
+    assert out.count() == 30 and out.where("split = 's1'").count() == 10
+    assert seen == [("spark.sql.maxConcurrentOutputFileWriters", 3)]
