@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.functions.hashing import bucket
-from tabforge.session import materialize
+from tabforge.session import materialize, setting
 from tabforge.sources.tables import read_parquet
 
 TARGET = "fare"
@@ -140,6 +140,15 @@ def build_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.withColumns({"stopovers": (codes - 1).cast("int"), **parts})
 
 
+LINES = 250_000  # that a task of the joins sorts
+
+
+def join_tasks(lines: DataFrame):
+    """Shuffles inside the block have tasks in proportion to the ``lines``, or as many as are set, whichever is more."""
+    name = "spark.sql.shuffle.partitions"
+    return setting(lines.sparkSession, name, max(int(lines.sparkSession.conf.get(name)), -(-lines.count() // LINES)))
+
+
 _stored: dict[tuple[str, str], DataFrame] = {}
 ROW_GROUP = 4 * 2**20  # bytes; small, as most analyses read few of the columns
 
@@ -153,7 +162,8 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
-        _stored[key] = materialize(build_flights(spark, sf_dir), "processed", row_group=ROW_GROUP)
+        with join_tasks(table(spark, sf_dir, "lineitem")):
+            _stored[key] = materialize(build_flights(spark, sf_dir), "processed", row_group=ROW_GROUP)
     return _stored[key]
 
 

@@ -122,3 +122,15 @@ def test_splits_are_written_side_by_side(spark, monkeypatch):
     out = session.materialize(rows, "sides", ["split"], 2**20, open_files=3)
     assert out.count() == 30 and out.where("split = 's1'").count() == 10
     assert seen == [("spark.sql.maxConcurrentOutputFileWriters", 3)]
+
+
+def test_the_joins_have_tasks_in_proportion_to_the_lines(spark, monkeypatch):
+    lines, name = spark.range(95), "spark.sql.shuffle.partitions"
+    before = int(spark.conf.get(name))
+    monkeypatch.setattr(B, "LINES", 1)
+    with B.join_tasks(lines):
+        assert int(spark.conf.get(name)) == max(before, 95)
+    assert int(spark.conf.get(name)) == before
+    monkeypatch.setattr(B, "LINES", 95)
+    with B.join_tasks(lines):
+        assert int(spark.conf.get(name)) == before
