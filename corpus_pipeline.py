@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.llm import mixing, near_dedup, secret_scan, sentencepiece_tokens, toxicity
-from tabforge.session import materialize
+from tabforge.session import materialize, setting
 
 def packed(docs: DataFrame, *needed: str) -> DataFrame:
     """The whole row as one column, ``document``, next to what an operator needs, so that no extra column meets one of its names."""
@@ -79,8 +79,12 @@ STAGES = [
 ORACLE_SQL = None
 
 
+BATCH_ROWS = 1000  # documents that go to Python at once; the JVM and the worker of each task hold them both
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS):
+        for name, stage in STAGES:
+            docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

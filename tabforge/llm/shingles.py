@@ -25,7 +25,7 @@ class Shingler:
     ``remember`` words and then forgotten, so memory is bounded.
     """
 
-    def __init__(self, k: int = 5, remember: int = 150_000):
+    def __init__(self, k: int = 5, remember: int = 60_000):
         self.k, self.remember, self.known = k, remember, {}
 
     def __call__(self, text: str | None) -> np.ndarray:

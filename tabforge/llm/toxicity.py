@@ -53,7 +53,7 @@ def swapped(words: set[str], lists: tuple[tuple[str, ...], ...]) -> set[str] | N
 class Features:
     """64-bit hashes of the features of words; words are remembered up to a bound and then forgotten."""
 
-    def __init__(self, shortest: int = 3, longest: int = 8, remember: int = 100_000):
+    def __init__(self, shortest: int = 3, longest: int = 8, remember: int = 50_000):
         self.lengths, self.remember, self.known = range(shortest, longest + 1), remember, {}
 
     def of_word(self, word: str) -> np.ndarray:
@@ -81,7 +81,7 @@ class ToxicityModel:
         features, weights, known = Features(remember=1), self.weights, {}
 
         def hits(word: str) -> tuple[int, ...]:
-            if len(known) > 200_000:
+            if len(known) > 50_000:
                 known.clear()
             found = known[word] = tuple(h for h in features.of_word(word).tolist() if h in weights)
             return found

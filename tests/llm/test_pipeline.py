@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from sentencepiece import SentencePieceProcessor
 
@@ -69,3 +70,19 @@ def test_near_copies_at_four_fifths_are_dropped(spark):
         assert round(len(a & b) / len(a | b), 2) == (0.82 if i == 0 else 0.78)
     left = {r["doc_id"] for r in cp.drop_near_copies(spark, documents(spark, rows), "").collect()}
     assert left == {i for i, _ in rows if i % 20 != 1}
+
+
+def test_python_gets_few_documents_at_once(spark, tmp_path, monkeypatch):
+    """A batch is held by the JVM and by the worker of every task."""
+
+    def sizes(session, docs, sf_dir):
+        def count(batches):
+            yield from (b.slice(0, 1).select([]).append_column("rows", pa.array([b.num_rows], pa.int64())) for b in batches)
+
+        return docs.coalesce(1).mapInArrow(count, "rows long")
+
+    documents(spark, [(i, "a b") for i in range(100)]).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(cp, "STAGES", [("sizes", sizes)])
+    monkeypatch.setattr(cp, "BATCH_ROWS", 30)
+    found = [r["rows"] for r in cp.run(spark, str(tmp_path)).collect()]
+    assert sum(found) == 100 and max(found) <= 30
