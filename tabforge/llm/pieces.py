@@ -11,9 +11,11 @@ Texts in which some blanks do not stand alone are cut by a regular expression.
 
 from __future__ import annotations
 
+import os
 import re
 import sys
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,11 @@ def other_blank(also: str = "") -> str:
     return rf"\A | \z| {near}|{near} "
 
 
+def one_thread() -> None:
+    """The tokenizers library works in the calling thread: tasks fill the cores already, and its pool of threads costs several times the work."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+
 class Memory:
     """Ids of pieces under the numbers of the pieces; forgotten as a whole between batches once there are ``size`` of them."""
 
@@ -127,7 +134,7 @@ def stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def flattened(lists: list[list[int]]) -> Coded:
     """Lists of ids as one array and their lengths."""
     counts = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter((i for x in lists for i in x), np.uint32, int(counts.sum())), counts
+    return np.fromiter(chain.from_iterable(lists), np.uint32, int(counts.sum())), counts
 
 
 def joined_encoder(

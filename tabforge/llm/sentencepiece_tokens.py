@@ -22,7 +22,7 @@ from sentencepiece import sentencepiece_model_pb2 as proto
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
 from tabforge.llm.columns import without
-from tabforge.llm.pieces import Coded, PieceEncoder, flattened, joined_encoder
+from tabforge.llm.pieces import Coded, PieceEncoder, flattened, joined_encoder, one_thread
 
 MARK = "▁"
 # Model and piece types of the protobuf.
@@ -147,6 +147,7 @@ class Codec:
 
 @lru_cache(maxsize=2)
 def codec(path: str, threads: int = 2) -> Codec:
+    one_thread()
     return Codec(path, threads)
 
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -88,3 +89,10 @@ def test_empty_table_and_unsupported_models(spark, tmp_path):
     (tmp_path / "w.model").write_bytes(model.SerializeToString())
     with pytest.raises(ValueError, match="unigram and BPE"):
         st.read_model(str(tmp_path / "w.model"))
+
+
+def test_the_library_works_in_the_thread_of_the_task(monkeypatch):
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    st.codec.cache_clear()
+    st.codec(MODEL)
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
