@@ -22,7 +22,6 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
 import zstandard
@@ -30,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabforge.llm.pieces import PieceEncoder, joined_encoder
+from tabforge.llm.pieces import PieceEncoder, joined_encoder, one_thread
 from tabforge.session import materialize, scratch_path
 
 MAGIC = b"TKPL"
@@ -113,12 +112,12 @@ class ShardReader:
 
     def ids(self, start: int, count: int) -> np.ndarray:
         """``count`` ids from position ``start`` of the file."""
-        found = [np.empty(0, np.uint32)]
+        found = []
         while count > 0:
             part = self.chunk(start // self.block)[start % self.block :][:count]
             found.append(part)
             start, count = start + len(part), count - len(part)
-        return np.concatenate(found)
+        return found[0] if len(found) == 1 else np.concatenate([np.empty(0, np.uint32), *found])
 
 
 def filesystem(path: str) -> tuple[pa.fs.FileSystem, str]:
@@ -135,6 +134,7 @@ def byte_level_encoder(tokenizer: str, special_as_text: bool = True) -> Callable
     """
     from tokenizers import Tokenizer
 
+    one_thread()
     library = Tokenizer.from_file(tokenizer)
     library.encode_special_tokens = special_as_text
     library.no_padding()
@@ -231,19 +231,18 @@ def with_starts(rows: DataFrame) -> DataFrame:
 def read_documents(rows: DataFrame, path: str) -> DataFrame:
     """``rows`` with ``ids_crc32``, the checksum of the ids read back from the files as little-endian u32."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, reader, name = filesystem(path), None, None
         for batch in batches:
             sums = []
-            for file, position, n in zip(batch["file"], batch["position"], batch["n_tokens"], strict=True):
+            for file, position, n in zip(*[batch.column(c).to_pylist() for c in ("file", "position", "n_tokens")], strict=True):
                 if file != name:
                     reader, name = ShardReader(store[0].open_input_file(f"{store[1]}/{file}")), file
-                sums.append(zlib.crc32(reader.ids(position, n).astype("<u4").tobytes()))
-            batch["ids_crc32"] = np.array(sums, np.int64)
-            yield batch
+                sums.append(zlib.crc32(reader.ids(position, n).astype("<u4", copy=False)))
+            yield batch.append_column("ids_crc32", pa.array(sums, pa.int64()))
 
     schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes) + ", ids_crc32 long"
-    return rows.mapInPandas(read, schema)
+    return rows.mapInArrow(read, schema)
 
 
 def token_path(spark: SparkSession) -> str:

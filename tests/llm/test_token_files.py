@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import io
+import os
 import zlib
 
 import numpy as np
@@ -120,3 +121,21 @@ def test_documents_in_files(spark, library, tmp_path, shards):
 def test_empty_table(spark, tmp_path):
     written = tf.write_token_files(documents(spark, []), lambda: tf.byte_level_encoder(FILE), str(tmp_path / "f"))
     assert tf.read_documents(tf.with_starts(written), str(tmp_path / "f")).count() == 0
+
+
+def test_the_library_works_in_the_thread_of_the_task(monkeypatch):
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    tf.byte_level_encoder.cache_clear()
+    tf.byte_level_encoder(FILE)
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+
+
+def test_ids_within_one_chunk_are_not_copied():
+    out = io.BytesIO()
+    out.close = lambda: None
+    writer = tf.ShardWriter(out, 16, 8, 3)
+    writer.add(np.arange(20, dtype=np.uint32))
+    writer.close()
+    reader = tf.ShardReader(pa.BufferReader(out.getvalue()))
+    assert np.shares_memory(reader.ids(1, 5), reader.chunk(0))
+    assert reader.ids(6, 12).tolist() == list(range(6, 18)) and reader.ids(20, 0).tolist() == []
