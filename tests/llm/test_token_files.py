@@ -13,7 +13,7 @@ from hypothesis import strategies as some
 from tokenizers import AddedToken, Tokenizer
 
 from tabforge.llm import token_files as tf
-from tabforge.llm.pieces import PieceEncoder
+from tabforge.llm.pieces import PieceEncoder, strings
 from tabforge.llm.queries import op10_token_bit_planes
 from tests.llm.data import awkward_rows, documents, sentence
 
@@ -139,3 +139,10 @@ def test_ids_within_one_chunk_are_not_copied():
     reader = tf.ShardReader(pa.BufferReader(out.getvalue()))
     assert np.shares_memory(reader.ids(1, 5), reader.chunk(0))
     assert reader.ids(6, 12).tolist() == list(range(6, 18)) and reader.ids(20, 0).tolist() == []
+
+
+@given(some.lists(some.text(max_size=8), max_size=20), some.integers(0, 3))
+@settings(max_examples=40, deadline=None)
+def test_strings_of_a_sliced_array_are_those_of_its_list(texts, skip):
+    found = strings(pa.array(texts, pa.large_string()).slice(min(skip, len(texts))))
+    assert found == texts[skip:] and all(type(t) is str for t in found)
