@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabforge.operators import features as X
 from tabforge.operators.lookups import lookup_default
+from tabforge.session import materialize
 
 CONFIG = X.FeatureConfig(
     target="fare",
@@ -137,6 +138,22 @@ def test_vector_equals_wide(table):
         assert r["features"].toArray().tolist() == [float(wide[r["id"]][n]) for n in model.feature_names]
 
 
+def test_stored_parts_are_the_vectors(spark, table):
+    rows = X.labelled(table.withColumn("airline", F.when(F.col("id") % 3 == 0, F.lit("new")).otherwise(F.col("airline"))), CONFIG)
+    model = X.fit_features(table, CONFIG)
+    parts = model.transform_parts(rows)
+    assert "ArrowEvalPython" not in parts._jdf.queryExecution().executedPlan().toString()
+    back = materialize(parts.select("id", "features"), "parts", schema=X.vector_schema(parts.select("id", "features")))
+    made = {r["id"]: r["features"] for r in model.transform(rows).select("id", "features").collect()}
+    assert {r["id"]: r["features"] for r in back.collect()} == made and len(made) == 600
+
+
+def test_a_missing_number_is_no_part_of_a_vector(table):
+    rows = X.labelled(table.withColumn("duration", F.when(F.col("id") != 5, F.col("duration"))), CONFIG)
+    with pytest.raises(Exception, match="a feature is missing"):
+        X.fit_features(table, CONFIG).transform_parts(rows).select("features").collect()
+
+
 def test_unseen_category_and_reload(spark, table, tmp_path):
     model = X.fit_features(table, CONFIG)
     model.save(spark, str(tmp_path / "m"))
