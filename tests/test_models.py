@@ -120,6 +120,25 @@ def test_stacking_beats_its_weakest_base(train, val):
     assert r2(stacked) > r2(stacked.bases["tree"])
 
 
+def test_stacking_decodes_its_rows_once_and_keeps_none(spark, train, tmp_path):
+    path, seen = str(tmp_path / "rows"), []
+    train.select("features", "label", "fold").write.parquet(path)
+    rows = spark.read.parquet(path)
+    bases = {"tree": lambda t: seen.append("InMemoryTableScan" in t._jdf.queryExecution().executedPlan().toString()) or M.fit_tree(t, 2)}
+    stacked = M.fit_stacking(rows, bases, 3)
+    assert seen == [True] * 4 and not rows.storageLevel.useDisk
+    alone = M.fit_tree(rows, 2)
+    assert stacked.bases["tree"].toDebugString.split("\n")[1:] == alone.toDebugString.split("\n")[1:]
+
+
+def test_kept_rows_leave_a_persisted_table_alone(train):
+    mine = train.select("features", "label").persist()
+    with M.kept_rows(mine) as rows:
+        assert rows is mine
+    assert mine.storageLevel.useMemory
+    mine.unpersist()
+
+
 def test_searches(train):
     ridge = U.cross_validate(train, M.fit_ridge, [{"alpha": 0.1}, {"alpha": 5000.0}], 3)
     assert ridge.params == {"alpha": 0.1}
