@@ -145,3 +145,56 @@ def test_rows_are_kept_as_bins_that_lead_to_the_same_leaves(spark):
         grown = tree if many is bounds else single
         assert (G._on_codes(grown, many).nodes_of(codes) == grown.nodes_of(values)).all()
         assert (codes[:, 0] == -1).sum() == 23
+
+
+def test_indicators_share_a_column_and_lead_to_the_same_trees(spark, monkeypatch):
+    monkeypatch.setattr(G.H, "CELLS", (4096, 4096))
+    rng = np.random.default_rng(7)
+    n = 400
+    brand, x = rng.integers(0, 6, n), np.round(rng.normal(size=n), 1)
+    y = 3.0 * (brand == 2) - 2.0 * (brand == 5) + x * (brand == 1) + 0.1 * rng.normal(size=n)
+    rows = [(i, *[float(b == k) for k in range(6)], float(v), float(t)) for i, (b, v, t) in enumerate(zip(brand, x, y, strict=True))]
+    names = [*[f"b{k}" for k in range(6)], "x"]
+    df = VectorAssembler(inputCols=names, outputCol="features").transform(spark.createDataFrame(rows, ["id", *names, "label"]).repartition(3))
+    stored = G.boosting_rows(df, key="id", bins=256)
+    assert stored.rows.lay.columns == [[0, 1, 2, 3, 4, 5], [6]] and len(stored.rows.lay.groups) == 1
+    values = np.array([r[1:-1] for r in rows])
+    config = G.BoostingConfig(rounds=4, rate=0.5, max_depth=3, rows=1.0, columns=1.0, bins=256)
+    p = np.full(n, y.mean())
+    for _ in range(4):
+        p = p + plain_predict(plain_tree(values, p - y, np.ones(n), config, rate=config.rate), values)
+    assert G.fit_rounds(stored, config).predict(values) == pytest.approx(p, abs=1e-9)
+
+
+def test_one_task_and_several_grow_the_same_trees(spark, monkeypatch):
+    df, x, _ = table(spark, 300, 8)
+    stored = G.boosting_rows(df, df, "id")
+    config = G.BoostingConfig(rounds=5, rate=0.3, max_depth=4, rows=0.7, columns=0.7)
+    assert len(stored.rows.blocks) == 10
+    one, some = (G.fit_rounds(stored, config, tasks) for tasks in (1, 3))
+    monkeypatch.setattr(G.H, "TOGETHER", 0)
+    monkeypatch.setattr(G.H, "KEPT_ROWS", 10)
+    apart, _ = G.H._work(stored.rows, config, G.H._Team("", 0, 1))
+    assert one.grown == some.grown == apart and np.ravel(one.losses) == pytest.approx(np.ravel(some.losses), rel=1e-12)
+
+
+def test_a_scorer_takes_rows_to_the_leaves_of_deep_trees():
+    rng = np.random.default_rng(9)
+    tree, level = G.Tree(), [0]
+    for _ in range(8):
+        level = [c for node in level if rng.random() < 0.9 for c in tree.split(node, int(rng.integers(0, 3)), float(rng.integers(0, 9)), 1.0)]
+    tree.weight = rng.normal(size=len(tree.weight)).tolist()
+    x = rng.integers(-1, 11, (5000, 3)).astype(float)
+    x[::50, 1] = np.nan
+    assert sum(f < 0 for f in tree.feature) > 64
+    assert G._Scorer([tree, tree.cut(3)])(x) == pytest.approx(tree.predict(x) + tree.cut(3).predict(x), abs=1e-12)
+    assert G._Scorer([G.Tree()])(x).tolist() == [0.0] * 5000
+
+
+def test_a_bagged_forest_averages_trees_on_repeated_rows(spark):
+    df, x, y = table(spark, 400, 10)
+    forest = G.fit_rounds(G.boosting_rows(df, key="id"), G.BoostingConfig(30, 1 / 30, 5, 1.0, 1.0, 0.0, 0.0, 0.0, bagged=True, node_columns=0.7), cut=False)
+    assert len(forest.trees) == 30 and len({tuple(t.bound) for t in forest.trees}) > 20
+    assert 1 - np.var(y - forest.predict(x)) / np.var(y) > 0.9
+    grown = [30 * t.predict(x) + forest.start for t in forest.trees]
+    assert forest.predict(x) == pytest.approx(np.mean(grown, 0)) and min(map(np.min, grown)) >= y.min() - 1e-9

@@ -255,3 +255,9 @@ def test_only_named_models_are_fitted(spark, monkeypatch):
     assert [(r["linear_feature"], r["lasso_feature"]) for r in two] == [("a", "a"), ("b", "b")] and fitted == ["linear", "lasso"]
     fitted.clear()
     assert Q.queries()["importance_agreement"](spark, "").count() == 2 and fitted == ["linear", "forest", "gbt"]
+
+
+def test_registered_boosting_has_its_whole_settings():
+    from tabforge.plans import model_queries as Q
+
+    assert Q.BOOST == {"trees": 300, "rate": 0.05, "max_depth": 6}
