@@ -261,3 +261,5 @@ def test_registered_boosting_has_its_whole_settings():
     from tabforge.plans import model_queries as Q
 
     assert Q.BOOST == {"trees": 300, "rate": 0.05, "max_depth": 6}
+    early = Q.EARLY
+    assert (early.rounds, early.rate, early.max_depth, early.rows, early.columns, early.patience) == (500, 0.03, 7, 0.8, 0.8, 50)
