@@ -263,3 +263,20 @@ def test_registered_boosting_has_its_whole_settings():
     assert Q.BOOST == {"trees": 300, "rate": 0.05, "max_depth": 6}
     early = Q.EARLY
     assert (early.rounds, early.rate, early.max_depth, early.rows, early.columns, early.patience) == (500, 0.03, 7, 0.8, 0.8, 50)
+
+
+def test_stacking_has_its_three_ensembles(spark, monkeypatch):
+    from tabforge.plans import model_queries as Q
+
+    seen = {}
+    monkeypatch.setattr(Q, "split", lambda s, d, name: spark.createDataFrame([(0,)], "stack_fold int"))
+    monkeypatch.setattr(Q, "_metrics", lambda s, d, name, model: None)
+    monkeypatch.setattr(M, "fit_stacking", lambda rows, bases, folds: seen.update(bases, folds=folds))
+    Q.queries()["fit_stacking"](spark, "")
+    fits = []
+    monkeypatch.setattr(M, "fit_gbt", lambda t, **k: fits.append(k))
+    monkeypatch.setattr(M, "fit_bagged", lambda t, **k: fits.append(k))
+    for name in ("forest", "gbt", "boosting"):
+        seen[name](None)
+    assert seen["folds"] == 3 and [k["trees"] for k in fits] == [200, 200, 300]
+    assert fits[0]["features"] == "0.7" and fits[0]["max_depth"] == 8 and fits[2]["l2"] == 1.0 and fits[2]["features"] == "0.8"
