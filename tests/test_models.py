@@ -263,6 +263,9 @@ def test_registered_boosting_has_its_whole_settings():
     assert Q.BOOST == {"trees": 300, "rate": 0.05, "max_depth": 6}
     early = Q.EARLY
     assert (early.rounds, early.rate, early.max_depth, early.rows, early.columns, early.patience) == (500, 0.03, 7, 0.8, 0.8, 50)
+    assert (Q.TRIALS, Q.TRIAL_TREES) == (100, (200, 800))
+    draw = U.boosting_draws(Q.TRIALS, Q.TRIAL_TREES)
+    assert len(draw) == 100 and {"l1", "l2"} < draw[0].keys() and {p["max_depth"] for p in draw} == set(range(3, 10))
 
 
 def test_stacking_has_its_three_ensembles(spark, monkeypatch):
@@ -280,3 +283,10 @@ def test_stacking_has_its_three_ensembles(spark, monkeypatch):
         seen[name](None)
     assert seen["folds"] == 3 and [k["trees"] for k in fits] == [200, 200, 300]
     assert fits[0]["features"] == "0.7" and fits[0]["max_depth"] == 8 and fits[2]["l2"] == 1.0 and fits[2]["features"] == "0.8"
+
+
+def test_a_stopped_best_trial_is_refit_with_all_rounds(train, val):
+    noisy = train.withColumn("label", F.col("label") + F.pmod(F.xxhash64("id"), F.lit(100)))
+    found = U.tune_random(noisy, val, [{"trees": 40, "rate": 0.9, "max_depth": 4}], patience=2)
+    assert found.model.getNumTrees == 40
+    assert M.fit_gbt_early_stop(noisy, val, 40, 0.9, 4, patience=2).full is None
